@@ -3,7 +3,11 @@
 from pyspark.sql import Column, functions as F, types as T
 
 SECONDS_PER_DAY = 86400
-MILLISECOND_MARK = 1e12
+# A table is in milliseconds when its largest stamp is above the first mark.  One
+# stamp alone can be older than that, so single rows use the second (1973 in
+# milliseconds, the year 5138 in seconds).
+TABLE_MILLISECOND_MARK = 1e12
+ROW_MILLISECOND_MARK = 1e11
 
 # Accepted epoch-second window (2000-01-01 to 2030-01-01).
 TIMESTAMP_MIN = 946684800
@@ -73,10 +77,10 @@ def whole_seconds(c) -> Column:
 
 
 def epoch_seconds(ts, largest=None) -> Column:
-    """Milliseconds to seconds when ``largest`` (by default the row's own stamp) is above 1e12."""
+    """Milliseconds to seconds, judged by the table's ``largest`` stamp or else by the row's own."""
     ts = as_col(ts)
-    reference = ts if largest is None else largest
-    return F.when(reference > F.lit(MILLISECOND_MARK), int_div(ts, 1000)).otherwise(ts)
+    in_ms = ts > F.lit(ROW_MILLISECOND_MARK) if largest is None else largest > F.lit(TABLE_MILLISECOND_MARK)
+    return F.when(in_ms, int_div(ts, 1000)).otherwise(ts)
 
 
 def day_number(ts) -> Column:
@@ -117,7 +121,10 @@ def price_bucket_index(c) -> Column:
 
 def price_bucket(c) -> Column:
     index = price_bucket_index(c)
-    return F.element_at(F.array(*[F.lit(x) for x in PRICE_LABELS]), index + 1)
+    label = F.lit(None).cast("string")
+    for i, name in enumerate(PRICE_LABELS):
+        label = F.when(index == i, F.lit(name)).otherwise(label)
+    return label
 
 
 def bin_index(c, lo, hi, bins: int) -> Column:

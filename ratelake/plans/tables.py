@@ -14,7 +14,7 @@ from ratelake.sources import views
 _staged: dict = {}
 
 
-def _once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+def once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _staged:
         _staged[key] = stage(build(), name)
@@ -22,7 +22,7 @@ def _once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
 
 
 def cleaned_ratings(spark, folder) -> DataFrame:
-    return _once(spark, folder, "cleaned_ratings",
+    return once(spark, folder, "cleaned_ratings",
                  lambda: prepare.clean_ratings(views.ratings(spark, folder)))
 
 
@@ -32,13 +32,13 @@ def clean_products_measured(products: DataFrame) -> DataFrame:
 
 
 def cleaned_products(spark, folder) -> DataFrame:
-    return _once(spark, folder, "cleaned_products",
+    return once(spark, folder, "cleaned_products",
                  lambda: clean_products_measured(views.products(spark, folder)))
 
 
 def enriched_products(spark, folder) -> DataFrame:
     """Cleaned products with the rating statistics a catalog service adds."""
-    return _once(spark, folder, "enriched_products", lambda: prepare.enrich_products(
+    return once(spark, folder, "enriched_products", lambda: prepare.enrich_products(
         cleaned_products(spark, folder), prepare.item_rating_stats(views.ratings(spark, folder))))
 
 
@@ -48,21 +48,21 @@ def encode_items_measured(base: DataFrame) -> DataFrame:
 
 
 def user_features(spark, folder) -> DataFrame:
-    return _once(spark, folder, "user_features", lambda: features.user_features(
+    return once(spark, folder, "user_features", lambda: features.user_features(
         cleaned_ratings(spark, folder), cleaned_products(spark, folder)))
 
 
 def item_features(spark, folder) -> DataFrame:
-    base = _once(spark, folder, "item_base", lambda: features.item_base(
+    base = once(spark, folder, "item_base", lambda: features.item_base(
         cleaned_ratings(spark, folder), cleaned_products(spark, folder)))
-    return _once(spark, folder, "item_features", lambda: encode_items_measured(base))
+    return once(spark, folder, "item_features", lambda: encode_items_measured(base))
 
 
 def interaction_features(spark, folder) -> DataFrame:
-    return _once(spark, folder, "interaction_features", lambda: features.interaction_features(
+    return once(spark, folder, "interaction_features", lambda: features.interaction_features(
         cleaned_ratings(spark, folder), item_features(spark, folder)))
 
 
 def cooccurrence(spark, folder) -> DataFrame:
-    return _once(spark, folder, "cooccurrence", lambda: features.cooccurrence(
+    return once(spark, folder, "cooccurrence", lambda: features.cooccurrence(
         cleaned_ratings(spark, folder)))
