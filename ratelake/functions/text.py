@@ -4,7 +4,8 @@ from pyspark.sql import Column, functions as F
 
 from ratelake.functions.scalar import as_col
 
-# The default English stop words of Spark ML's StopWordsRemover.
+# The default English stop words of Spark ML's StopWordsRemover that
+# have no apostrophe (words split there anyway).
 # Pass another list to the operators to use it instead.
 ENGLISH_STOP_WORDS = tuple("""
 i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
@@ -13,7 +14,7 @@ those am is are was were be been being have has had having do does did doing a a
 because as until while of at by for with about against between into through during before after
 above below to from up down in out on off over under again further then once here there when where
 why how all any both each few more most other some such no nor not only own same so than too very s
-t can will just don should now
+t can will just don should now cannot could ought would
 """.split())
 
 

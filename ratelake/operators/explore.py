@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake.functions import scalar as S
 from ratelake.operators.quantiles import exact_quantiles
+from ratelake.session import bounded
 
 
 def _count():
@@ -171,16 +172,16 @@ def top_keys(ratings: DataFrame, key: str, n: int, position: str) -> DataFrame:
 
 def head_matrix(ratings: DataFrame, n: int = 200) -> DataFrame:
     """Cells ``u_idx, i_idx, rating`` among the top users and items, in long form."""
-    users = F.broadcast(top_keys(ratings, "userId", n, "u_idx"))
-    items = F.broadcast(top_keys(ratings, "productId", n, "i_idx"))
+    users = bounded(top_keys(ratings, "userId", n, "u_idx"), n)
+    items = bounded(top_keys(ratings, "productId", n, "i_idx"), n)
     return (ratings.join(users, "userId").join(items, "productId")
             .groupBy("u_idx", "i_idx").agg(F.max("rating").alias("rating")))
 
 
 def head_rows(ratings: DataFrame, n: int = 200) -> DataFrame:
     """Ratings whose user and item are both among the top ``n``."""
-    users = F.broadcast(top_keys(ratings, "userId", n, "p").select("userId"))
-    items = F.broadcast(top_keys(ratings, "productId", n, "p").select("productId"))
+    users = bounded(top_keys(ratings, "userId", n, "p").select("userId"), n)
+    items = bounded(top_keys(ratings, "productId", n, "p").select("productId"), n)
     return ratings.join(users, "userId", "left_semi").join(items, "productId", "left_semi") \
         .select(*ratings.columns)
 
@@ -193,7 +194,7 @@ def head_sparsity(ratings: DataFrame, n: int = 200) -> DataFrame:
 
 def user_item_pivot(ratings: DataFrame, top: int = 10, binary: bool = False) -> DataFrame:
     """One row per user, one column ``item_<position>`` per top item: mean rating, 0 when unrated."""
-    items = F.broadcast(top_keys(ratings, "productId", top, "position"))
+    items = bounded(top_keys(ratings, "productId", top, "position"), top)
     table = ratings.where(F.col("userId").isNotNull()).join(items, "productId") \
         .groupBy("userId").pivot("position", list(range(top))).agg(F.avg("rating"))
     cells = [F.coalesce(F.col(str(i)), F.lit(0.0)) for i in range(top)]

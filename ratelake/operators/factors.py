@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake.functions import kernels, scalar as S
 from ratelake.operators.quantiles import dense_index
+from ratelake.session import bounded
 
 # The parameter grid that is searched by default.
 DEFAULT_GRID = {"rank": (20, 50, 100), "maxIter": (15, 20), "regParam": (0.02, 0.1)}
@@ -85,8 +86,9 @@ def index_ids(ratings: DataFrame) -> tuple:
 
 
 def residuals(ratings: DataFrame, offsets: Offsets, user_ids: DataFrame, item_ids: DataFrame) -> DataFrame:
-    known = ratings.join(offsets.users, "userId").join(offsets.items, "productId")
-    return (known.join(user_ids, "userId").join(item_ids, "productId").select(
+    # Everything known of a key is joined first, so that the ratings move once per key.
+    users, items = offsets.users.join(user_ids, "userId"), offsets.items.join(item_ids, "productId")
+    return (ratings.join(users, "userId").join(items, "productId").select(
         "user", "item", (F.col("rating") - offsets.mean.scalar() - F.col("user_offset")
                          - F.col("item_offset")).cast("float").alias("residual")))
 
@@ -141,8 +143,9 @@ def dot(a, b):
 def predict_factors(pairs: DataFrame, model: FactorModel) -> DataFrame:
     users, items = model.factors()
     offsets = model.offsets
-    known = (pairs.join(offsets.users, "userId", "left").join(offsets.items, "productId", "left")
-             .join(users, "userId", "left").join(items, "productId", "left"))
+    # Everything known of a key is joined first, so that the pairs move once per key.
+    users, items = offsets.users.join(users, "userId", "full"), offsets.items.join(items, "productId", "full")
+    known = pairs.join(users, "userId", "left").join(items, "productId", "left")
     estimate = (offsets.mean.scalar() + F.coalesce("user_offset", F.lit(0.0))
                 + F.coalesce("item_offset", F.lit(0.0)) + dot(F.col("user_factors"), F.col("item_factors")))
     return known.select(*pairs.columns, clip_estimate(estimate).alias("prediction"))
@@ -166,8 +169,8 @@ def recommend(users: DataFrame, ratings: DataFrame, products: DataFrame, offsets
     shuffled, and only ``top_k`` rows per user come out.
     """
     # Bounded by candidate_limit, a parameter of the operator; numbered in id order for ties.
-    chosen = F.broadcast(candidate_items(ratings, candidate_limit).select(
-        "productId", (F.row_number().over(Window.orderBy("productId")) - 1).alias("position")))
+    chosen = bounded(candidate_items(ratings, candidate_limit).select(
+        "productId", (F.row_number().over(Window.orderBy("productId")) - 1).alias("position")), candidate_limit)
     scored = chosen.join(offsets.items, "productId", "left")
     table = users.select("userId").distinct().join(offsets.users, "userId", "left")
     if factors is not None:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ratelake import schemas
 from ratelake.functions import scalar as S
 from ratelake.operators.quantiles import dense_index, exact_quantiles
+from ratelake.session import bounded
 
 
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -127,16 +128,16 @@ def in_popular(ratings: DataFrame, n: int) -> DataFrame:
 
 
 def shared_users(ratings: DataFrame, top_n: int = 500) -> tuple:
-    """``a, b, n_users`` over positions of the ``top_n`` most rated items, and the positions.
+    """``a, b, n_users`` over positions of the ``top_n`` most rated items, and the list of their ids.
 
     A user's popular items become a bit set, 64 items to a number; that
     aggregation combines in the map tasks and drops repeated pairs by itself.
     Each item of a user then adds whole 64-item words to 64 counters, so no
     pairs of items are ever produced, and only counters are shuffled.
     """
-    # At most top_n rows, numbered in id order so that positions break ties like ids.
-    positions = F.broadcast(popular_items(ratings, top_n).select(
-        "productId", (F.row_number().over(Window.orderBy("productId")) - 1).alias("position")))
+    # At most top_n ids, in id order so that positions break ties like ids.
+    ids = popular_items(ratings, top_n).agg(F.sort_array(F.collect_list("productId")).alias("ids"))
+    positions = bounded(ids.select(F.posexplode("ids").alias("position", "productId")), top_n)
     words = [f"w{i}" for i in range((top_n + 63) // 64)]
     baskets = (ratings.where("userId is not null and rating > 0").select("userId", "productId")
                .join(positions, "productId")
@@ -157,16 +158,15 @@ def shared_users(ratings: DataFrame, top_n: int = 500) -> tuple:
     lanes = ", ".join(f"c{k}" for k in range(64))
     counts = (counters.selectExpr("a", "word", f"posexplode(array({lanes})) as (k, n_users)")
               .selectExpr("a", "word * 64 + k as b", "n_users").where("n_users > 0 and a <> b"))
-    return counts, positions
+    return counts, ids
 
 
 def cooccurrence(ratings: DataFrame, top_n: int = 500, keep: int = 3) -> DataFrame:
     """The ``keep`` items that share most users with each item; ties go to the smaller id."""
-    counts, positions = shared_users(ratings, top_n)
+    counts, ids = shared_users(ratings, top_n)
     best = Window.partitionBy("a").orderBy(F.desc("n_users"), "b")
-    top = counts.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= keep)
-    left = positions.select(F.col("position").alias("a"), "productId")
-    right = positions.select(F.col("position").alias("b"), F.col("productId").alias("co_productId"))
-    return (top.join(left, "a").join(right, "b")
-            .select("productId", "co_productId",
-                    S.half_even(F.col("n_users").cast("double"), 2).alias("cooc_score")))
+    top = (counts.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= keep)
+           .withColumn("ids", ids.scalar()))
+    return top.select(F.element_at("ids", F.col("a") + 1).alias("productId"),
+                      F.element_at("ids", (F.col("b") + 1).cast("int")).alias("co_productId"),
+                      S.half_even(F.col("n_users").cast("double"), 2).alias("cooc_score"))

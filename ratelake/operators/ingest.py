@@ -46,11 +46,13 @@ def keep_top_users(ratings: DataFrame, n: int) -> DataFrame:
         .select(*ratings.columns)
 
 
+def select_ratings(raw: DataFrame) -> DataFrame:
+    """Field map, rating range and required keys."""
+    return require_keys(rating_in_range(select_fields(raw, schemas.RATING_FIELDS)), "userId", "productId")
+
+
 def parse_ratings(raw: DataFrame, per_row_epoch: bool = False) -> DataFrame:
-    """Field map, rating range, required keys, epoch seconds."""
-    table = select_fields(raw, schemas.RATING_FIELDS)
-    table = require_keys(rating_in_range(table), "userId", "productId")
-    return normalise_epoch(table, per_row_epoch)
+    return normalise_epoch(select_ratings(raw), per_row_epoch)
 
 
 def first_per_product(products: DataFrame) -> DataFrame:

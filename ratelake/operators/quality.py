@@ -22,11 +22,11 @@ def _one_row(df: DataFrame):
     return df.select(F.struct(*df.columns).alias("v")).scalar()
 
 
-def _present(df: DataFrame, column: str):
-    """NaN counts as missing, as nulls do."""
+def _present(df: DataFrame, column: str) -> str:
+    """SQL test for a value; NaN counts as missing, as nulls do."""
     if dict(df.dtypes)[column] in ("double", "float"):
-        return F.col(column).isNotNull() & ~F.isnan(column)
-    return F.col(column).isNotNull()
+        return f"(`{column}` is not null and not isnan(`{column}`))"
+    return f"(`{column}` is not null)"
 
 
 def _pct(part, whole, digits):
@@ -35,24 +35,22 @@ def _pct(part, whole, digits):
 
 # -- profiles ---------------------------------------------------------------
 
-def _null_measures(df: DataFrame) -> dict:
-    return {"n": F.count(F.lit(1)), **{f"c{i}": F.count(F.when(_present(df, c), 1))
-                                       for i, c in enumerate(df.columns)}}
+def _null_measures(df: DataFrame) -> list:
+    return [F.expr("count(1) as n")] + [
+        F.expr(f"count_if({_present(df, c)}) as c{i}") for i, c in enumerate(df.columns)]
 
 
-def _null_rows(df: DataFrame, facts):
-    """List of ``column, null_count, null_pct`` from a struct of ``_null_measures``."""
-    return F.array(*[F.struct(
-        F.lit(c).alias("column"), (facts["n"] - facts[f"c{i}"]).alias("null_count"),
-        _pct(facts["n"] - facts[f"c{i}"], facts["n"], 2).alias("null_pct"))
-        for i, c in enumerate(df.columns)])
+def _null_rows(df: DataFrame) -> str:
+    """SQL list of ``column, null_count, null_pct`` over the ``_null_measures``."""
+    pct = "rint(try_divide((n - c{i}) * 100.0D, n) * 100.0D) / 100.0D"
+    rows = (f"struct('{c}' as column, n - c{i} as null_count, {pct.format(i=i)} as null_pct)"
+            for i, c in enumerate(df.columns))
+    return f"array({', '.join(rows)})"
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """``column, null_count, null_pct`` of every column, in one pass."""
-    measures = df.agg(*[m.alias(name) for name, m in _null_measures(df).items()])
-    return measures.select(F.struct(*measures.columns).alias("f")) \
-        .select(F.inline(_null_rows(df, F.col("f"))))
+    return df.agg(*_null_measures(df)).selectExpr(f"inline({_null_rows(df)})")
 
 
 def total_nulls(df: DataFrame) -> DataFrame:
@@ -65,14 +63,14 @@ def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates")))
 
 
-def _range_measures() -> dict:
-    inside = F.coalesce(F.col("rating").between(S.RATING_MIN, S.RATING_MAX), F.lit(False))
-    return {"n_out_of_range": F.count(F.when(~inside, 1))}
+def _range_measures() -> list:
+    return [F.expr(f"count_if(not coalesce(rating between {S.RATING_MIN}D and {S.RATING_MAX}D, false)) "
+                   "as n_out_of_range")]
 
 
 def rating_range_profile(ratings: DataFrame) -> DataFrame:
     """Rows whose rating is missing or outside the scale."""
-    return ratings.agg(*[m.alias(name) for name, m in _range_measures().items()])
+    return ratings.agg(*_range_measures())
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -83,18 +81,16 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("pct", _pct(F.col("n"), total, 1))
 
 
-def _timestamp_measures() -> dict:
-    ts = F.col("timestamp").try_cast("bigint")
-    return {"n_no_time": F.count(F.when(ts.isNull(), 1)),
-            "n_out_of_window": F.count(F.when(~S.in_window(ts), 1)),
-            "first_time": F.min(ts), "last_time": F.max(ts)}
+def _timestamp_measures() -> list:
+    ts = "try_cast(timestamp as bigint)"
+    return [F.expr(f"count_if({ts} is null) as n_no_time"),
+            F.expr(f"count_if({ts} not between {S.TIMESTAMP_MIN} and {S.TIMESTAMP_MAX}) as n_out_of_window"),
+            F.expr(f"date_from_unix_date(cast(floor(min({ts}) / 86400) as int)) as min_date"),
+            F.expr(f"date_from_unix_date(cast(floor(max({ts}) / 86400) as int)) as max_date")]
 
 
 def timestamp_profile(ratings: DataFrame) -> DataFrame:
-    seen = ratings.agg(*[m.alias(name) for name, m in _timestamp_measures().items()])
-    return seen.select(F.col("n_no_time").alias("n_null"), "n_out_of_window",
-                       S.calendar_date("first_time").alias("min_date"),
-                       S.calendar_date("last_time").alias("max_date"))
+    return ratings.agg(*_timestamp_measures()).withColumnRenamed("n_no_time", "n_null")
 
 
 def price_profile(products: DataFrame, distinct_bound: int | None = None) -> DataFrame:
@@ -161,93 +157,101 @@ def category_profile(products: DataFrame) -> DataFrame:
 # -- checks -----------------------------------------------------------------
 
 def _results(one_row: DataFrame, dataset: str, checks) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(dataset).alias("dataset"), F.lit(name).alias("check"),
-                              F.coalesce(passed, F.lit(False)).alias("passed"), detail.alias("detail"))
-                     for name, passed, detail in checks])
-    return one_row.select(F.inline(rows))
+    """One row per check, given as name, SQL test and SQL text over the columns of ``one_row``."""
+    rows = ", ".join(f"struct({_text(dataset)} as dataset, {_text(name)} as check, "
+                     f"coalesce({passed}, false) as passed, {detail} as detail)"
+                     for name, passed, detail in checks)
+    return one_row.selectExpr(f"inline(array({rows}))")
+
+
+def _text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _schema_check(df, expected):
     missing = [c for c in expected if c not in df.columns]
     extra = [c for c in df.columns if c not in expected]
-    return "schema", F.lit(not missing), F.lit(f"Missing cols: {missing} | Extra cols: {extra}")
+    return ("schema", "true" if not missing else "false",
+            _text(f"Missing cols: {missing} | Extra cols: {extra}"))
 
 
-def _missing_check(nulls):
-    worst = F.array_max(F.transform(nulls, lambda r: r["null_pct"]))
-    shown = F.array_join(F.transform(
-        F.filter(nulls, lambda r: r["null_count"] > 0),
-        lambda r: F.format_string("%s: %d (%.2f%%)", r["column"], r["null_count"], r["null_pct"])), "; ")
-    return ("missing_values", worst < NULL_LIMIT_PCT,
-            F.when(shown == "", F.lit("No missing values")).otherwise(shown))
+def _missing_check(df):
+    nulls = _null_rows(df)
+    shown = (f"array_join(transform(filter({nulls}, r -> r.null_count > 0), r -> "
+             "format_string('%s: %d (%.2f%%)', r.column, r.null_count, r.null_pct)), '; ')")
+    return ("missing_values", f"array_max(transform({nulls}, r -> r.null_pct)) < {NULL_LIMIT_PCT}D",
+            f"coalesce(nullif({shown}, ''), 'No missing values')")
 
 
 def _duplicate_check(name, n):
-    return name, n == 0, F.format_string("%,d duplicates found", n)
-
-
-def _as_list(df: DataFrame):
-    """A small, bounded table (one row per column, or at most n rows) as one list."""
-    return df.agg(F.collect_list(F.struct(*df.columns)).alias("v")).scalar()
+    return name, f"{n} = 0", f"format_string('%,d duplicates found', {n})"
 
 
 def schema_check(df: DataFrame, expected, dataset: str) -> DataFrame:
     return _results(df.sparkSession.range(1), dataset, [_schema_check(df, expected)])
 
 
-def check_ratings(ratings: DataFrame) -> DataFrame:
-    """The seven checks of a ratings table: one scan for row facts, one for keys."""
-    row = {**_null_measures(ratings), **_range_measures(), **_timestamp_measures()}
-    facts = ratings.sparkSession.range(1).select(
-        _one_row(ratings.agg(*[m.alias(name) for name, m in row.items()])).alias("b"),
-        _one_row(sparsity_of(key_profile(ratings), keep=True)).alias("k"))
-    b, k = F.col("b"), F.col("k")
-    return _results(facts, "ratings", [
+def check_ratings(ratings: DataFrame, expectations=()) -> DataFrame:
+    """The seven checks of a ratings table: one scan for row facts, one for keys.
+
+    ``expectations`` are measured in the same scan and added as further checks.
+    """
+    found = _Measured(ratings, expectations)
+    rows = ratings.agg(*_null_measures(ratings), *_range_measures(), *_timestamp_measures(), *found.measures)
+    keys = sparsity_of(key_profile(ratings), keep=True)
+    return _results(rows, "ratings", [
         _schema_check(ratings, schemas.RATINGS.names),
-        _missing_check(_null_rows(ratings, b)),
-        _duplicate_check("duplicate_rows", k["n_rows"] - k["n_distinct_rows"]),
-        _duplicate_check("duplicate_userId+productId", k["n_rows"] - k["n_pairs"]),
-        ("rating_range", b["n_out_of_range"] == 0,
-         F.format_string("%d out-of-range values", b["n_out_of_range"])),
-        ("timestamp_validity", (b["n_no_time"] == 0) & (b["n_out_of_window"] == 0),
-         F.format_string("Range: %s to %s | Nulls: %d | Out-of-window: %d",
-                         S.calendar_date(b["first_time"]).cast("string"),
-                         S.calendar_date(b["last_time"]).cast("string"),
-                         b["n_no_time"], b["n_out_of_window"])),
-        ("sparsity", k["sparsity_pct"] > SPARSE_ABOVE_PCT,
-         F.format_string("Users: %,d | Items: %,d | Interactions: %,d | Sparsity: %.2f%% | "
-                         "Avg ratings/user: %.1f | Avg ratings/item: %.1f", k["n_users"], k["n_items"],
-                         k["n_ratings"], k["sparsity_pct"], k["ratings_per_user"], k["ratings_per_item"])),
-    ])
-
-
-def check_products(products: DataFrame, price_bound: int | None = None) -> DataFrame:
-    """The five checks of a product table."""
-    spark = products.sparkSession
-    facts = spark.range(1).select(
-        _as_list(null_profile(products)).alias("nulls"),
-        duplicate_count(products, ["productId"]).scalar().alias("dups"),
-        _one_row(price_profile(products, price_bound)).alias("p"),
-        _one_row(category_profile(products)).alias("c"),
-        _as_list(top_values(products, "category", 5)).alias("top"))
-    p, c = F.col("p"), F.col("c")
-    top = F.array_join(F.transform("top", lambda r: F.format_string("%s: %d", r["category"], r["n"])), ", ")
-    return _results(facts, "products", [
-        _schema_check(products, schemas.PRODUCTS.names),
-        _missing_check(F.col("nulls")),
-        _duplicate_check("duplicate_productId", F.col("dups")),
-        ("price_range", p["n_negative"] == 0,
-         F.format_string("Nulls: %d | Negatives: %d | Zeros: %d | Outliers (>3 x p95): %d | "
-                         "p50: $%.2f | p95: $%.2f", p["n_null"], p["n_negative"], p["n_zero"],
-                         p["n_outliers"], p["p50"], p["p95"])),
-        ("category_coverage", F.try_divide(c["n_empty"], c["n_rows"]) < EMPTY_CATEGORY_SHARE,
-         F.concat(F.format_string("Unique categories: %d | Empty: %d (%.1f%%) | Top 5: ",
-                                  c["n_categories"], c["n_empty"], c["pct_empty"]), top)),
-    ])
-
-
-def check_all(ratings: DataFrame, products: DataFrame, price_bound: int | None = None) -> DataFrame:
-    return check_ratings(ratings).unionByName(check_products(products, price_bound))
+        _missing_check(ratings),
+        ("rating_range", "n_out_of_range = 0", "format_string('%d out-of-range values', n_out_of_range)"),
+        ("timestamp_validity", "n_no_time = 0 and n_out_of_window = 0",
+         "format_string('Range: %s to %s | Nulls: %d | Out-of-window: %d', cast(min_date as string), "
+         "cast(max_date as string), n_no_time, n_out_of_window)"),
+        *found.checks,
+    ]).unionByName(_results(keys, "ratings", [
+        _duplicate_check("duplicate_rows", "(n_rows - n_distinct_rows)"),
+        _duplicate_check("duplicate_userId+productId", "(n_rows - n_pairs)"),
+        ("sparsity", f"sparsity_pct > {SPARSE_ABOVE_PCT}D",
+         "format_string('Users: %,d | Items: %,d | Interactions: %,d | Sparsity: %.2f%% | "
+         "Avg ratings/user: %.1f | Avg ratings/item: %.1f', n_users, n_items, n_ratings, sparsity_pct, "
+         "ratings_per_user, ratings_per_item)"),
+    ]))
+
+
+def check_products(products: DataFrame, price_bound: int | None = None, expectations=()) -> DataFrame:
+    """The five checks of a product table, and ``expectations`` in the same scans."""
+    found = _Measured(products, expectations)
+    rows = products.agg(*_null_measures(products), *found.measures)
+    # One count per product serves the duplicate check and the uniqueness of the key.
+    unique_id = [e for e in found.unique if e.column == "productId"]
+    ids = products.groupBy("productId").agg(F.expr("count(1) as c")).agg(
+        F.expr("coalesce(sum(c - 1), 0) as n_duplicates"),
+        F.expr("coalesce(max(case when productId is not null then c end), 1) as most"))
+    top = top_values(products, "category", 5).agg(F.collect_list(F.struct("category", "n")).alias("v"))
+    out = _results(rows, "products", [
+        _schema_check(products, schemas.PRODUCTS.names), _missing_check(products), *found.checks,
+    ]).unionByName(_results(ids, "products", [
+        _duplicate_check("duplicate_productId", "n_duplicates"),
+        *((e.name, "most <= 1", "'expectation'") for e in unique_id),
+    ])).unionByName(_results(price_profile(products, price_bound), "products", [
+        ("price_range", "n_negative = 0",
+         "format_string('Nulls: %d | Negatives: %d | Zeros: %d | Outliers (>3 x p95): %d | "
+         "p50: $%.2f | p95: $%.2f', n_null, n_negative, n_zero, n_outliers, p50, p95)"),
+    ])).unionByName(_results(category_profile(products).withColumn("top", top.scalar()), "products", [
+        ("category_coverage", f"try_divide(n_empty, n_rows) < {EMPTY_CATEGORY_SHARE}D",
+         "concat(format_string('Unique categories: %d | Empty: %d (%.1f%%) | Top 5: ', n_categories, n_empty, "
+         "pct_empty), array_join(transform(top, r -> format_string('%s: %d', r.category, r.n)), ', '))"),
+    ]))
+    others = [e for e in found.unique if e.column != "productId"]
+    if others:
+        out = out.unionByName(expect(products, others, "products").select(
+            "dataset", F.col("expectation").alias("check"), "passed", F.lit("expectation").alias("detail")))
+    return out
+
+
+def check_all(ratings: DataFrame, products: DataFrame, price_bound: int | None = None,
+              rating_expectations=(), product_expectations=()) -> DataFrame:
+    return check_ratings(ratings, rating_expectations).unionByName(
+        check_products(products, price_bound, product_expectations))
 
 
 def passed_of_total(results: DataFrame) -> DataFrame:
@@ -290,37 +294,53 @@ PRODUCT_EXPECTATIONS = (
 )
 
 
+class _Measured:
+    """SQL measures of row-level expectations and the tests over them; ``unique`` ones are set apart."""
+
+    def __init__(self, df: DataFrame, expectations):
+        self.measures, self.verdicts, self.unique = [], [], []
+        for i, e in enumerate(expectations):
+            if e.kind == "exists":
+                passed = "true" if e.column in df.columns else "false"
+            elif e.kind == "rows_between":
+                passed = f"n between {e.low} and {e.high}"
+            elif e.column not in df.columns:
+                passed = "false"
+            elif e.kind == "unique":
+                self.unique.append(e)
+                continue
+            else:
+                present = _present(df, e.column)
+                good = {"not_null": present,
+                        "between": f"{present} and try_cast(`{e.column}` as double) between {e.low}D and {e.high}D",
+                        "matches": f"{present} and `{e.column}` rlike {_text(e.pattern)}"}[e.kind]
+                base = "count(1)" if e.kind == "not_null" else f"count_if({present})"
+                self.measures += [F.expr(f"{base} as n{i}"), F.expr(f"count_if({good}) as ok{i}")]
+                passed = f"coalesce(try_divide(ok{i}, n{i}) >= {float(e.mostly)}D, true)"
+            self.verdicts.append((e.name, passed))
+
+    @property
+    def checks(self) -> list:
+        return [(name, passed, "'expectation'") for name, passed in self.verdicts]
+
+
 def expect(df: DataFrame, expectations, dataset: str) -> DataFrame:
     """``dataset, expectation, passed``, matched by name.
 
     All row-level expectations share one scan; each ``unique`` adds one
     aggregation on its column.  A missing column fails its expectations.
     """
-    n = F.count(F.lit(1))
-    measures, verdicts = [n.alias("n")], []
-    for i, e in enumerate(expectations):
-        if e.kind == "exists":
-            passed = F.lit(e.column in df.columns)
-        elif e.kind == "rows_between":
-            passed = F.col("m.n").between(e.low, e.high)
-        elif e.column not in df.columns:
-            passed = F.lit(False)
-        elif e.kind == "unique":
-            repeated = (df.where(_present(df, e.column)).groupBy(e.column)
-                        .agg(F.count(F.lit(1)).alias("c")).agg(F.max("c").alias("c")).scalar())
-            passed = F.coalesce(repeated <= 1, F.lit(True))
-        else:
-            c, present = F.col(e.column), _present(df, e.column)
-            good = {"not_null": present,
-                    "between": present & c.try_cast("double").between(F.lit(e.low), F.lit(e.high)),
-                    "matches": present & c.rlike(e.pattern or "")}[e.kind]
-            base = n if e.kind == "not_null" else F.count(F.when(present, 1))
-            measures += [base.alias(f"n{i}"), F.count(F.when(good, 1)).alias(f"ok{i}")]
-            share = F.try_divide(F.col(f"m.ok{i}"), F.col(f"m.n{i}"))
-            passed = F.coalesce(share >= e.mostly, F.lit(True))
-        verdicts.append((e.name, passed))
-    facts = df.agg(*measures)
-    table = df.sparkSession.range(1).select(_one_row(facts).alias("m"))
-    return table.select(F.inline(F.array(*[
-        F.struct(F.lit(dataset).alias("dataset"), F.lit(name).alias("expectation"), passed.alias("passed"))
-        for name, passed in verdicts])))
+    def rows(one_row, checks):
+        return _results(one_row, dataset, checks).select(
+            "dataset", F.col("check").alias("expectation"), "passed")
+
+    found = _Measured(df, expectations)
+    parts = [rows(df.agg(F.expr("count(1) as n"), *found.measures), found.checks)] if found.verdicts else []
+    for e in found.unique:
+        repeats = (df.where(_present(df, e.column)).groupBy(e.column).agg(F.expr("count(1) as c"))
+                   .agg(F.expr("coalesce(max(c), 1) as most")))
+        parts.append(rows(repeats, [(e.name, "most <= 1", "'expectation'")]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -52,7 +52,7 @@ def training_set(interactions: DataFrame, users: DataFrame, items: DataFrame,
     return table.select(*TRAINING_COLUMNS)
 
 
-def exact_sample(df: DataFrame, fraction: float, keys, seed: int = 42, cells: int = 1 << 16) -> DataFrame:
+def exact_sample(df: DataFrame, fraction: float, keys, seed: int = 42, cells: int = 1 << 18) -> DataFrame:
     """``round(fraction * n)`` rows in the order of a seeded hash of ``keys``.
 
     Hash cells that lie wholly below the cut are kept by a filter; only the one

@@ -1,6 +1,7 @@
 """Batch steps from raw files to recommendations.  A failed step raises."""
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +12,12 @@ from ratelake.session import stage
 from ratelake.sources import models, raw, snapshots, tables
 
 
+def _together(*steps) -> list:
+    """Run independent writes at the same time, so that a small one does not wait for a large one."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def stamp() -> str:
     return time.strftime("%Y%m%d_%H%M%S", time.gmtime())
 
@@ -20,9 +27,7 @@ def ingest_all(spark: SparkSession, root: str, rating_lines: str, product_lines:
     """Ratings, products and, if given, catalog pages to snapshots, each with an audit row."""
     ts = ingest_ts or stamp()
     good, bad = raw.read_rating_lines(spark, rating_lines)
-    ratings = ingest.parse_ratings(good)
-    if sample_users:
-        ratings = ingest.keep_top_users(ratings, sample_users)
+    ratings = select_users(stage(ingest.select_ratings(good), "rating_records"), sample_users)
     good_products, _ = raw.read_product_lines(spark, product_lines)
     jobs = {"ratings": ratings, "products": ingest.parse_products(good_products)}
     if pages:
@@ -34,14 +39,21 @@ def ingest_all(spark: SparkSession, root: str, rating_lines: str, product_lines:
     return {name: snapshots.load_latest(spark, f"{root}/raw/{name}") for name in jobs}
 
 
+def select_users(records: DataFrame, sample_users: int | None) -> DataFrame:
+    """Epoch seconds and the most active users.
+
+    ``records`` is a staged table: its largest stamp and its user counts are read
+    off single columns, so that the text is parsed only once.
+    """
+    ratings = ingest.normalise_epoch(records)
+    return ingest.keep_top_users(ratings, sample_users) if sample_users else ratings
+
+
 def validate(ratings: DataFrame, products: DataFrame, root: str | None = None) -> DataFrame:
     """All checks and all expectations as one table ``dataset, check, passed, detail``."""
     bound = distinct_bounds(products, "price")["price"]
-    checks = quality.check_all(ratings, products, bound)
-    expected = quality.expect(ratings, quality.RATING_EXPECTATIONS, "ratings").unionByName(
-        quality.expect(products, quality.PRODUCT_EXPECTATIONS, "products"))
-    results = quality.summary_rows(checks.unionByName(expected.select(
-        "dataset", F.col("expectation").alias("check"), "passed", F.lit("expectation").alias("detail"))))
+    results = quality.summary_rows(quality.check_all(
+        ratings, products, bound, quality.RATING_EXPECTATIONS, quality.PRODUCT_EXPECTATIONS))
     if root:
         tables.write_table(results, root, "check_results")
         return tables.read_table(results.sparkSession, root, "check_results")
@@ -51,25 +63,31 @@ def validate(ratings: DataFrame, products: DataFrame, root: str | None = None) -
 def prepare_all(ratings: DataFrame, products: DataFrame, root: str, enrichment: DataFrame | None = None,
                 enrich: bool = False) -> tuple:
     """Clean both tables, add catalog ratings if asked, and store them."""
-    cleaned = clean_products_measured(products)
-    if enrich:
-        cleaned = prepare.enrich_products(cleaned, enrichment)
-    tables.write_table(prepare.clean_ratings(ratings), root, "cleaned_ratings")
-    tables.write_table(cleaned, root, "cleaned_products")
+    def catalog():
+        cleaned = clean_products_measured(products)
+        if enrich:
+            cleaned = prepare.enrich_products(cleaned, enrichment)
+        tables.write_table(cleaned, root, "cleaned_products")
+
+    _together(lambda: tables.write_table(prepare.clean_ratings(ratings), root, "cleaned_ratings"), catalog)
     return tables.load_cleaned(ratings.sparkSession, root)
 
 
 def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: int = 500) -> dict:
     """The four feature tables and the registry, from stored cleaned tables."""
-    base = stage(features.item_base(ratings, products), "item_base")
-    tables.write_features({"item_features": encode_items_measured(base)}, root)
-    items = tables.read_table(ratings.sparkSession, root, "item_features")
-    tables.write_features({
-        "user_features": features.user_features(ratings, products),
-        "interaction_features": features.interaction_features(ratings, items),
-        "cooccurrence": features.cooccurrence(ratings, top_n)}, root)
+    def items_and_interactions():
+        base = stage(features.item_base(ratings, products), "item_base")
+        tables.write_features({"item_features": encode_items_measured(base)}, root)
+        items = tables.read_table(ratings.sparkSession, root, "item_features")
+        tables.write_features({"interaction_features": features.interaction_features(ratings, items)}, root)
+
+    _together(
+        items_and_interactions,
+        lambda: tables.write_features({"user_features": features.user_features(ratings, products)}, root),
+        lambda: tables.write_features({"cooccurrence": features.cooccurrence(ratings, top_n)}, root))
     stored = tables.read_features(ratings.sparkSession, root)
-    tables.write_registry(stored, root)
+    _together(lambda: tables.write_table(tables.feature_registry(stored), root, "feature_registry"),
+              lambda: tables.write_table(tables.registry_totals(stored), root, "feature_totals"))
     return stored
 
 

@@ -69,7 +69,8 @@ def _(spark, d):
     return explore.head_share(T.cleaned_ratings(spark, d))
 
 
-@query("popularity_curve", """SELECT row_number() OVER (ORDER BY n DESC, "productId") - 1 AS rank, "productId", n
+@query("popularity_curve", """SELECT cast(row_number() OVER (ORDER BY n DESC, "productId") - 1 AS int) AS rank,
+    "productId", n
     FROM (SELECT "productId", count(*) AS n FROM CR GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 500)""", "CR")
 def _(spark, d):
     return explore.popularity_curve(T.cleaned_ratings(spark, d))
@@ -176,7 +177,7 @@ def _(spark, d):
 
 
 def _top_sql(key, name, n=200):
-    return f"""(SELECT "{key}" AS k, row_number() OVER (ORDER BY count(*) DESC, "{key}") - 1 AS {name}
+    return f"""(SELECT "{key}" AS k, cast(row_number() OVER (ORDER BY count(*) DESC, "{key}") - 1 AS int) AS {name}
         FROM CR GROUP BY 1 QUALIFY {name} < {n})"""
 
 

@@ -80,8 +80,8 @@ def _(spark, d):
     return ranking.errors(_predictions(spark, d))
 
 
-_BY_EST = """row_number() OVER (PARTITION BY "userId" ORDER BY prediction DESC, "productId")"""
-_BY_TRUE = """row_number() OVER (PARTITION BY "userId" ORDER BY rating DESC, "productId")"""
+_BY_EST = """cast(row_number() OVER (PARTITION BY "userId" ORDER BY prediction DESC, "productId") AS int)"""
+_BY_TRUE = """cast(row_number() OVER (PARTITION BY "userId" ORDER BY rating DESC, "productId") AS int)"""
 
 
 @query("relevance_flags", 'SELECT "userId", "productId", rating >= 3.5 AS relevant FROM CR', "CR")

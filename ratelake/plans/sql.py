@@ -97,7 +97,8 @@ CTES = {
     "RECS": (("CR", "CP", "MU", "ITEMOFF", "USEROFF", "TOPITEMS"), f"""
         SELECT s."userId", rank, s."productId", predicted_rating, left(coalesce(title, 'Unknown'), 50) AS title,
         left(coalesce(category, 'Unknown'), 40) AS category, price, brand FROM (
-          SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY predicted_rating DESC, "productId") AS rank
+          SELECT *, cast(row_number() OVER (PARTITION BY "userId"
+            ORDER BY predicted_rating DESC, "productId") AS int) AS rank
           FROM (SELECT "userId", t."productId",
             {rnd('least(greatest((SELECT mu FROM MU) + user_offset + item_offset, 1.0), 5.0)', 3)}
               AS predicted_rating
@@ -114,15 +115,15 @@ CTES = {
         SELECT "productId", w AS term FROM WORDS UNION ALL
         SELECT a."productId", a.w || ' ' || b.w FROM WORDS a JOIN WORDS b
         ON a."productId" = b."productId" AND b.i = a.i + 1) GROUP BY 1, 2"""),
-    "VOCAB": (("TF", "PROFILE"), """SELECT term, row_number() OVER (ORDER BY term) - 1 AS position, df,
+    "VOCAB": (("TF", "PROFILE"), """SELECT term, cast(row_number() OVER (ORDER BY term) - 1 AS int) AS position, df,
         ln(((SELECT count(*) FROM PROFILE) + 1.0::DOUBLE) / (df + 1.0::DOUBLE)) + 1.0 AS idf FROM (
         SELECT term, count(*) AS df, sum(tf) AS total FROM TF GROUP BY 1 HAVING count(*) >= 2
         ORDER BY total DESC, term LIMIT 5000)"""),
     "WEIGHTS": (("TF", "VOCAB"), """SELECT "productId", term, position,
         tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY "productId")) AS weight
         FROM TF JOIN VOCAB USING (term)"""),
-    "NEIGHBOURS": (("WEIGHTS",), f"""SELECT *, row_number() OVER (PARTITION BY "productId"
-          ORDER BY similarity DESC, "other_productId") AS rank FROM (
+    "NEIGHBOURS": (("WEIGHTS",), f"""SELECT *, cast(row_number() OVER (PARTITION BY "productId"
+          ORDER BY similarity DESC, "other_productId") AS int) AS rank FROM (
         SELECT a."productId", b."productId" AS "other_productId", {rnd('sum(a.weight * b.weight)', 6)} AS similarity
         FROM WEIGHTS a JOIN WEIGHTS b ON a.position = b.position AND a."productId" <> b."productId"
         GROUP BY 1, 2) WHERE similarity > 0.01 QUALIFY rank <= 50"""),

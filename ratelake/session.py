@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings the library relies on; cluster sizing is left to the submitter.
 SETTINGS = {
@@ -55,3 +55,15 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# A table of at most this many short rows may be sent to every executor.
+BROADCAST_ROWS = 100_000
+
+
+def bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint for a table of at most ``max_rows`` rows; without it beyond the bound.
+
+    Then the optimizer chooses the join by the sizes it measures.
+    """
+    return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df

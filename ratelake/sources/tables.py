@@ -100,11 +100,13 @@ def feature_registry(tables: dict) -> DataFrame:
         rows, "feature_set string, column string, type string, description string, encoder string")
     if "item_features" not in tables:
         return registry.withColumn("n_classes", F.lit(None).cast("bigint"))
+    # Codes run from 0 without gaps.
+    codes = [c for c, (_, kind) in ENCODERS.items() if kind == "label"]
+    last = tables["item_features"].agg(*[F.max(c).cast("bigint").alias(c) for c in codes]) \
+        .select(F.struct(*codes).alias("v")).scalar()
     n_classes = F.lit(None).cast("bigint")
-    for column, (source, kind) in ENCODERS.items():
-        if kind == "label":
-            classes = tables["item_features"].select(source).distinct().agg(F.count(F.lit(1))).scalar()
-            n_classes = F.when(F.col("column") == column, classes).otherwise(n_classes)
+    for c in codes:
+        n_classes = F.when(F.col("column") == c, last[c] + 1).otherwise(n_classes)
     return registry.withColumn("n_classes", n_classes)
 
 

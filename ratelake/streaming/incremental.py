@@ -2,9 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratelake import schemas
 from ratelake.operators.ingest import parse_ratings
-from ratelake.sources.raw import good_and_bad, parse_lines
+from ratelake.sources.raw import rating_lines
 
 
 def ingest_new_ratings(spark: SparkSession, folder: str, out: str, checkpoint: str,
@@ -14,10 +13,11 @@ def ingest_new_ratings(spark: SparkSession, folder: str, out: str, checkpoint: s
     The unit of time stamps is decided row by row, since a stream has no table
     maximum.  Rows are stateless: repeats are dropped later, by the cleaning step.
     """
-    reader = spark.readStream
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    good, bad = good_and_bad(parse_lines(reader.text(folder), schemas.RAW_RATINGS))
+    def reader():
+        stream = spark.readStream
+        return stream.option("maxFilesPerTrigger", max_files) if max_files else stream
+
+    good, bad = rating_lines(reader, folder)
     queries = [_drain(parse_ratings(good, per_row_epoch=True), out, f"{checkpoint}/ratings")]
     if quarantine:
         queries.append(_drain(bad, quarantine, f"{checkpoint}/quarantine"))
