@@ -81,9 +81,9 @@ def inference_features(users: DataFrame, items: DataFrame, user_id: str, candida
         chosen = items.orderBy(F.desc("item_rating_count"), "productId").limit(top_n)
     else:
         chosen = item_features_of(items, candidates)
-    user = users.where(F.col("userId") == user_id)
-    return (chosen.withColumn("userId", F.lit(user_id)).join(user, "userId")
-            .select(*users.columns, *items.columns))
+    # One row at most, so it is a subquery value beside each candidate rather than a join.
+    user = users.where(F.col("userId") == user_id).agg(F.first(F.struct(*users.columns))).scalar()
+    return chosen.withColumn("_user", user).where(F.col("_user").isNotNull()).select("_user.*", *items.columns)
 
 
 def cooccurring_items(cooccurrence: DataFrame, product_id: str, top_n: int = 5) -> DataFrame:
