@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A batch run has more generated classes than the default of 100 keeps.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
