@@ -1,7 +1,5 @@
 """Feature tables and their parts."""
 
-from pyspark.sql import functions as F
-
 from ratelake.functions import scalar as S
 from ratelake.operators import features, store
 from ratelake.plans import tables as T

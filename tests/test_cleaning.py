@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from ratelake import schemas
 from ratelake.functions import scalar as S
 from ratelake.operators import ingest, prepare, quality
