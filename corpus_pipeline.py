@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratelake.llm import quality_model, quality_rules
+from ratelake.llm import neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 from ratelake.session import stage
 
@@ -17,7 +17,12 @@ def drop_unlikely(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_model.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality_rules", drop_low_quality), ("quality_classifier", drop_unlikely)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, that with the smallest id."""
+    return neardup.keep_one(docs)
+
+
+STAGES = [("quality_rules", drop_low_quality), ("quality_classifier", drop_unlikely), ("near_duplicates", drop_near_copies)]
 
 #: The classifier is no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

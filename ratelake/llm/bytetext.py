@@ -186,3 +186,70 @@ def trigrams(s: Slice, bits):
     place = np.arange(1, len(b))
     inside[1:] = place + 2 < s.text_end[text]
     return gram.astype(np.int64), inside
+
+
+def shingle_sets(texts, size):
+    """Distinct shingles of each text, lower-cased: hashes in text order, their text, and the end of each text's run."""
+    s = Slice(texts, lower=True)
+    words = s.word_hashes()
+    gram, owner, _ = s.windows(words, size)
+    few = np.flatnonzero((s.n_words > 0) & (s.n_words < size))
+    if len(few):
+        whole = np.zeros(len(few), U)
+        for k in range(size - 1):
+            has = s.n_words[few] > k
+            whole[has] = whole[has] * _BASE + words[s.first[few][has] + k] + U(k + 1)
+        gram, owner = np.append(gram, mix(whole ^ U(0x1F83D9ABFB41BD6B))), np.append(owner, few)
+    _, first = np.unique(tagged(gram, owner), return_index=True)
+    order = first[np.argsort(owner[first], kind="stable")]
+    return gram[order], owner[order], np.cumsum(np.bincount(owner[order], minlength=s.n))
+
+
+def shingle_set(one, size):
+    """Sorted distinct shingle hashes of one text."""
+    return np.sort(shingle_sets([one], size)[0])
+
+
+def similar(a, b, percent):
+    """100 * intersection >= percent * union, for sorted sets that are not empty."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def _permute(x):
+    """A bijection of 32-bit numbers."""
+    x = x * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x85EBCA77)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE3D)
+    return x
+
+
+def circulant_minima(hashes, starts, ends, bands, rows):
+    """The low 16 bits of each coordinate's minimum, ``rows`` of them to a number; texts without shingles left out.
+
+    The first permutation is the spread hash itself, cut to 32 bits; coordinate k shifts it
+    round the circle by k steps before the second permutation.
+    """
+    some = ends > starts
+    spread = (mix(hashes ^ U(0x3C6EF372FE94F82B)) >> U(32)).astype(np.uint32)
+    edges = starts[some]
+    out = np.zeros((int(some.sum()), bands * rows), np.uint16)
+    if len(edges):
+        with np.errstate(over="ignore"):
+            for k in range(bands * rows):
+                shifted = _permute(spread + np.uint32((k * 0x6C8E9CF5) & 0xFFFFFFFF))
+                least = np.minimum.reduceat(shifted, edges)
+                out[:, k] = (least ^ (least >> np.uint32(16))).astype(np.uint16)
+    return np.ascontiguousarray(out).view(np.int64) if rows == 4 else \
+        mix(_fold(out.reshape(len(out), bands, rows))).view(np.int64)
+
+
+def _fold(lanes):
+    total = np.zeros(lanes.shape[:2], U)
+    for k in range(lanes.shape[2]):
+        total = total * _BASE + lanes[:, :, k].astype(U) + U(1)
+    return total

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and, where SQL can say it, their SQL."""
 
-from ratelake.llm import quality_model, quality_rules
+from ratelake.llm import neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 
 QUERIES: dict = {}
@@ -26,3 +26,8 @@ def op4_quality_rules(spark, folder):
 @query("op5_quality_classifier")
 def op5_quality_classifier(spark, folder):
     return quality_model.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents"))
