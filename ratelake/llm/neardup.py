@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     worded = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stage(worded.groupBy(*set_key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
 
-    banded = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    banded = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
     buckets = (banded.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"),
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "rep")).alias("y"))
@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
         .groupBy("n", "x", "y", "pivot").agg(F.min(F.struct("band", "key")).alias("b"))
         .select("b.band", "b.key", "n", "pivot"))
     members = stage(banded.join(buckets, ["band", "key"]).select(
-        F.xxhash64("band", "key").alias("bucket"), "n", "pivot", "rep"), "members")
+        F.xxhash64("band", "key").alias("bucket"), "n", "pivot", "rep", "n_shingles"), "members")
 
     sizes = classes.select("rep", "n_shingles", "bands")
     pairs = members.where(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     first = stage(components(links), "components")
 
     placed = stage(members.where(F.col("n") > 2).join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("label")), "placed")
+        "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("label")), "placed")
     main = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
             .groupBy("bucket").agg(F.max(F.struct("k", F.negative("label").alias("l"))).alias("most"),
                                    F.sum("k").alias("n"), F.count(F.lit(1)).alias("labels"))
@@ -201,11 +201,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
              .withColumn("i", F.pmod(F.shiftright(spot, 20), F.col("out_blocks")))
              .withColumn("j", F.pmod(spot, F.col("all_blocks"))))
     upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    dealt = (open_.where("is_out").select("bucket", "rep", "label", "i", F.explode(upto("all_blocks")).alias("j"), F.lit(True).alias("outsider"))
-             .unionByName(open_.select("bucket", "rep", "label", F.explode(upto("out_blocks")).alias("i"), "j",
+    dealt = (open_.where("is_out").select("bucket", "rep", "n_shingles", "label", "i", F.explode(upto("all_blocks")).alias("j"), F.lit(True).alias("outsider"))
+             .unionByName(open_.select("bucket", "rep", "n_shingles", "label", F.explode(upto("out_blocks")).alias("i"), "j",
                                        F.lit(False).alias("outsider")))
-             .groupBy("bucket", "i", "j", "rep", "label").agg(F.max("outsider").alias("outsider")))
-    dealt = stage(dealt.join(classes.select("rep", "n_shingles"), "rep"), "dealt")
+             .groupBy("bucket", "i", "j", "rep", "n_shingles", "label").agg(F.max("outsider").alias("outsider")))
+    dealt = stage(dealt, "dealt")
     chunks = dealt.agg(F.ceil(F.sum("n_shingles") / CHUNK)).first()[0] or 1
     filled = dealt.join(texts, "rep").withColumn("chunk", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(chunks)))
     more = filled.groupBy("chunk").applyInArrow(block_links(words_per_shingle, similarity), LINK)
