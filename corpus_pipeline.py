@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratelake.llm import neardup, quality_model, quality_rules
+from ratelake.llm import mixing, neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 from ratelake.session import stage
 
@@ -22,7 +22,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return neardup.keep_one(docs)
 
 
-STAGES = [("quality_rules", drop_low_quality), ("quality_classifier", drop_unlikely), ("near_duplicates", drop_near_copies)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_rows(docs)
+
+
+STAGES = [("quality_rules", drop_low_quality), ("quality_classifier", drop_unlikely), ("near_duplicates", drop_near_copies),
+          ("mix_sources", mix_sources)]
 
 #: The classifier is no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and, where SQL can say it, their SQL."""
 
-from ratelake.llm import neardup, quality_model, quality_rules
+from ratelake.llm import mixing, neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 
 QUERIES: dict = {}
@@ -31,3 +31,8 @@ def op5_quality_classifier(spark, folder):
 @query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op1_mix_sources", mixing.MIX_SQL)
+def op1_mix_sources(spark, folder):
+    return mixing.mix(table(spark, folder, "documents"))
