@@ -1,8 +1,9 @@
 """A corpus pipeline: each stage is one operator, written as Parquet and read again by the next."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratelake.llm import mixing, neardup, quality_model, quality_rules
+from ratelake.llm import bpe, mixing, neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 from ratelake.session import stage
 
@@ -27,8 +28,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token numbers of each document, with the digests of the numbers and of what they decode to."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                          with_ids=True)
+
+
 STAGES = [("quality_rules", drop_low_quality), ("quality_classifier", drop_unlikely), ("near_duplicates", drop_near_copies),
-          ("mix_sources", mix_sources)]
+          ("mix_sources", mix_sources), ("byte_level_bpe", encode)]
 
 #: The classifier is no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

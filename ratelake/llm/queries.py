@@ -1,6 +1,8 @@
 """The registered queries of this subpackage and, where SQL can say it, their SQL."""
 
-from ratelake.llm import mixing, neardup, quality_model, quality_rules
+import public_tokenizers
+
+from ratelake.llm import bpe, mixing, neardup, quality_model, quality_rules
 from ratelake.llm.runtime import table
 
 QUERIES: dict = {}
@@ -36,3 +38,9 @@ def op3_minhash_near_dedup(spark, folder):
 @query("op1_mix_sources", mixing.MIX_SQL)
 def op1_mix_sources(spark, folder):
     return mixing.mix(table(spark, folder, "documents"))
+
+
+@query("op9_byte_level_bpe")
+def op9_byte_level_bpe(spark, folder):
+    return bpe.round_trip(table(spark, folder, "documents"),
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
