@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and, where SQL can say it, their SQL."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from ratelake.llm import bpe, mixing, neardup, quality_model, quality_rules
+from ratelake.llm import bpe, mixing, neardup, quality_model, quality_rules, token_counts, topk
 from ratelake.llm.runtime import table
 
 QUERIES: dict = {}
@@ -44,3 +45,14 @@ def op1_mix_sources(spark, folder):
 def op9_byte_level_bpe(spark, folder):
     return bpe.round_trip(table(spark, folder, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark, folder):
+    return token_counts.count_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query("op2_exact_top_k", topk.TOP_SQL)
+def op2_exact_top_k(spark, folder):
+    return topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
