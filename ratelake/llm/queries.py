@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ratelake.llm import bpe, mixing, neardup, quality_model, quality_rules, token_counts, topk
+from ratelake.llm import (
+    bpe, chat, licenses, mixing, neardup, quality_model, quality_rules, sharding, token_counts, topk,
+)
 from ratelake.llm.runtime import table
 
 QUERIES: dict = {}
@@ -56,3 +58,24 @@ def op8_token_counts(spark, folder):
 @query("op2_exact_top_k", topk.TOP_SQL)
 def op2_exact_top_k(spark, folder):
     return topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op7_chat_formatting", chat.CHAT_SQL)
+def op7_chat_formatting(spark, folder):
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    messages = given.unionByName(probe).withColumn("parts", chat.text_part())
+    return chat.digests(chat.format_turns(messages))
+
+
+@query("op6_license_scan")
+def op6_license_scan(spark, folder):
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+@query("op10_extendible_sharding")
+def op10_extendible_sharding(spark, folder):
+    return sharding.shard(table(spark, folder, "documents"))
