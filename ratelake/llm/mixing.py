@@ -59,7 +59,7 @@ def apportion(parties: DataFrame, keys: list, party: str, share: str, seats: Col
     in between, about two a party, go by highest quotient share / (2k + 1), ties to the smaller ``party``.
     """
     group = Window.partitionBy(*keys)
-    n, fair = F.count(F.lit(1)).over(group), F.col(share) / F.sum(share).over(group)
+    n, fair = F.count(F.lit(1)).over(group), F.try_divide(F.col(share), F.sum(share).over(group))
 
     def bound(sign):
         found = F.floor(fair * (F.col("_seats") + n * (sign * 0.5)) + (0.5 + sign * 1e-9))
@@ -123,7 +123,7 @@ def mix(docs: DataFrame, share: float = SHARE, rounds: int = ROUNDS, weights=WEI
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, to the nearest whole number; columns as before."""
     plan = mix(docs, **settings).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    copies = plan.select(F.col("doc_id").alias("_id"), F.expr("CAST(round(_taken / _size) AS INT)").alias("_copies")) \
+    copies = plan.select(F.col("doc_id").alias("_id"), F.expr("CAST(round(try_divide(_taken, _size)) AS INT)").alias("_copies")) \
         .where(F.col("_copies") > 0)
     return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))) \
         .withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
