@@ -76,6 +76,12 @@ def whole_seconds(c) -> Column:
                       F.lit(0).cast("bigint"))
 
 
+def date_time_seconds(c) -> Column:
+    """Epoch second of a date-time text; null for numbers and for anything else."""
+    c = as_col(c).cast("string")
+    return F.when(c.try_cast("double").isNull(), F.unix_seconds(c.try_cast("timestamp")))
+
+
 def epoch_seconds(ts, largest=None) -> Column:
     """Milliseconds to seconds, judged by the table's ``largest`` stamp or else by the row's own."""
     ts = as_col(ts)

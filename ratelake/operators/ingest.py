@@ -15,6 +15,14 @@ def missing_fields(df: DataFrame, fields: dict) -> list:
     return [raw for raw in fields if raw not in df.columns]
 
 
+def require_filled(df: DataFrame, *columns) -> None:
+    """Raise when there are rows, but a key column has no value in any of them: the field is absent or renamed."""
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
+    absent = [c for c in columns if row["_rows"] and not row[c]]
+    if absent:
+        raise ValueError(f"no record has a value for {absent}")
+
+
 def rating_in_range(ratings: DataFrame, lo=S.RATING_MIN, hi=S.RATING_MAX) -> DataFrame:
     return ratings.where(F.col("rating").between(lo, hi))
 
@@ -26,12 +34,13 @@ def require_keys(df: DataFrame, *keys) -> DataFrame:
 def normalise_epoch(ratings: DataFrame, per_row: bool = False) -> DataFrame:
     """Timestamps as whole epoch seconds.
 
-    The unit is read off the table's largest stamp, so one scan of that column
+    Date-time texts are read as such, in seconds.  The unit of numbers is read off the table's largest stamp, so one scan of that column
     comes first; ``per_row`` decides row by row and needs no extra scan.
     """
-    stamped = ratings.withColumn("timestamp", S.whole_seconds("timestamp"))
+    dated = S.date_time_seconds("timestamp")
+    stamped = ratings.withColumn("_dated", dated).withColumn("timestamp", S.whole_seconds("timestamp"))
     largest = None if per_row else stamped.select(F.max("timestamp")).scalar()
-    return stamped.withColumn("timestamp", S.epoch_seconds("timestamp", largest))
+    return stamped.withColumn("timestamp", F.coalesce("_dated", S.epoch_seconds("timestamp", largest))).drop("_dated")
 
 
 def top_users(ratings: DataFrame, n: int) -> DataFrame:

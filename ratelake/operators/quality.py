@@ -172,23 +172,25 @@ def _schema_check(df, expected):
     missing = [c for c in expected if c not in df.columns]
     extra = [c for c in df.columns if c not in expected]
     return ("schema", "true" if not missing else "false",
-            _text(f"Missing cols: {missing} | Extra cols: {extra}"))
+            _text(f"absent={missing}; extra={extra}"))
 
 
 def _missing_check(df):
     nulls = _null_rows(df)
     shown = (f"array_join(transform(filter({nulls}, r -> r.null_count > 0), r -> "
-             "format_string('%s: %d (%.2f%%)', r.column, r.null_count, r.null_pct)), '; ')")
+             "format_string('%s null_count=%d null_pct=%.2f', r.column, r.null_count, r.null_pct)), '; ')")
     return ("missing_values", f"array_max(transform({nulls}, r -> r.null_pct)) < {NULL_LIMIT_PCT}D",
-            f"coalesce(nullif({shown}, ''), 'No missing values')")
+            f"coalesce(nullif({shown}, ''), 'null_count=0')")
 
 
 def _duplicate_check(name, n):
-    return name, f"{n} = 0", f"format_string('%,d duplicates found', {n})"
+    return name, f"{n} = 0", f"format_string('n_duplicates=%d', {n})"
 
 
 def schema_check(df: DataFrame, expected, dataset: str) -> DataFrame:
-    return _results(df.sparkSession.range(1), dataset, [_schema_check(df, expected)])
+    name, passed, detail = _schema_check(df, expected)
+    rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    return _results(rows, dataset, [(name, passed, f"concat({detail}, '; n_rows=', n_rows)")])
 
 
 def check_ratings(ratings: DataFrame, expectations=()) -> DataFrame:
@@ -202,17 +204,17 @@ def check_ratings(ratings: DataFrame, expectations=()) -> DataFrame:
     return _results(rows, "ratings", [
         _schema_check(ratings, schemas.RATINGS.names),
         _missing_check(ratings),
-        ("rating_range", "n_out_of_range = 0", "format_string('%d out-of-range values', n_out_of_range)"),
+        ("rating_range", "n_out_of_range = 0", "format_string('n_out_of_range=%d', n_out_of_range)"),
         ("timestamp_validity", "n_no_time = 0 and n_out_of_window = 0",
-         "format_string('Range: %s to %s | Nulls: %d | Out-of-window: %d', cast(min_date as string), "
+         "format_string('min_date=%s; max_date=%s; n_no_time=%d; n_out_of_window=%d', cast(min_date as string), "
          "cast(max_date as string), n_no_time, n_out_of_window)"),
         *found.checks,
     ]).unionByName(_results(keys, "ratings", [
         _duplicate_check("duplicate_rows", "(n_rows - n_distinct_rows)"),
         _duplicate_check("duplicate_userId+productId", "(n_rows - n_pairs)"),
         ("sparsity", f"sparsity_pct > {SPARSE_ABOVE_PCT}D",
-         "format_string('Users: %,d | Items: %,d | Interactions: %,d | Sparsity: %.2f%% | "
-         "Avg ratings/user: %.1f | Avg ratings/item: %.1f', n_users, n_items, n_ratings, sparsity_pct, "
+         "format_string('n_users=%d; n_items=%d; n_ratings=%d; sparsity_pct=%.2f; "
+         "ratings_per_user=%.1f; ratings_per_item=%.1f', n_users, n_items, n_ratings, sparsity_pct, "
          "ratings_per_user, ratings_per_item)"),
     ]))
 
@@ -234,12 +236,12 @@ def check_products(products: DataFrame, price_bound: int | None = None, expectat
         *((e.name, "most <= 1", "'expectation'") for e in unique_id),
     ])).unionByName(_results(price_profile(products, price_bound), "products", [
         ("price_range", "n_negative = 0",
-         "format_string('Nulls: %d | Negatives: %d | Zeros: %d | Outliers (>3 x p95): %d | "
-         "p50: $%.2f | p95: $%.2f', n_null, n_negative, n_zero, n_outliers, p50, p95)"),
+         "format_string('n_null=%d; n_negative=%d; n_zero=%d; n_outliers=%d; p50=%.2f; "
+         "p95=%.2f', n_null, n_negative, n_zero, n_outliers, p50, p95)"),
     ])).unionByName(_results(category_profile(products).withColumn("top", top.scalar()), "products", [
         ("category_coverage", f"try_divide(n_empty, n_rows) < {EMPTY_CATEGORY_SHARE}D",
-         "concat(format_string('Unique categories: %d | Empty: %d (%.1f%%) | Top 5: ', n_categories, n_empty, "
-         "pct_empty), array_join(transform(top, r -> format_string('%s: %d', r.category, r.n)), ', '))"),
+         "concat(format_string('n_categories=%d; n_empty=%d; pct_empty=%.1f; top=', n_categories, n_empty, "
+         "pct_empty), array_join(transform(top, r -> format_string('%s=%d', r.category, r.n)), ', '))"),
     ]))
     others = [e for e in found.unique if e.column != "productId"]
     if others:
@@ -277,21 +279,32 @@ class Expectation:
     mostly: float = 1.0
 
 
-RATING_EXPECTATIONS = (
-    *(Expectation(f"{c} column exists", "exists", c) for c in schemas.RATINGS.names),
-    *(Expectation(f"{c} has no nulls", "not_null", c) for c in ("userId", "productId", "rating")),
-    Expectation("rating values in range [1, 5]", "between", "rating", 1.0, 5.0),
-    Expectation("row count between 10K and 10M", "rows_between", None, 10_000, 10_000_000),
-    Expectation("userId matches reviewer ID format", "matches", "userId", pattern="^[A-Z0-9]+$"),
-)
-PRODUCT_EXPECTATIONS = (
-    *(Expectation(f"{c} column exists", "exists", c) for c in ("productId", "title", "price")),
-    Expectation("productId has no nulls", "not_null", "productId"),
-    Expectation("productId values are unique", "unique", "productId"),
-    Expectation("title has no nulls", "not_null", "title"),
-    Expectation("price in range [0, 10000] for 90%+ rows", "between", "price", 0.0, 10000.0, mostly=0.9),
-    Expectation("product count between 1K and 5M", "rows_between", None, 1_000, 5_000_000),
-)
+def label(kind: str, column: str | None = None, *bounds) -> str:
+    """The name of an expectation, made of its kind, column and bounds."""
+    return ":".join([kind, *([column] if column else []), *(["..".join(f"{b:.0f}" for b in bounds)] if bounds else [])])
+
+
+def _named(kind, column=None, low=None, high=None, **more) -> Expectation:
+    bounds = () if low is None else (low, high)
+    return Expectation(label(kind, column, *bounds), kind, column, low, high, **more)
+
+
+def rating_expectations(low_rows=10_000, high_rows=10_000_000) -> tuple:
+    """Expectations of a rating table; the bounds on its rows depend on its scale."""
+    return (*(_named("exists", c) for c in schemas.RATINGS.names),
+            *(_named("not_null", c) for c in ("userId", "productId", "rating")),
+            _named("between", "rating", 1.0, 5.0), _named("rows_between", None, low_rows, high_rows),
+            _named("matches", "userId", pattern="^[A-Z0-9]+$"))
+
+
+def product_expectations(low_rows=1_000, high_rows=5_000_000) -> tuple:
+    return (*(_named("exists", c) for c in ("productId", "title", "price")), _named("not_null", "productId"),
+            _named("unique", "productId"), _named("not_null", "title"),
+            _named("between", "price", 0.0, 10000.0, mostly=0.9), _named("rows_between", None, low_rows, high_rows))
+
+
+RATING_EXPECTATIONS = rating_expectations()
+PRODUCT_EXPECTATIONS = product_expectations()
 
 
 class _Measured:

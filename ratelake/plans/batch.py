@@ -23,15 +23,26 @@ def stamp() -> str:
 
 
 def ingest_all(spark: SparkSession, root: str, rating_lines: str, product_lines: str, pages: str | None = None,
-               sample_users: int | None = 10_000, ingest_ts: str | None = None) -> dict:
-    """Ratings, products and, if given, catalog pages to snapshots, each with an audit row."""
+               sample_users: int | None = None, ingest_ts: str | None = None) -> dict:
+    """Ratings, products and, if given, catalog pages to snapshots, each with an audit row.
+
+    Lines that are no such records go to the table ``quarantine`` with their source.  All users stay unless
+    ``sample_users`` asks for the most active ones.
+    """
     ts = ingest_ts or stamp()
     good, bad = raw.read_rating_lines(spark, rating_lines)
-    ratings = select_users(stage(ingest.select_ratings(good), "rating_records"), sample_users)
-    good_products, _ = raw.read_product_lines(spark, product_lines)
-    jobs = {"ratings": ratings, "products": ingest.parse_products(good_products)}
+    records = stage(ingest.select_ratings(good), "rating_records")
+    if not records.take(1):
+        ingest.require_filled(good, "user_id", "parent_asin", "rating")
+    good_products, bad_products = raw.read_product_lines(spark, product_lines)
+    products = stage(ingest.parse_products(good_products), "product_records")
+    ingest.require_filled(products, "productId")
+    jobs = {"ratings": select_users(records, sample_users), "products": products}
+    bad = bad.withColumn("source", F.lit("ratings")).unionByName(bad_products.withColumn("source", F.lit("products")))
     if pages:
-        jobs["api_products"] = ingest.explode_pages(raw.read_pages(spark, pages))
+        good_pages, bad_pages = raw.read_page_lines(spark, pages)
+        jobs["api_products"] = ingest.explode_pages(good_pages)
+        bad = bad.unionByName(bad_pages.withColumn("source", F.lit("api_products")))
     for name, df in jobs.items():
         snapshots.append_snapshot(df, f"{root}/raw/{name}", ts)
         tables.append_audit(df, root, f"{name}_source", f"{root}/raw/{name}/ingest_ts={ts}")
@@ -94,12 +105,13 @@ def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: in
 def train_factors(ratings: DataFrame, root: str, grid: dict | None = None, folds: int = 3, k: int = 10,
                   seed: int = 42) -> dict:
     """Grid search, measures on a held-out split, and a last fit on all ratings; all of it logged."""
-    best, scores = factors.search_factors(ratings, grid, folds, seed, keep=stage)
+    train, test = factors.holdout_split(ratings, 0.2, seed)
+    train = stage(train, "train")
+    best, scores = factors.search_factors(train, grid, folds, seed, keep=stage)
     setting = {"rank": int(best.get("rank", 20)), "max_iter": int(best.get("maxIter", 15)),
                "reg": best.get("regParam", 0.1)}
-    train, test = factors.holdout_split(ratings, 0.2, seed)
-    held_out = stage(factors.predict_factors(test, factors.fit_factors(stage(train, "train"), seed=seed,
-                                                                       keep=stage, **setting)), "held_out")
+    held_out = stage(factors.predict_factors(test, factors.fit_factors(
+        train, seed=seed, keep=stage, **setting)), "held_out")
     metrics = {}
     for row in (ranking.errors(held_out), ranking.precision_at_k(held_out, k),
                 ranking.recall_at_k(held_out, k), ranking.ndcg_at_k(held_out, k),
@@ -117,6 +129,6 @@ def train_content(products: DataFrame, ratings: DataFrame, root: str, top_k: int
     models.save_neighbours(content.similar_items(vectors, top_k), root)
     neighbours = models.load_neighbours(ratings.sparkSession, root)
     metrics = {**content.coverage(products, ratings).select("coverage_pct").first().asDict(),
-               **content.mean_top_similarity(neighbours).select("avg_top_similarity").first().asDict()}
+               **content.mean_top_similarity(neighbours, known).select("avg_top_similarity").first().asDict()}
     run_id = tables.log_run(ratings.sparkSession, root, "content", {"top_k": top_k}, metrics)
     return {"run_id": run_id, "metrics": metrics}

@@ -219,7 +219,7 @@ def _profiles(spark, d):
 
 
 def _vectors(spark, d):
-    return T.once(spark, d, "vectors", lambda: content.tfidf_vectors(_profiles(spark, d), ascii_only=True))
+    return T.once(spark, d, "vectors", lambda: content.tfidf_vectors(_profiles(spark, d)))
 
 
 def _neighbours(spark, d):
@@ -246,20 +246,20 @@ def _(spark, d):
 
 @query("term_counts", 'SELECT "productId", term, tf FROM TF', "TF")
 def _(spark, d):
-    return content.term_counts(_profiles(spark, d), ascii_only=True)
+    return content.term_counts(_profiles(spark, d))
 
 
 @query("tfidf_vocabulary", f"SELECT term, position, df, {rnd('idf', 6)} AS idf FROM VOCAB", "VOCAB")
 def _(spark, d):
     profiles = _profiles(spark, d)
     n = profiles.select(F.count(F.lit(1)).cast("double")).scalar()
-    return content.vocabulary(content.term_counts(profiles, ascii_only=True), n) \
+    return content.vocabulary(content.term_counts(profiles), n) \
         .withColumn("idf", S.half_even("idf", 6))
 
 
 @query("tfidf_weights", f'SELECT "productId", position, {rnd("weight", 6)} AS weight FROM WEIGHTS', "WEIGHTS")
 def _(spark, d):
-    return content.long_weights(content.tfidf_vectors(_profiles(spark, d), ascii_only=True)) \
+    return content.long_weights(content.tfidf_vectors(_profiles(spark, d))) \
         .withColumn("weight", S.half_even("weight", 6))
 
 
@@ -284,10 +284,12 @@ def _(spark, d):
     return content.coverage(T.cleaned_products(spark, d), T.cleaned_ratings(spark, d))
 
 
-@query("mean_top10_similarity", f"""SELECT count(*) AS n_items, {rnd('avg(m)', 4)} AS avg_top_similarity FROM (
-    SELECT "productId", sum(similarity) / 10 AS m FROM NEIGHBOURS WHERE rank <= 10 GROUP BY 1)""", "NEIGHBOURS")
+@query("mean_top10_similarity", f"""SELECT count(*) AS n_items, {rnd('avg(coalesce(m, 0))', 4)} AS avg_top_similarity
+    FROM PROFILE LEFT JOIN (
+      SELECT "productId", sum(similarity) / 10 AS m FROM NEIGHBOURS WHERE rank <= 10 GROUP BY 1) USING ("productId")""",
+       "NEIGHBOURS", "PROFILE")
 def _(spark, d):
-    return content.mean_top_similarity(_neighbours(spark, d))
+    return content.mean_top_similarity(_neighbours(spark, d), _profiles(spark, d))
 
 
 @query("display_fields", """SELECT "productId", left(coalesce(title, 'Unknown'), 50) AS title,

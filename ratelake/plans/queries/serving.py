@@ -48,11 +48,6 @@ def _(spark, d):
     return store.user_features_of(T.user_features(spark, d), ids)
 
 
-@query("item_features_by_empty_list", 'SELECT * FROM "IF" WHERE false', "IF")
-def _(spark, d):
-    return store.item_features_of(T.item_features(spark, d), [])
-
-
 @query("inference_features_popular", """SELECT UF.*, i.* FROM UF, (SELECT * FROM "IF"
     ORDER BY item_rating_count DESC, "productId" LIMIT 100) i WHERE "userId" = '7'""", "UF", "IF")
 def _(spark, d):

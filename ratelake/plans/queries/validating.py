@@ -132,8 +132,8 @@ def _(spark, d):
 
 
 @query("schema_checks", """SELECT 'ratings' AS dataset, 'schema' AS "check", true AS passed,
-    'Missing cols: [] | Extra cols: []' AS detail UNION ALL
-    SELECT 'products', 'schema', false, 'Missing cols: [''price''] | Extra cols: [''size'']'""")
+    'absent=[]; extra=[]; n_rows=' || count(*) AS detail FROM R UNION ALL
+    SELECT 'products', 'schema', false, 'absent=[''price'']; extra=[''size'']; n_rows=' || count(*) FROM P""", "R", "P")
 def _(spark, d):
     from ratelake import schemas
     odd = views.products(spark, d).drop("price").withColumn("size", F.lit(1))
@@ -182,29 +182,29 @@ def _(spark, d):
     return quality.passed_of_total(_checks(spark, d))
 
 
-_EXISTS = "UNION ALL SELECT '{0}', '{1} column exists', true"
+_EXISTS = "UNION ALL SELECT '{0}', 'exists:{1}', true"
 
 
-@query("rating_expectations", """SELECT 'ratings' AS dataset, 'userId has no nulls' AS expectation,
+@query("rating_expectations", """SELECT 'ratings' AS dataset, 'not_null:userId' AS expectation,
       count(*) = count("userId") AS passed FROM R
-    UNION ALL SELECT 'ratings', 'productId has no nulls', count(*) = count("productId") FROM R
-    UNION ALL SELECT 'ratings', 'rating has no nulls', count(*) = count(rating) FROM R
-    UNION ALL SELECT 'ratings', 'rating values in range [1, 5]', count(*) FILTER (rating NOT BETWEEN 1 AND 5) = 0 FROM R
-    UNION ALL SELECT 'ratings', 'row count between 10K and 10M', count(*) BETWEEN 10000 AND 10000000 FROM R
-    UNION ALL SELECT 'ratings', 'userId matches reviewer ID format',
+    UNION ALL SELECT 'ratings', 'not_null:productId', count(*) = count("productId") FROM R
+    UNION ALL SELECT 'ratings', 'not_null:rating', count(*) = count(rating) FROM R
+    UNION ALL SELECT 'ratings', 'between:rating:1..5', count(*) FILTER (rating NOT BETWEEN 1 AND 5) = 0 FROM R
+    UNION ALL SELECT 'ratings', 'rows_between:10000..10000000', count(*) BETWEEN 10000 AND 10000000 FROM R
+    UNION ALL SELECT 'ratings', 'matches:userId',
       count(*) FILTER (NOT regexp_matches("userId", '^[A-Z0-9]+$')) = 0 FROM R """
        + " ".join(_EXISTS.format("ratings", c) for c in _RATING_COLUMNS), "R")
 def _(spark, d):
     return quality.expect(views.ratings(spark, d), quality.RATING_EXPECTATIONS, "ratings")
 
 
-@query("product_expectations", """SELECT 'products' AS dataset, 'productId has no nulls' AS expectation,
+@query("product_expectations", """SELECT 'products' AS dataset, 'not_null:productId' AS expectation,
       count(*) = count("productId") AS passed FROM P
-    UNION ALL SELECT 'products', 'productId values are unique', count("productId") = count(DISTINCT "productId") FROM P
-    UNION ALL SELECT 'products', 'title has no nulls', count(*) = count(title) FROM P
-    UNION ALL SELECT 'products', 'price in range [0, 10000] for 90%+ rows',
+    UNION ALL SELECT 'products', 'unique:productId', count("productId") = count(DISTINCT "productId") FROM P
+    UNION ALL SELECT 'products', 'not_null:title', count(*) = count(title) FROM P
+    UNION ALL SELECT 'products', 'between:price:0..10000',
       count(*) FILTER (price BETWEEN 0 AND 10000) >= 0.9 * count(price) FROM P
-    UNION ALL SELECT 'products', 'product count between 1K and 5M', count(*) BETWEEN 1000 AND 5000000 FROM P """
+    UNION ALL SELECT 'products', 'rows_between:1000..5000000', count(*) BETWEEN 1000 AND 5000000 FROM P """
        + " ".join(_EXISTS.format("products", c) for c in ("productId", "title", "price")), "P")
 def _(spark, d):
     return quality.expect(views.products(spark, d), quality.PRODUCT_EXPECTATIONS, "products")

@@ -109,7 +109,7 @@ CTES = {
     "PROFILE": (("RATED",), """SELECT "productId", coalesce(title, '') || ' ' || coalesce(category, '') || ' ' ||
         coalesce(brand, '') || ' ' || left(coalesce(description, ''), 100) AS profile FROM RATED"""),
     "WORDS": (("PROFILE",), f"""SELECT "productId", unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
-        SELECT "productId", [x FOR x IN regexp_extract_all(lower(profile), '\\w\\w+') IF x NOT IN ({_STOP})] AS ws
+        SELECT "productId", [x FOR x IN regexp_extract_all(lower(profile), '[\\p{{L}}\\p{{N}}_]{{2,}}') IF x NOT IN ({_STOP})] AS ws
         FROM PROFILE)"""),
     "TF": (("WORDS",), """SELECT "productId", term, count(*) AS tf FROM (
         SELECT "productId", w AS term FROM WORDS UNION ALL
@@ -122,11 +122,12 @@ CTES = {
     "WEIGHTS": (("TF", "VOCAB"), """SELECT "productId", term, position,
         tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY "productId")) AS weight
         FROM TF JOIN VOCAB USING (term)"""),
-    "NEIGHBOURS": (("WEIGHTS",), f"""SELECT *, cast(row_number() OVER (PARTITION BY "productId"
+    "NEIGHBOURS": (("WEIGHTS",), f"""SELECT * EXCLUDE (raw), cast(row_number() OVER (PARTITION BY "productId"
           ORDER BY similarity DESC, "other_productId") AS int) AS rank FROM (
-        SELECT a."productId", b."productId" AS "other_productId", {rnd('sum(a.weight * b.weight)', 6)} AS similarity
+        SELECT a."productId", b."productId" AS "other_productId", {rnd('sum(a.weight * b.weight)', 6)} AS similarity,
+               sum(a.weight * b.weight) AS raw
         FROM WEIGHTS a JOIN WEIGHTS b ON a.position = b.position AND a."productId" <> b."productId"
-        GROUP BY 1, 2) WHERE similarity > 0.01 QUALIFY rank <= 50"""),
+        GROUP BY 1, 2) WHERE raw > 0.01 QUALIFY rank <= 50"""),
 }
 
 

@@ -30,7 +30,9 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFr
     """A stored table; an absent one is an error unless ``schema`` allows an empty result."""
     try:
         return spark.read.parquet(f"{root}/{name}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         if schema is None:
             raise FileNotFoundError(f"no table {name} in {root}")
         return spark.createDataFrame([], schema)

@@ -135,3 +135,27 @@ def test_top_users_counted_before_cleaning(spark, rows):
                                schemas.RATINGS)
     assert rows(ingest.top_users(df, 2)) == [("a", 3), ("b", 2)]
     assert ingest.keep_top_users(df, 1).count() == 3
+
+
+def test_no_input_is_lost(spark, tmp_path):
+    """Good and quarantined lines make up the files; date-time texts are time stamps."""
+    root = str(tmp_path / "root")
+    for name, lines in {
+        "r": ['{"user_id": "A", "parent_asin": "p", "rating": 5.0, "timestamp": 1588687728123}', "{broken",
+              '{"user_id": "B", "parent_asin": "p", "rating": "many", "timestamp": 1588687728123}',
+              '{"user_id": "C", "parent_asin": "q", "rating": 4.0, "timestamp": "2020-05-05T13:42:08Z"}'],
+        "p": ['{"parent_asin": "p", "title": "t"}', "[broken"],
+        "pages": ['{"status": "ok", "data": [{"productId": "p"}], "pagination": {"page": 1}}', "<html>"],
+    }.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / name))
+    got = batch.ingest_all(spark, root, *(str(tmp_path / n) for n in ("r", "p", "pages")))
+    bad = sorted((r["source"], r["line"][:7]) for r in tables.read_table(spark, root, "quarantine").collect())
+    assert [b[0] for b in bad] == ["api_products", "products", "ratings", "ratings"]
+    assert {(r["userId"], r["timestamp"]) for r in got["ratings"].collect()} == {("A", 1588687728), ("C", 1588686128)}
+
+
+def test_an_absent_key_field_is_an_error(spark, tmp_path):
+    for name, line in (("r", '{"user": "A", "parent_asin": "p", "rating": 5.0}'), ("p", '{"parent_asin": "p"}')):
+        spark.createDataFrame([(line,)], "value string").write.text(str(tmp_path / name))
+    with pytest.raises(ValueError, match="user_id"):
+        batch.ingest_all(spark, str(tmp_path / "root"), str(tmp_path / "r"), str(tmp_path / "p"))
