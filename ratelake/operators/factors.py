@@ -4,11 +4,11 @@ An estimate is ``mean + user offset + item offset + user factors . item factors`
 clipped to the rating scale; whatever is unknown of a user or item drops out.
 """
 
+import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake.functions import kernels, scalar as S
@@ -114,24 +114,44 @@ def fit_factors(ratings: DataFrame, rank: int = 20, max_iter: int = 15, reg: flo
                        user_ids, item_ids)
 
 
+def fold_of(folds: int, seed: int = 42):
+    """The fold of a rating, from a hash of its user and item: the same on every run."""
+    return F.pmod(F.xxhash64("userId", "productId", F.lit(seed)), F.lit(folds))
+
+
 def search_factors(ratings: DataFrame, grid: dict | None = None, folds: int = 3, seed: int = 42,
                    parallelism: int = 4, keep=lambda df, name: df) -> tuple:
-    """Grid search by cross-validated RMSE on the residuals: best settings, and all results as rows."""
-    offsets = fit_offsets(ratings)
-    user_ids, item_ids = index_ids(ratings)
-    table = keep(residuals(ratings, offsets, user_ids, item_ids), "residuals")
-    als = _als(seed).setColdStartStrategy("drop")
-    builder = ParamGridBuilder()
-    for name, values in (grid or DEFAULT_GRID).items():
-        builder = builder.addGrid(als.getParam(name), list(values))
-    maps = builder.build()
-    search = CrossValidator(
-        estimator=als, estimatorParamMaps=maps, numFolds=folds, seed=seed, parallelism=parallelism,
-        evaluator=RegressionEvaluator(metricName="rmse", labelCol="residual", predictionCol="prediction"))
-    scores = search.fit(table).avgMetrics
-    rows = [({p.name: float(v) for p, v in m.items()}, float(s)) for m, s in zip(maps, scores)]
+    """Grid search by cross-validated RMSE: best settings, and all results as rows.
+
+    Each fold has offsets and factors of its own, fitted on the other folds only.  Held-out rows with
+    a user or item that those do not hold are scored by what offsets there are.
+    """
+    grid = grid or DEFAULT_GRID
+    settings = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    dealt = keep(ratings.withColumn("_fold", fold_of(folds, seed)), "folds")
+    errors = [[] for _ in settings]
+    for fold in range(folds):
+        train = dealt.where(F.col("_fold") != fold).drop("_fold")
+        test = dealt.where(F.col("_fold") == fold).drop("_fold")
+        if not train.take(1) or not test.take(1):
+            continue
+        offsets = fit_offsets(train)
+        offsets = Offsets(keep(offsets.mean, "mean"), keep(offsets.users, "user_offsets"), keep(offsets.items, "item_offsets"))
+        user_ids, item_ids = (keep(ids, "ids") for ids in index_ids(train))
+        table = keep(residuals(train, offsets, user_ids, item_ids), "residuals")
+
+        def rmse(setting):
+            model = FactorModel(offsets, _als(seed, **setting).fit(table), user_ids, item_ids)
+            miss = F.col("rating") - F.col("prediction")
+            return predict_factors(test, model).agg(F.sqrt(F.avg(miss * miss))).first()[0]
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            for found, error in zip(errors, pool.map(rmse, settings)):
+                found.append(error)
+    rows = [({k: float(v) for k, v in setting.items()}, sum(found) / len(found))
+            for setting, found in zip(settings, errors) if found]
     results = ratings.sparkSession.createDataFrame(rows, "params map<string,double>, cv_rmse double")
-    return min(rows, key=lambda r: r[1])[0], results
+    return min(rows, key=lambda r: r[1])[0] if rows else {}, results
 
 
 def dot(a, b):

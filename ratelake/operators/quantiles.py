@@ -8,6 +8,7 @@ row however many there are.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratelake.functions.scalar import as_col
+from ratelake.session import stage
 
 # Below this many distinct values one group's value counts fit in one task with ease.
 SMALL_DOMAIN = 200_000
@@ -92,25 +93,28 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
     return out.select(*keys, *shares)
 
 
-def dense_index(values: DataFrame, column: str, index: str = "index", cells: int = 128,
+def dense_index(values: DataFrame, column: str, index: str = "index", cell_rows: int = 100_000,
                 distinct_bound: int | None = None) -> DataFrame:
     """Position of each value in the sorted order of distinct ``values`` (from 0).
 
     A small hash-ordered sample gives the cell borders, so cells are even for
-    any distribution and the same on every run.  ``distinct_bound`` is a measured
-    bound that allows one sort when it is small.
+    any distribution and the same on every run; there are enough of them that each holds about
+    ``cell_rows`` values.  The values and their cells are written once.  ``distinct_bound`` is a
+    measured bound that allows one sort when it is small.
     """
     v = F.col(column)
     if distinct_bound is not None and distinct_bound <= SMALL_DOMAIN:
         return values.select(column, (F.row_number().over(Window.orderBy(column)) - 1)
                              .cast("bigint").alias(index))
+    values = stage(values.select(column), "values")
+    cells = max(128, values.count() // cell_rows)
     sample = (values.orderBy(F.xxhash64(v), v).limit(cells * 16)
               .agg(F.sort_array(F.collect_list(v)).alias("s")))
     step = F.greatest(F.floor(F.size("s") / F.lit(cells)).cast("int"), F.lit(1))
     borders = sample.select(
         F.filter("s", lambda x, i: (i % step) == 0).alias("borders")).scalar()
-    placed = (values.withColumn("borders", borders)
-              .select(column, F.size(F.filter("borders", lambda b: b <= v)).alias("cell")))
+    placed = stage(values.withColumn("borders", borders)
+                   .select(column, F.size(F.filter("borders", lambda b: b <= v)).alias("cell")), "placed")
     offsets = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_n"))
                .select("cell", F.coalesce(
                    F.sum("cell_n").over(Window.orderBy("cell").rowsBetween(

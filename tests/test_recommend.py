@@ -203,3 +203,20 @@ def test_default_stop_words_are_part_of_the_spark_list(spark):
     from ratelake.functions.text import ENGLISH_STOP_WORDS
     spark_words = set(StopWordsRemover.loadDefaultStopWords("english"))
     assert set(ENGLISH_STOP_WORDS) == {w for w in spark_words if "'" not in w}
+
+
+def test_offsets_of_a_fold_know_nothing_of_its_held_out_rows(spark):
+    """Users whose only rating is held out are scored by what the other folds hold, so no error hides."""
+    rows = [(f"u{i}", f"p{i}", 1.0 + 4.0 * (i % 2), 0) for i in range(30)]
+    ratings = spark.createDataFrame(rows, "userId string, productId string, rating double, timestamp long")
+    fold = {r["userId"]: r["f"] for r in ratings.select("userId", factors.fold_of(3).alias("f")).collect()}
+    value = {u: r for u, _, r, _ in rows}
+    want = []
+    for f in range(3):
+        train = [value[u] for u in value if fold[u] != f]
+        held = [value[u] for u in value if fold[u] == f]
+        mean = sum(train) / len(train)
+        want.append((sum((v - mean) ** 2 for v in held) / len(held)) ** 0.5)
+    best, scores = factors.search_factors(ratings, {"rank": (2,), "maxIter": (2,), "regParam": (0.1,)})
+    assert scores.first()["cv_rmse"] == pytest.approx(sum(want) / 3)
+    assert best == {"rank": 2.0, "maxIter": 2.0, "regParam": 0.1}
