@@ -158,7 +158,12 @@ def display(c, chars: int) -> Column:
     return F.substring(F.coalesce(as_col(c), F.lit("Unknown")), 1, chars)
 
 
-def holdout_bucket(keys, seed: int = 42) -> Column:
-    """Bucket 0..9999 of a key, from MD5 so that any engine can draw the same split."""
+def hash_place(keys, seed: int = 42, digits: int = 15) -> Column:
+    """A seeded place below ``16 ** digits`` of a key, from MD5 so that any engine can draw the same order."""
     text = F.concat_ws("|", *[as_col(k) for k in keys], F.lit(str(seed)))
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(10000))
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
+def holdout_bucket(keys, seed: int = 42) -> Column:
+    """Bucket 0..9999 of a key, the same on any engine."""
+    return F.pmod(hash_place(keys, seed, 8), F.lit(10000))

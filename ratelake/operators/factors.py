@@ -15,6 +15,10 @@ from ratelake.functions import kernels, scalar as S
 from ratelake.operators.quantiles import dense_index
 from ratelake.session import bounded
 
+# Candidates of ``recommend`` go to every task, sample users travel in the plan; beyond these bounds both refuse.
+MOST_CANDIDATES = 20_000
+MOST_SAMPLE_USERS = 1_000
+
 # The parameter grid that is searched by default.
 DEFAULT_GRID = {"rank": (20, 50, 100), "maxIter": (15, 20), "regParam": (0.02, 0.1)}
 
@@ -161,8 +165,11 @@ def dot(a, b):
 
 
 def predict_factors(pairs: DataFrame, model: FactorModel) -> DataFrame:
-    users, items = model.factors()
-    offsets = model.offsets
+    return predict_with(pairs, model.offsets, *model.factors())
+
+
+def predict_with(pairs: DataFrame, offsets: Offsets, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``prediction`` from offsets, ``userId, user_factors`` and ``productId, item_factors``."""
     # Everything known of a key is joined first, so that the pairs move once per key.
     users, items = offsets.users.join(users, "userId", "full"), offsets.items.join(items, "productId", "full")
     known = pairs.join(users, "userId", "left").join(items, "productId", "left")
@@ -188,6 +195,8 @@ def recommend(users: DataFrame, ratings: DataFrame, products: DataFrame, offsets
     So no user x item table exists: only users and their rated candidates are
     shuffled, and only ``top_k`` rows per user come out.
     """
+    if candidate_limit > MOST_CANDIDATES:
+        raise ValueError(f"candidate_limit is at most {MOST_CANDIDATES}")
     # Bounded by candidate_limit, a parameter of the operator; numbered in id order for ties.
     chosen = bounded(candidate_items(ratings, candidate_limit).select(
         "productId", (F.row_number().over(Window.orderBy("productId")) - 1).alias("position")), candidate_limit)
@@ -230,24 +239,27 @@ def unrated(ratings: DataFrame, users: DataFrame, candidates: DataFrame) -> Data
 def random_unrated(ratings: DataFrame, users: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
     """``n`` unrated items for each of a few ``users``, in the order of a seeded hash.
 
-    ``users`` is a short list (the sample), so it travels with the item scan as
-    one array; each user keeps a running top ``n`` inside the tasks.
+    ``users`` is a short list (the sample, at most ``MOST_SAMPLE_USERS``; more is an error), so it travels with
+    the item scan as one array; each user keeps a running top ``n`` inside the tasks.  The MD5 order can be repeated in SQL.
     """
-    # The caller's sample of users; its size is a parameter there.
-    wanted = users.agg(F.collect_set("userId").alias("v")).scalar()
+    names = [r[0] for r in users.where(F.col("userId").isNotNull()).select("userId").distinct()
+             .limit(MOST_SAMPLE_USERS + 1).collect()]
+    if len(names) > MOST_SAMPLE_USERS:
+        raise ValueError(f"a sample has at most {MOST_SAMPLE_USERS} users")
+    wanted = F.array(*map(F.lit, sorted(names))).cast("array<string>")
     pairs = (ratings.where(F.col("productId").isNotNull()).select("productId").distinct()
-             .withColumn("u", wanted).select(F.explode("u").alias("userId"), "productId"))
+             .select(F.explode(wanted).alias("userId"), "productId"))
     left = unrated(ratings, users, pairs)
-    order = Window.partitionBy("userId").orderBy(F.xxhash64("userId", "productId", F.lit(seed)), "productId")
+    order = Window.partitionBy("userId").orderBy(S.hash_place(["userId", "productId"], seed), "productId")
     return left.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n).drop("_n")
 
 
-def sample_recommendations(ratings: DataFrame, products: DataFrame, model: FactorModel, n_users: int = 3,
+def sample_recommendations(ratings: DataFrame, products: DataFrame, offsets: Offsets, factors: tuple, n_users: int = 3,
                            n_candidates: int = 200, top_k: int = 10, seed: int = 42) -> DataFrame:
-    """Top ``top_k`` of random unrated items for the most active users."""
+    """Top ``top_k`` of random unrated items for the most active users; ``factors`` as for ``recommend``."""
     users = (ratings.where(F.col("userId").isNotNull()).groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "userId").limit(n_users).select("userId"))
-    scored = predict_factors(random_unrated(ratings, users, n_candidates, seed), model)
+    scored = predict_with(random_unrated(ratings, users, n_candidates, seed), offsets, *factors)
     order = Window.partitionBy("userId").orderBy(F.desc("prediction"), "productId")
     ranked = (scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
               .withColumn("predicted_rating", S.half_even("prediction", 3)).drop("prediction"))

@@ -12,23 +12,18 @@ TRAINING_COLUMNS = (
     "user_recency_days", "user_category_diversity", "item_rating_count", "item_avg_rating",
     "item_rating_std", "item_unique_users", "price_normalized", "category_encoded", "brand_encoded",
 )
-# Above this many ids a list becomes a table and a semi join.
-LONG_LIST = 1000
 
 
 def features_by_id(table: DataFrame, key: str, ids=None, limit: int | None = None) -> DataFrame:
-    """Rows of the given ids; no list means all rows, cut to ``limit`` if one is set.
+    """Rows of the given ids; no list means all rows, or the first ``limit`` in key order if one is set.
 
-    An empty list gives no rows.  ``ids`` may also be a table with the key column.
+    An empty list gives no rows.  Long lists of ids should be a table with the key column.
     """
     if isinstance(ids, DataFrame):
         return table.join(ids.select(key), key, "left_semi").select(*table.columns)
     if ids is not None:
-        if len(ids) > LONG_LIST:
-            listed = table.sparkSession.createDataFrame([(i,) for i in ids], f"{key} string")
-            return features_by_id(table, key, listed)
         return table.where(F.col(key).isin(list(ids)))
-    return table.limit(limit) if limit else table
+    return table.orderBy(key).limit(limit) if limit else table
 
 
 def user_features_of(users: DataFrame, user_ids=None, limit=None) -> DataFrame:
@@ -53,13 +48,13 @@ def training_set(interactions: DataFrame, users: DataFrame, items: DataFrame,
 
 
 def exact_sample(df: DataFrame, fraction: float, keys, seed: int = 42, cells: int = 1 << 18) -> DataFrame:
-    """``round(fraction * n)`` rows in the order of a seeded hash of ``keys``.
+    """``round(fraction * n)`` rows in the order of a seeded MD5 of ``keys``, which SQL can repeat.
 
     Hash cells that lie wholly below the cut are kept by a filter; only the one
     cell holding the cut is ranked.  ``keys`` must identify a row.
     """
-    marked = df.withColumn("_h", F.xxhash64(*keys, F.lit(seed))) \
-        .withColumn("_cell", F.pmod(F.col("_h"), F.lit(cells)))
+    marked = df.withColumn("_h", S.hash_place(keys, seed)) \
+        .withColumn("_cell", F.expr(f"_h div {16 ** 15 // cells}"))
     sizes = marked.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
     # Half to even, as Python rounds the sample size.
@@ -127,7 +122,3 @@ def table_counts(tables: dict) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def newest_versions(versions: DataFrame) -> DataFrame:
-    return versions.orderBy(F.desc("version_id"))

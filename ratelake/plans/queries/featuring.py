@@ -135,12 +135,15 @@ def _(spark, d):
 
 
 @query("feature_registry_totals", """SELECT 'user_features' AS feature_set, 6 AS n_features,
-    (SELECT count(*) FROM UF) AS n_records
-    UNION ALL SELECT 'item_features', 10, (SELECT count(*) FROM "IF")
-    UNION ALL SELECT 'interaction_features', 5, (SELECT count(*) FROM INTER)
-    UNION ALL SELECT 'cooccurrence', 1, (SELECT count(*) FROM COOC)""", "UF", "IF", "INTER", "COOC")
-def _(spark, d):
-    return stored.registry_totals(_feature_tables(spark, d))
+    (SELECT count(*) FROM UF) AS n_records, 'cleaned_ratings,cleaned_products' AS source, 'ratings' AS dataset,
+    '2026-01-01' AS created_at
+    UNION ALL SELECT 'item_features', 10, (SELECT count(*) FROM "IF"), 'cleaned_ratings,cleaned_products', 'ratings', '2026-01-01'
+    UNION ALL SELECT 'interaction_features', 5, (SELECT count(*) FROM INTER), 'cleaned_ratings,item_features', 'ratings',
+      '2026-01-01'
+    UNION ALL SELECT 'cooccurrence', 1, (SELECT count(*) FROM COOC), 'cleaned_ratings', 'ratings', '2026-01-01'""",
+       "UF", "IF", "INTER", "COOC")
+def _(spark, d):
+    return stored.registry_totals(_feature_tables(spark, d), created_at="2026-01-01")
 
 
 def _registry_sql():

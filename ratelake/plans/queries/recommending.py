@@ -157,14 +157,13 @@ def _(spark, d):
 
 # -- latent factors: no SQL equivalent ----------------------------------------
 
-_RANK, _ITERATIONS = 8, 5
 _models: dict = {}
 
 
 def _model(spark, d):
     key = (spark.sparkContext.applicationId, d)
     if key not in _models:
-        _models[key] = factors.fit_factors(T.cleaned_ratings(spark, d), _RANK, _ITERATIONS, keep=stage)
+        _models[key] = factors.fit_factors(T.cleaned_ratings(spark, d), keep=stage)
     return _models[key]
 
 
@@ -180,16 +179,10 @@ def _(spark, d):
     return factors.recommend(ratings, ratings, T.cleaned_products(spark, d), model.offsets, model.factors())
 
 
-@query("sample_recommendations")
-def _(spark, d):
-    return factors.sample_recommendations(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d),
-                                          _model(spark, d))
-
-
 @query("factor_holdout_measures")
 def _(spark, d):
     train, test = factors.holdout_split(T.cleaned_ratings(spark, d))
-    model = factors.fit_factors(stage(train, "train"), _RANK, _ITERATIONS, keep=stage)
+    model = factors.fit_factors(stage(train, "train"), keep=stage)
     scored = stage(factors.predict_factors(test, model), "held_out")
     return spark.range(1).select(
         *[part.select(F.struct(*part.columns).alias("v")).scalar().alias(name) for name, part in (
@@ -200,18 +193,10 @@ def _(spark, d):
 
 @query("factor_grid_search")
 def _(spark, d):
-    _, scores = factors.search_factors(
-        T.cleaned_ratings(spark, d), {"rank": (4, 8), "regParam": (0.1,), "maxIter": (3,)}, folds=3, keep=stage)
+    _, scores = factors.search_factors(T.cleaned_ratings(spark, d), keep=stage)
     return scores.select(F.to_json("params").alias("params"), "cv_rmse")
 
 
-@query("random_unrated_items")
-def _(spark, d):
-    ratings = T.cleaned_ratings(spark, d)
-    return factors.random_unrated(ratings, ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
-                                  .orderBy(F.desc("n"), "userId").limit(3))
-
-
 # -- texts ----------------------------------------------------------------------
 
 def _profiles(spark, d):

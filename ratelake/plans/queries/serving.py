@@ -22,7 +22,14 @@ def _(spark, d):
                               T.item_features(spark, d))
 
 
-@query("training_sample")
+_PLACE = """('0x' || substr(md5("userId" || '|' || "productId" || '|42'), 1, 15))::BIGINT"""
+
+
+@query("training_sample", f"""SELECT {", ".join(f'"{c}"' for c in store.TRAINING_COLUMNS)}
+    FROM (SELECT * FROM INTER QUALIFY row_number() OVER (ORDER BY {_PLACE}, "userId", "productId")
+          <= round_even((SELECT count(*) FROM INTER) * 0.25::DOUBLE, 0))
+    LEFT JOIN UF USING ("userId") LEFT JOIN (SELECT * EXCLUDE (price, category, brand) FROM "IF") USING ("productId")""",
+       "INTER", "UF", "IF")
 def _(spark, d):
     return store.training_set(T.interaction_features(spark, d), T.user_features(spark, d),
                               T.item_features(spark, d), fraction=0.25)
@@ -91,7 +98,7 @@ def _(spark, d):
     return catalog.product_rows(T.enriched_products(spark, d))
 
 
-@query("product_rows_as_json")
+@query("product_rows_as_json", f"""SELECT "productId", to_json(t)::VARCHAR AS json FROM ({_rows('SELECT * FROM EP')}) t""", "EP")
 def _(spark, d):
     return catalog.product_json(T.enriched_products(spark, d))
 

@@ -42,6 +42,9 @@ CTES = {
     "CP": (("IMPUTED",), """SELECT "productId", coalesce(title, 'Untitled') AS title, price,
         coalesce(brand, 'Unknown') AS brand, coalesce(category, 'Unknown') AS category,
         coalesce(description, '') AS description FROM IMPUTED"""),
+    "CHECKSUM": (("CR",), """SELECT count(*) AS "rows", coalesce(sum(('0x' || substr(md5('{"userId":"' || "userId" || '","productId":"'
+        || "productId" || '","rating":' || rating || ',"timestamp":' || "timestamp" || '}'), 1, 15))::BIGINT), 0)::VARCHAR
+        AS checksum FROM CR"""),
     "STATS": (("R",), f"""SELECT "productId", count(rating) AS rating_count, {rnd('avg(rating)', 2)} AS avg_rating
         FROM R GROUP BY 1"""),
     "EP": (("CP", "STATS"), f"""SELECT CP.*, coalesce(rating_count, 0) AS rating_count,

@@ -112,13 +112,19 @@ def feature_registry(tables: dict) -> DataFrame:
     return registry.withColumn("n_classes", n_classes)
 
 
-def registry_totals(tables: dict) -> DataFrame:
-    """``feature_set, n_features, n_records``; key columns are no features."""
-    out = None
+# The stored tables that each feature set is made from.
+SOURCES = {"user_features": "cleaned_ratings,cleaned_products", "item_features": "cleaned_ratings,cleaned_products",
+           "interaction_features": "cleaned_ratings,item_features", "cooccurrence": "cleaned_ratings"}
+
+
+def registry_totals(tables: dict, dataset: str = "ratings", created_at: str | None = None) -> DataFrame:
+    """``feature_set, n_features, n_records, source, dataset, created_at``; key columns are no features."""
+    out, created_at = None, created_at or _now()
     for name, df in tables.items():
         n_features = len([c for c in df.columns if c not in ("userId", "productId", "co_productId")])
         part = df.agg(F.count(F.lit(1)).alias("n_records")).select(
-            F.lit(name).alias("feature_set"), F.lit(n_features).alias("n_features"), "n_records")
+            F.lit(name).alias("feature_set"), F.lit(n_features).alias("n_features"), "n_records",
+            F.lit(SOURCES.get(name)).alias("source"), F.lit(dataset).alias("dataset"), F.lit(created_at).alias("created_at"))
         out = part if out is None else out.unionByName(part)
     return out
 
