@@ -123,13 +123,13 @@ def popularity_histogram(ratings: DataFrame, bins: int = 60) -> DataFrame:
     return histogram(counts_of_counts(ratings, "productId"), "n", bins, weight="keys")
 
 
-def below_p95(products: DataFrame, distinct_bound: int | None = None) -> DataFrame:
-    mark = exact_quantiles(products, "price", {"q": 0.95}, distinct_bound=distinct_bound).scalar()
+def below_p95(products: DataFrame) -> DataFrame:
+    mark = exact_quantiles(products, "price", {"q": 0.95}).scalar()
     return products.where(F.col("price") < mark)
 
 
-def price_histogram(products: DataFrame, bins: int = 40, distinct_bound: int | None = None) -> DataFrame:
-    return histogram(below_p95(products, distinct_bound), "price", bins)
+def price_histogram(products: DataFrame, bins: int = 40) -> DataFrame:
+    return histogram(below_p95(products), "price", bins)
 
 
 def with_product(ratings: DataFrame, products: DataFrame) -> DataFrame:

@@ -65,11 +65,11 @@ def item_base(ratings: DataFrame, products: DataFrame) -> DataFrame:
     return table
 
 
-def label_encoding(df: DataFrame, column: str, distinct_bound: int | None = None) -> DataFrame:
+def label_encoding(df: DataFrame, column: str) -> DataFrame:
     """``column, <column>_encoded``: position in the sorted distinct values, nulls as Unknown."""
     values = df.select(F.coalesce(F.col(column), F.lit("Unknown")).alias(column)).distinct()
     name = f"{column}_encoded"
-    return dense_index(values, column, name, distinct_bound=distinct_bound) \
+    return dense_index(values, column, name) \
         .withColumn(name, F.col(name).cast("int"))
 
 
@@ -82,20 +82,17 @@ def scale_min_max(df: DataFrame, column: str, out: str, fitted_on: DataFrame | N
                          .otherwise(S.half_even((F.col(column) - low) / width, 4)))
 
 
-def encode_items(base: DataFrame, bounds: dict | None = None) -> DataFrame:
+def encode_items(base: DataFrame) -> DataFrame:
     """Label codes, price fill and price scale over an ``item_base`` table.
 
     ``base`` is read several times: stage it first when it is costly.
-    ``bounds`` gives measured distinct counts per column, if known.
     """
-    bounds = bounds or {}
-    median = exact_quantiles(base, "price", {"m": 0.5},
-                             distinct_bound=bounds.get("price")).scalar()
+    median = exact_quantiles(base, "price", {"m": 0.5}).scalar()
     # The median lies between minimum and maximum, so the unfilled column gives the same range.
     table = scale_min_max(base.withColumn("price", F.coalesce("price", median)),
                           "price", "price_normalized", fitted_on=base)
     for column in ("category", "brand"):
-        table = table.join(label_encoding(base, column, bounds.get(column)), column)
+        table = table.join(label_encoding(base, column), column)
     columns = schemas.ITEM_FEATURES.names + [
         c for c in schemas.ITEM_ENRICHED_COLUMNS if c in base.columns]
     return round_doubles(table).select(*columns)

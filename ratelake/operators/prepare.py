@@ -38,7 +38,7 @@ def clean_ratings(ratings: DataFrame) -> DataFrame:
     return in_time_window(keep_highest_rating(ratings))
 
 
-def impute_prices(products: DataFrame, distinct_bound: int | None = None) -> DataFrame:
+def impute_prices(products: DataFrame) -> DataFrame:
     """Missing prices from the category median, then from the median of the filled column.
 
     Both medians come from one table of (category, price) counts; the filled
@@ -47,12 +47,10 @@ def impute_prices(products: DataFrame, distinct_bound: int | None = None) -> Dat
     priced = products.withColumn("price", S.to_number("price"))
     counts = priced.groupBy("category", "price").agg(F.count(F.lit(1)).alias("n"))
     medians = exact_quantiles(counts.where(F.col("category").isNotNull()), "price",
-                              {"category_median": 0.5}, keys=["category"], weight="n",
-                              distinct_bound=distinct_bound)
+                              {"category_median": 0.5}, keys=["category"], weight="n")
     filled_counts = counts.join(medians, "category", "left").select(
         F.coalesce("price", "category_median").alias("price"), "n")
-    overall = exact_quantiles(filled_counts, "price", {"m": 0.5}, weight="n",
-                              distinct_bound=distinct_bound).scalar()
+    overall = exact_quantiles(filled_counts, "price", {"m": 0.5}, weight="n").scalar()
     return (priced.join(medians, "category", "left")
             .withColumn("price", F.coalesce("price", "category_median", overall))
             .select(*products.columns))
@@ -66,9 +64,9 @@ def fill_catalog(products: DataFrame) -> DataFrame:
     return products.withColumn("price", S.to_number("price")).na.fill(CATALOG_FILL)
 
 
-def clean_products(products: DataFrame, distinct_bound: int | None = None) -> DataFrame:
+def clean_products(products: DataFrame) -> DataFrame:
     """Prices are imputed before categories are filled, since a missing category has no median."""
-    return fill_prepared(impute_prices(products, distinct_bound))
+    return fill_prepared(impute_prices(products))
 
 
 def item_rating_stats(ratings: DataFrame) -> DataFrame:

@@ -93,10 +93,10 @@ def timestamp_profile(ratings: DataFrame) -> DataFrame:
     return ratings.agg(*_timestamp_measures()).withColumnRenamed("n_no_time", "n_null")
 
 
-def price_profile(products: DataFrame, distinct_bound: int | None = None) -> DataFrame:
+def price_profile(products: DataFrame) -> DataFrame:
     price = S.to_number("price")
     marks = _one_row(exact_quantiles(products.select(price.alias("price")), "price",
-                                     {"p50": 0.5, "p95": 0.95}, distinct_bound=distinct_bound))
+                                     {"p50": 0.5, "p95": 0.95}))
     table = products.select(price.alias("price"), marks.alias("marks"))
     return table.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -219,7 +219,7 @@ def check_ratings(ratings: DataFrame, expectations=()) -> DataFrame:
     ]))
 
 
-def check_products(products: DataFrame, price_bound: int | None = None, expectations=()) -> DataFrame:
+def check_products(products: DataFrame, expectations=()) -> DataFrame:
     """The five checks of a product table, and ``expectations`` in the same scans."""
     found = _Measured(products, expectations)
     rows = products.agg(*_null_measures(products), *found.measures)
@@ -234,7 +234,7 @@ def check_products(products: DataFrame, price_bound: int | None = None, expectat
     ]).unionByName(_results(ids, "products", [
         _duplicate_check("duplicate_productId", "n_duplicates"),
         *((e.name, "most <= 1", "'expectation'") for e in unique_id),
-    ])).unionByName(_results(price_profile(products, price_bound), "products", [
+    ])).unionByName(_results(price_profile(products), "products", [
         ("price_range", "n_negative = 0",
          "format_string('n_null=%d; n_negative=%d; n_zero=%d; n_outliers=%d; p50=%.2f; "
          "p95=%.2f', n_null, n_negative, n_zero, n_outliers, p50, p95)"),
@@ -250,10 +250,9 @@ def check_products(products: DataFrame, price_bound: int | None = None, expectat
     return out
 
 
-def check_all(ratings: DataFrame, products: DataFrame, price_bound: int | None = None,
-              rating_expectations=(), product_expectations=()) -> DataFrame:
+def check_all(ratings: DataFrame, products: DataFrame, rating_expectations=(), product_expectations=()) -> DataFrame:
     return check_ratings(ratings, rating_expectations).unionByName(
-        check_products(products, price_bound, product_expectations))
+        check_products(products, product_expectations))
 
 
 def passed_of_total(results: DataFrame) -> DataFrame:

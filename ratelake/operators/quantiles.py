@@ -1,8 +1,9 @@
 """Exact quantiles and exact dense ranks without one task holding everything.
 
-Both split the value range into ordered cells, count the cells, and rank only
-inside cells.  Equal values are counted first, so copies of a value weigh one
-row however many there are.
+Both split the sorted order into cells of about equally many distinct values, count
+the cells, and rank only inside cells.  Borders follow the values themselves, so a narrow
+range, a wide one or infinite values make no difference.  Equal values are counted
+first, so copies of a value weigh one row however many there are.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -10,9 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratelake.functions.scalar import as_col
 from ratelake.session import stage
 
-# Below this many distinct values one group's value counts fit in one task with ease.
-SMALL_DOMAIN = 200_000
-CELLS_PER_OCTAVE = 256
+#: Cells of a group's values, and borders that are compared at a time.
+CELLS, RUN = 256, 16
 
 
 def value_counts(df: DataFrame, value, keys=(), weight=None) -> DataFrame:
@@ -24,38 +24,31 @@ def value_counts(df: DataFrame, value, keys=(), weight=None) -> DataFrame:
               .groupBy(*keys, "value").agg(n.alias("n")))
 
 
-def distinct_bounds(df: DataFrame, *columns) -> dict:
-    """Measured bounds on the distinct values of small-domain candidates: one pass, one row back."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return {c: int(row[c] * 1.25) + 16 for c in columns}
+def _with_heads(borders) -> Column:
+    """Sorted borders beside every ``RUN``-th of them."""
+    return F.struct(F.col(borders).alias("all"), F.filter(borders, lambda _, i: (i + 1) % RUN == 0).alias("heads"))
 
 
-def _ordered_cell(value) -> Column:
-    """A whole number that never falls as ``value`` grows: binary exponent and leading bits."""
-    size = F.abs(value)
-    exponent = F.floor(F.log2(size))
-    lead = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * CELLS_PER_OCTAVE)
-    place = (exponent + 1100) * CELLS_PER_OCTAVE + lead
-    return F.when(value == 0, F.lit(0).cast("bigint")).when(value > 0, place).otherwise(-place)
+def _cell(value, borders: Column) -> Column:
+    """How many of the borders are at or below ``value``: first among the heads, then in one run."""
+    upto = lambda b: b <= value
+    runs = F.size(F.filter(borders["heads"], upto))
+    return runs * RUN + F.size(F.filter(F.slice(borders["all"], runs * RUN + 1, F.lit(RUN - 1)), upto))
 
 
-def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=None,
-                    distinct_bound: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=None) -> DataFrame:
     """``keys`` and one column per named probability, linearly interpolated.
 
-    ``distinct_bound`` is a measured upper bound on distinct values per group;
-    with one at or below ``SMALL_DOMAIN`` the built-in ``percentile`` runs over the
-    value counts.  Otherwise ranks are found by cells: count per cell, pick the
-    cells that hold a wanted rank, and rank the values of those cells only.
+    Quantile sketches of the distinct values give the cell borders, so a cell holds about 1/256 of a
+    group's distinct values whatever their distribution.  Exact counts per cell tell which cells hold
+    a wanted rank, and only the values of those are ranked.  The sketch decides where cells end, never the result.
     """
     keys = list(keys)
     counts = value_counts(df, value, keys, weight)
-    if distinct_bound is not None and distinct_bound <= SMALL_DOMAIN:
-        return counts.groupBy(*keys).agg(
-            *[F.percentile("value", F.lit(p), F.col("n")).alias(name)
-              for name, p in probabilities.items()])
-
-    placed = counts.withColumn("cell", _ordered_cell(F.col("value")))
+    borders = counts.groupBy(*keys).agg(F.percentile_approx(
+        "value", [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("b")).select(*keys, _with_heads("b").alias("b"))
+    placed = counts.join(borders, keys) if keys else counts.withColumn("b", borders.select("b").scalar())
+    placed = placed.select(*counts.columns, _cell(F.col("value"), F.col("b")).alias("cell"))
     within = Window.partitionBy(*keys)
     cells = (placed.groupBy(*keys, "cell").agg(F.sum("n").alias("cell_n"))
              .withColumn("before", F.sum("cell_n").over(
@@ -75,6 +68,8 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
         for rank in rank_pair(p):
             wanted = wanted | holds(rank, F.col("before"), F.col("cell_n"))
     cells = cells.where(wanted).drop("cell_n")
+    if not keys:
+        cells = F.broadcast(cells)      # two cells a probability at most
 
     hit = placed.join(cells, [*keys, "cell"])
     running = F.sum("n").over(Window.partitionBy(*keys, "cell").orderBy("value")
@@ -88,33 +83,28 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
     out = hit.groupBy(*keys).agg(F.max("total").alias("total"), *bounds)
     for i, (name, p) in enumerate(probabilities.items()):
         position = F.lit(float(p)) * (F.col("total") - 1)
-        share = position - F.floor(position)
-        shares.append((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * share).alias(name))
+        share, lo, hi = position - F.floor(position), F.col(f"lo{i}"), F.col(f"hi{i}")
+        # Between equal values, and at a value itself, nothing is computed: an infinite value stays as it is.
+        shares.append(F.when((share == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * share).alias(name))
     return out.select(*keys, *shares)
 
 
 def dense_index(values: DataFrame, column: str, index: str = "index", cell_rows: int = 100_000,
-                distinct_bound: int | None = None) -> DataFrame:
+                sample_rows: int = 1 << 14) -> DataFrame:
     """Position of each value in the sorted order of distinct ``values`` (from 0).
 
-    A small hash-ordered sample gives the cell borders, so cells are even for
-    any distribution and the same on every run; there are enough of them that each holds about
-    ``cell_rows`` values.  The values and their cells are written once.  ``distinct_bound`` is a
-    measured bound that allows one sort when it is small.
+    The values are written once.  A small hash-ordered sample gives the cell borders, so cells are even for
+    any distribution and the same on every run; a cell holds about ``cell_rows`` values, up to
+    ``sample_rows / 16`` cells.
     """
     v = F.col(column)
-    if distinct_bound is not None and distinct_bound <= SMALL_DOMAIN:
-        return values.select(column, (F.row_number().over(Window.orderBy(column)) - 1)
-                             .cast("bigint").alias(index))
     values = stage(values.select(column), "values")
-    cells = max(128, values.count() // cell_rows)
-    sample = (values.orderBy(F.xxhash64(v), v).limit(cells * 16)
-              .agg(F.sort_array(F.collect_list(v)).alias("s")))
-    step = F.greatest(F.floor(F.size("s") / F.lit(cells)).cast("int"), F.lit(1))
-    borders = sample.select(
-        F.filter("s", lambda x, i: (i % step) == 0).alias("borders")).scalar()
-    placed = stage(values.withColumn("borders", borders)
-                   .select(column, F.size(F.filter("borders", lambda b: b <= v)).alias("cell")), "placed")
+    wanted = F.least(F.ceil(values.select(F.count(F.lit(1))).scalar() / F.lit(cell_rows)), F.lit(sample_rows // 16))
+    sample = (values.orderBy(F.xxhash64(v), v).limit(sample_rows).agg(F.sort_array(F.collect_list(v)).alias("s"))
+              .withColumn("step", F.greatest(F.ceil(F.size("s") / F.greatest(wanted, F.lit(1))), F.lit(1)).cast("int"))
+              .select(F.filter("s", lambda x, i: (i > 0) & (i % F.col("step") == 0)).alias("b")))
+    borders = sample.select(_with_heads("b").alias("b")).scalar()
+    placed = values.withColumn("b", borders).select(column, _cell(v, F.col("b")).alias("cell"))
     offsets = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_n"))
                .select("cell", F.coalesce(
                    F.sum("cell_n").over(Window.orderBy("cell").rowsBetween(

@@ -87,7 +87,7 @@ def cooccurring_items(cooccurrence: DataFrame, product_id: str, top_n: int = 5)
             .select("co_productId", "cooc_score"))
 
 
-def describe(df: DataFrame, distinct_bound: int | None = None) -> DataFrame:
+def describe(df: DataFrame) -> DataFrame:
     """count, mean, std, min, quartiles and max of each numeric column, 4 dp.
 
     Columns are turned into rows first, so one scan serves all moments and one
@@ -101,17 +101,16 @@ def describe(df: DataFrame, distinct_bound: int | None = None) -> DataFrame:
     moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_quantiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"],
-                                distinct_bound=distinct_bound)
+    quartiles = exact_quantiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
     table = moments.join(quartiles, "column")
     return table.select("column", "count", *[
         S.half_even(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
-def describe_table(tables: dict, name: str, distinct_bound: int | None = None) -> DataFrame:
+def describe_table(tables: dict, name: str) -> DataFrame:
     if name not in schemas.FEATURE_TABLES:
         raise ValueError(f"table must be one of {sorted(schemas.FEATURE_TABLES)}")
-    return describe(tables[name], distinct_bound)
+    return describe(tables[name])
 
 
 def table_counts(tables: dict) -> DataFrame:

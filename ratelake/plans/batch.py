@@ -6,8 +6,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratelake.operators import content, factors, features, ingest, prepare, quality, ranking
-from ratelake.operators.quantiles import distinct_bounds
-from ratelake.plans.tables import clean_products_measured, encode_items_measured
 from ratelake.session import stage
 from ratelake.sources import models, raw, snapshots, tables
 
@@ -62,9 +60,8 @@ def select_users(records: DataFrame, sample_users: int | None) -> DataFrame:
 
 def validate(ratings: DataFrame, products: DataFrame, root: str | None = None) -> DataFrame:
     """All checks and all expectations as one table ``dataset, check, passed, detail``."""
-    bound = distinct_bounds(products, "price")["price"]
     results = quality.summary_rows(quality.check_all(
-        ratings, products, bound, quality.RATING_EXPECTATIONS, quality.PRODUCT_EXPECTATIONS))
+        ratings, products, quality.RATING_EXPECTATIONS, quality.PRODUCT_EXPECTATIONS))
     if root:
         tables.write_table(results, root, "check_results")
         return tables.read_table(results.sparkSession, root, "check_results")
@@ -75,7 +72,7 @@ def prepare_all(ratings: DataFrame, products: DataFrame, root: str, enrichment:
                 enrich: bool = False) -> tuple:
     """Clean both tables, add catalog ratings if asked, and store them."""
     def catalog():
-        cleaned = clean_products_measured(products)
+        cleaned = prepare.clean_products(products)
         if enrich:
             cleaned = prepare.enrich_products(cleaned, enrichment)
         tables.write_table(cleaned, root, "cleaned_products")
@@ -88,7 +85,7 @@ def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: in
     """The four feature tables and the registry, from stored cleaned tables."""
     def items_and_interactions():
         base = stage(features.item_base(ratings, products), "item_base")
-        tables.write_features({"item_features": encode_items_measured(base)}, root)
+        tables.write_features({"item_features": features.encode_items(base)}, root)
         items = tables.read_table(ratings.sparkSession, root, "item_features")
         tables.write_features({"interaction_features": features.interaction_features(ratings, items)}, root)
 

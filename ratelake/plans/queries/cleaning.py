@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions import scalar as S
 from ratelake.operators import ingest, prepare
-from ratelake.operators.quantiles import distinct_bounds
+from ratelake.operators.quantiles import exact_quantiles
 from ratelake.plans import tables as T
 from ratelake.plans.registry import query
 from ratelake.plans.sql import TS_MAX, TS_MIN, rnd
@@ -131,17 +131,37 @@ def _(spark, d):
 @query("price_imputation", """SELECT "productId", price, category FROM IMPUTED""", "IMPUTED")
 def _(spark, d):
     products = views.products(spark, d).select("productId", "price", "category")
-    return prepare.impute_prices(products, distinct_bounds(products, "price")["price"])
+    return prepare.impute_prices(products)
 
 
-@query("price_imputation_by_cells", """SELECT "productId", price, category FROM IMPUTED""", "IMPUTED")
+_QUANTILES = """SELECT quantile_cont(x, 0.05) AS q05, quantile_cont(x, 0.5) AS q50, quantile_cont(x, 0.999) AS q999 FROM ("""
+
+
+@query("quantiles_of_narrow_range", _QUANTILES + """
+    SELECT 1 + l_orderkey * 1e-9 + l_linenumber * 1e-12 AS x FROM lineitem)""")
+def _(spark, d):
+    x = F.lit(1) + F.col("l_orderkey") * F.lit(1e-9) + F.col("l_linenumber") * F.lit(1e-12)
+    return exact_quantiles(views.table(spark, d, "lineitem"), x, {"q05": 0.05, "q50": 0.5, "q999": 0.999})
+
+
+@query("quantiles_with_infinity", _QUANTILES.replace("0.999", "0.985") + """
+    SELECT CASE WHEN l_orderkey % 100 = 0 THEN 'Infinity'::DOUBLE WHEN l_orderkey % 100 = 1 THEN '-Infinity'::DOUBLE
+    ELSE l_extendedprice END AS x FROM lineitem)""")
+def _(spark, d):
+    kind = F.col("l_orderkey") % 100
+    x = F.when(kind == 0, float("inf")).when(kind == 1, float("-inf")).otherwise(F.col("l_extendedprice"))
+    return exact_quantiles(views.table(spark, d, "lineitem"), x, {"q05": 0.05, "q50": 0.5, "q999": 0.985})
+
+
+@query("quantiles_by_part", """SELECT l_partkey AS part, median(l_extendedprice) AS m FROM lineitem GROUP BY 1""")
 def _(spark, d):
-    return prepare.impute_prices(views.products(spark, d).select("productId", "price", "category"))
+    return exact_quantiles(views.table(spark, d, "lineitem").withColumnRenamed("l_partkey", "part"), "l_extendedprice",
+                           {"m": 0.5}, ["part"])
 
 
 @query("clean_products", """SELECT "productId", title, price, brand, category, description FROM CP""", "CP")
 def _(spark, d):
-    return T.clean_products_measured(views.products(spark, d))
+    return prepare.clean_products(views.products(spark, d))
 
 
 @query("first_row_per_product", """SELECT "productId", title, price, brand FROM (

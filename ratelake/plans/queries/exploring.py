@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ratelake.functions import scalar as S
 from ratelake.operators import explore, quality, store
-from ratelake.operators.quantiles import distinct_bounds
 from ratelake.plans import tables as T
 from ratelake.plans.registry import query
 from ratelake.plans.sql import rnd
@@ -104,7 +103,7 @@ def _(spark, d):
     "SELECT price AS x FROM CP WHERE price < (SELECT quantile_cont(price, 0.95) FROM CP)", 40), "CP")
 def _(spark, d):
     products = T.cleaned_products(spark, d)
-    return explore.price_histogram(products, distinct_bound=distinct_bounds(products, "price")["price"])
+    return explore.price_histogram(products)
 
 
 @query("event_value_histogram", _histogram_sql("SELECT value AS x FROM events", 40))

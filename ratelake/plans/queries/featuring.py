@@ -22,7 +22,7 @@ def _(spark, d):
 def _(spark, d):
     base = T.once(spark, d, "item_base", lambda: features.item_base(
         T.cleaned_ratings(spark, d), T.cleaned_products(spark, d)))
-    return T.encode_items_measured(base)
+    return features.encode_items(base)
 
 
 @query("item_features_enriched", """SELECT i.*, cast(coalesce(rating_count, 0) AS int) AS api_rating_count,
@@ -31,7 +31,7 @@ def _(spark, d):
 def _(spark, d):
     base = T.once(spark, d, "item_base_enriched", lambda: features.item_base(
         T.cleaned_ratings(spark, d), T.enriched_products(spark, d)))
-    return T.encode_items_measured(base)
+    return features.encode_items(base)
 
 
 @query("item_catalog_join", f"""SELECT "productId", item_rating_count, {rnd('item_avg_rating', 4)}

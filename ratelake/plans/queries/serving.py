@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ratelake.operators import catalog, explore, store
-from ratelake.operators.quantiles import distinct_bounds
 from ratelake.plans import tables as T
 from ratelake.plans.registry import query
 from ratelake.plans.sql import rnd
@@ -153,4 +152,4 @@ def _(spark, d):
     (SELECT brand FROM EP GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_brand FROM EP""", "EP")
 def _(spark, d):
     products = T.enriched_products(spark, d)
-    return catalog.catalog_stats(products, distinct_bounds(products, "price")["price"])
+    return catalog.catalog_stats(products)

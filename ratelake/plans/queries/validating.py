@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ratelake.operators import quality
-from ratelake.operators.quantiles import distinct_bounds
 from ratelake.plans import tables as T
 from ratelake.plans.registry import query
 from ratelake.plans.sql import TS_MAX, TS_MIN, rnd
@@ -13,10 +12,6 @@ _PRODUCT_COLUMNS = ("productId", "title", "price", "brand", "category", "descrip
 _RATING_COLUMNS = ("userId", "productId", "rating", "timestamp")
 
 
-def _price_bound(products):
-    return distinct_bounds(products, "price")["price"]
-
-
 def _null_sql(table, columns):
     return "\nUNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) - count("{c}") AS null_count,
@@ -90,7 +85,7 @@ _PRICE_SQL = f"""SELECT count(*) AS n_rows, count(*) - count(price) AS n_null,
 @query("price_profile", _PRICE_SQL, "P")
 def _(spark, d):
     products = views.products(spark, d)
-    return quality.price_profile(products, _price_bound(products))
+    return quality.price_profile(products)
 
 
 @query("amount_profile", _PRICE_SQL.replace("FROM P", "FROM v").replace(
@@ -163,7 +158,7 @@ _CHECKS_SQL = f"""SELECT 'ratings' AS dataset, 'schema' AS "check", true AS pass
 
 def _checks(spark, d):
     products = views.products(spark, d)
-    return quality.check_all(views.ratings(spark, d), products, _price_bound(products))
+    return quality.check_all(views.ratings(spark, d), products)
 
 
 @query("validation_checks", _CHECKS_SQL, "R", "P")

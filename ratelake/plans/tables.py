@@ -7,7 +7,6 @@ later step reads them instead of working them out again.
 from pyspark.sql import DataFrame, SparkSession
 
 from ratelake.operators import features, prepare
-from ratelake.operators.quantiles import distinct_bounds
 from ratelake.session import stage
 from ratelake.sources import views
 
@@ -26,14 +25,9 @@ def cleaned_ratings(spark, folder) -> DataFrame:
                  lambda: prepare.clean_ratings(views.ratings(spark, folder)))
 
 
-def clean_products_measured(products: DataFrame) -> DataFrame:
-    bound = distinct_bounds(products, "price")["price"]
-    return prepare.clean_products(products, bound)
-
-
 def cleaned_products(spark, folder) -> DataFrame:
     return once(spark, folder, "cleaned_products",
-                 lambda: clean_products_measured(views.products(spark, folder)))
+                 lambda: prepare.clean_products(views.products(spark, folder)))
 
 
 def enriched_products(spark, folder) -> DataFrame:
@@ -42,11 +36,6 @@ def enriched_products(spark, folder) -> DataFrame:
         cleaned_products(spark, folder), prepare.item_rating_stats(views.ratings(spark, folder))))
 
 
-def encode_items_measured(base: DataFrame) -> DataFrame:
-    """``base`` must be a staged table: it is read once per encoder."""
-    return features.encode_items(base, distinct_bounds(base, "price", "category", "brand"))
-
-
 def user_features(spark, folder) -> DataFrame:
     return once(spark, folder, "user_features", lambda: features.user_features(
         cleaned_ratings(spark, folder), cleaned_products(spark, folder)))
@@ -55,7 +44,7 @@ def user_features(spark, folder) -> DataFrame:
 def item_features(spark, folder) -> DataFrame:
     base = once(spark, folder, "item_base", lambda: features.item_base(
         cleaned_ratings(spark, folder), cleaned_products(spark, folder)))
-    return once(spark, folder, "item_features", lambda: encode_items_measured(base))
+    return once(spark, folder, "item_features", lambda: features.encode_items(base))
 
 
 def interaction_features(spark, folder) -> DataFrame:

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from ratelake import schemas
 from ratelake.functions import scalar as S
 from ratelake.operators import ingest, prepare, quality
@@ -60,8 +62,7 @@ def test_price_imputation_order(spark, rows):
         ("4", "t", None, "b", "B", "d"), ("5", "t", None, "b", None, "d"), ("6", "t", 0.0, "b", None, "d")], P)
     # Median of A is 15; the filled column 10, 20, 15, 0 has the median 12.5.
     want = [("1", 10.0), ("2", 20.0), ("3", 15.0), ("4", 12.5), ("5", 12.5), ("6", 0.0)]
-    for bound in (None, 100):
-        assert rows(prepare.clean_products(df, bound), "productId", "price") == want
+    assert rows(prepare.clean_products(df), "productId", "price") == want
     filled = {r["productId"]: r for r in prepare.clean_products(df).collect()}
     assert (filled["3"]["title"], filled["3"]["description"], filled["5"]["category"], filled["2"]["brand"]) == (
         "Untitled", "", "Unknown", "Unknown")
@@ -100,13 +101,12 @@ def test_quantiles_by_cells_are_exact(spark):
         [("cold", float(v)) for v in rng.lognormal(0, 3, 333)] + [("one", -2.0), ("zero", 0.0), ("zero", 0.0)]
     df = spark.createDataFrame(data + [("hot", None), (None, 1.0)], "k string, v double").repartition(5)
     probabilities = {"q1": 0.25, "q2": 0.5, "q3": 0.95}
-    for bound in (None, 10_000):
-        got = {r["k"]: r for r in exact_quantiles(df, "v", probabilities, ["k"], distinct_bound=bound).collect()}
-        assert set(got) == {"hot", "cold", "one", "zero"}
-        for k in got:
-            values = [v for g, v in data if g == k]
-            for name, p in probabilities.items():
-                assert abs(got[k][name] - np.quantile(values, p)) <= 1e-9 * max(1, abs(got[k][name]))
+    got = {r["k"]: r for r in exact_quantiles(df, "v", probabilities, ["k"]).collect()}
+    assert set(got) == {"hot", "cold", "one", "zero"}
+    for k in got:
+        values = [v for g, v in data if g == k]
+        for name, p in probabilities.items():
+            assert abs(got[k][name] - np.quantile(values, p)) <= 1e-9 * max(1, abs(got[k][name]))
     every = exact_quantiles(df, "v", probabilities).first()
     assert abs(every["q2"] - np.median([v for _, v in data] + [1.0])) < 1e-9
 
@@ -120,8 +120,30 @@ def test_dense_index(spark):
     words = ["Video > %05d" % (i * 37 % 5000) for i in range(5000)] + ["Ärger", "a", "Z", ""]
     df = spark.createDataFrame([(w,) for w in words], "v string").repartition(6)
     want = {w: i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
-    for bound in (None, 6000):
-        assert {r["v"]: r["index"] for r in dense_index(df, "v", distinct_bound=bound).collect()} == want
+    for size in (100_000, 1000, 7):
+        assert {r["v"]: r["index"] for r in dense_index(df, "v", cell_rows=size, sample_rows=4096).collect()} == want
+
+
+def test_quantile_cells_stay_small(spark):
+    """Sorted rows: a few cells of about 1/256 of the values each, even in a range of one part in 3,000."""
+    import numpy as np
+    values = spark.range(40_000).select((1 + F.col("id") * 7.5e-9).alias("v"))
+    found = exact_quantiles(values, "v", {"m": 0.5, "t": 0.9})
+    row = found.first()
+    want = np.quantile(1 + np.arange(40_000) * 7.5e-9, [0.5, 0.9])
+    assert abs(row["m"] - want[0]) < 1e-12 and abs(row["t"] - want[1]) < 1e-12
+    found.collect()
+    nodes, todo = [], [found._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        nodes.append(node)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    joined = [n.metrics().apply("numOutputRows").value() for n in nodes if n.nodeName() == "BroadcastHashJoin"]
+    assert joined and max(joined) < 40_000 / 256 * 1.3 * 4
 
 
 def test_lines_pages_and_quarantine(spark, tmp_path, rows):
