@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ratelake.functions import scalar as S
-from ratelake.operators.quality import top_values
 from ratelake.operators.quantiles import exact_quantiles
 
 MAX_PAGE = 100
@@ -83,13 +82,22 @@ def popular_products(products: DataFrame, limit=20) -> DataFrame:
 def catalog_stats(products: DataFrame) -> DataFrame:
     """Totals, price and rating means, and the most common category and brand (ties by name)."""
     median = exact_quantiles(products, "price", {"m": 0.5}).scalar()
-    common = {c: top_values(products, c, 1).select(c).scalar() for c in ("category", "brand")}
-    totals = products.agg(
-        F.count(F.lit(1)).alias("total_products"), S.half_even(F.avg("price"), 2).alias("avg_price"),
-        F.count(F.when(F.col("rating_count") > 0, 1)).alias("products_with_ratings"),
-        S.half_even(F.avg("avg_rating"), 2).alias("avg_rating_overall"))
-    distinct = {c: products.where(F.col(c).isNotNull()).select(c).distinct()
-                .agg(F.count(F.lit(1)).alias("n")).scalar() for c in ("category", "brand")}
+    # One pass over the table; all figures but the median follow from its (category, brand) groups.
+    groups = products.groupBy("category", "brand").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("price_sum"), F.count("price").alias("price_n"),
+        F.count(F.when(F.col("rating_count") > 0, 1)).alias("rated"),
+        F.sum("avg_rating").alias("rating_sum"), F.count("avg_rating").alias("rating_n"))
+
+    def names(c):
+        return groups.where(F.col(c).isNotNull()).groupBy(c).agg(F.sum("n").alias("n"))
+
+    common = {c: names(c).orderBy(F.desc("n"), c).limit(1).select(c).scalar() for c in ("category", "brand")}
+    distinct = {c: names(c).agg(F.count(F.lit(1)).alias("n")).scalar() for c in ("category", "brand")}
+    totals = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_products"),
+        S.half_even(F.try_divide(F.sum("price_sum"), F.sum("price_n")), 2).alias("avg_price"),
+        F.coalesce(F.sum("rated"), F.lit(0)).alias("products_with_ratings"),
+        S.half_even(F.try_divide(F.sum("rating_sum"), F.sum("rating_n")), 2).alias("avg_rating_overall"))
     return totals.select(
         "total_products", distinct["category"].alias("total_categories"),
         distinct["brand"].alias("total_brands"), "avg_price",

@@ -45,8 +45,8 @@ def counts_of_counts(ratings: DataFrame, key: str) -> DataFrame:
     return key_counts(ratings, key).groupBy("n").agg(_count().alias("keys"))
 
 
-def _median_of_counts(counts: DataFrame):
-    return exact_quantiles(counts, "n", {"m": 0.5}, weight="keys").scalar()
+def _median_of_counts(ratings: DataFrame, key: str):
+    return exact_quantiles(key_counts(ratings, key), "n", {"m": 0.5}).scalar()
 
 
 def user_activity(ratings: DataFrame, few: int = 5) -> DataFrame:
@@ -58,7 +58,7 @@ def user_activity(ratings: DataFrame, few: int = 5) -> DataFrame:
         users.alias("n_users"), S.half_even(F.try_divide(rows, users), 1).alias("mean_ratings"),
         F.max("n").alias("max_ratings"), low.alias("users_below"),
         S.half_even(F.try_divide(low * F.lit(100.0), users), 1).alias("pct_below"),
-    ).withColumn("median_ratings", _median_of_counts(counts))
+    ).withColumn("median_ratings", _median_of_counts(ratings, "userId"))
 
 
 def item_popularity(ratings: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def item_popularity(ratings: DataFrame) -> DataFrame:
     return counts.agg(
         F.sum("keys").alias("n_items"),
         F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("keys"))), F.lit(0)).alias("items_with_one"),
-    ).withColumn("median_ratings", _median_of_counts(counts))
+    ).withColumn("median_ratings", _median_of_counts(ratings, "productId"))
 
 
 def head_share(ratings: DataFrame, share: float = 0.1) -> DataFrame:

@@ -26,17 +26,26 @@ def category_diversity(ratings: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def user_features(ratings: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per user.  ``products`` holds a product once.
+
+    Ratings are merged by (user, item), then by (user, category), then by user: one scan, each step smaller than the
+    last, and a very active user is combined in the map tasks.
+    """
     newest = ratings.select(F.max("timestamp")).scalar()
-    stats = (ratings.where(F.col("userId").isNotNull()).groupBy("userId").agg(
-        F.count("rating").alias("user_rating_count"),
-        F.avg("rating").alias("user_avg_rating"),
-        F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("user_rating_std"),
-        F.count_distinct("productId").alias("user_unique_items"),
-        F.max("timestamp").alias("last_timestamp")))
-    recency = S.half_even((newest - F.col("last_timestamp")) / S.SECONDS_PER_DAY, 1)
-    table = (stats.join(category_diversity(ratings, products), "userId", "left")
-             .withColumn("user_recency_days", recency))
-    return round_doubles(table).select(*schemas.USER_FEATURES.names)
+    items = ratings.where(F.col("userId").isNotNull()).groupBy("userId", "productId").agg(
+        F.count("rating").alias("n"), F.sum("rating").alias("s"), F.sum(F.col("rating") * F.col("rating")).alias("q"),
+        F.max("timestamp").alias("last"))
+    merged = [F.sum(c).alias(c) for c in ("n", "s", "q")] + [F.max("last").alias("last")]
+    table = (items.join(products.select("productId", "category"), "productId", "left")
+             .groupBy("userId", "category").agg(*merged, F.count("productId").alias("items"))
+             .groupBy("userId").agg(*merged, F.sum("items").alias("user_unique_items"),
+                                    F.count("category").alias("user_category_diversity")))
+    spread = F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0)) / (F.col("n") - 1)
+    return round_doubles(table.select(
+        "userId", F.col("n").alias("user_rating_count"), F.try_divide("s", "n").alias("user_avg_rating"),
+        F.when(F.col("n") > 1, F.sqrt(spread)).otherwise(F.lit(0.0)).alias("user_rating_std"), "user_unique_items",
+        S.half_even((newest - F.col("last")) / S.SECONDS_PER_DAY, 1).alias("user_recency_days"),
+        "user_category_diversity")).select(*schemas.USER_FEATURES.names)
 
 
 def item_stats(ratings: DataFrame) -> DataFrame:

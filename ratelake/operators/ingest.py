@@ -106,13 +106,13 @@ def page_coverage(pages: DataFrame) -> DataFrame:
 
 
 def stage_totals(ratings: DataFrame) -> DataFrame:
-    """Rows, users and items.  The two key counts combine in the map tasks."""
-    rows = ratings.agg(F.count(F.lit(1)).alias("v")).select("v").scalar()
-    users = _distinct_count(ratings, "userId").scalar()
-    items = _distinct_count(ratings, "productId").scalar()
-    return ratings.sparkSession.range(1).select(
-        rows.alias("n_ratings"), users.alias("n_users"), items.alias("n_items"))
+    """Rows, users and items, in one scan.  The keys combine in the map tasks."""
+    keys = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("key")) for c in ("userId", "productId")])
+    counted = ratings.select(F.inline(keys)).groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n"))
 
+    def distinct(kind):
+        return F.count_if((F.col("kind") == kind) & F.col("key").isNotNull())
 
-def _distinct_count(df: DataFrame, key: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).select(key).distinct().agg(F.count(F.lit(1)).alias("v"))
+    return counted.agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "userId", F.col("n"))), F.lit(0)).alias("n_ratings"),
+        distinct("userId").alias("n_users"), distinct("productId").alias("n_items"))

@@ -39,18 +39,12 @@ def clean_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def impute_prices(products: DataFrame) -> DataFrame:
-    """Missing prices from the category median, then from the median of the filled column.
-
-    Both medians come from one table of (category, price) counts; the filled
-    column is never scanned a second time.
-    """
+    """Missing prices from the category median, then from the median of the filled column."""
     priced = products.withColumn("price", S.to_number("price"))
-    counts = priced.groupBy("category", "price").agg(F.count(F.lit(1)).alias("n"))
-    medians = exact_quantiles(counts.where(F.col("category").isNotNull()), "price",
-                              {"category_median": 0.5}, keys=["category"], weight="n")
-    filled_counts = counts.join(medians, "category", "left").select(
-        F.coalesce("price", "category_median").alias("price"), "n")
-    overall = exact_quantiles(filled_counts, "price", {"m": 0.5}, weight="n").scalar()
+    medians = exact_quantiles(priced, "price", {"category_median": 0.5}, keys=["category"])
+    filled = priced.select("category", "price").join(medians, "category", "left").select(
+        F.coalesce("price", "category_median").alias("price"))
+    overall = exact_quantiles(filled, "price", {"m": 0.5}).scalar()
     return (priced.join(medians, "category", "left")
             .withColumn("price", F.coalesce("price", "category_median", overall))
             .select(*products.columns))

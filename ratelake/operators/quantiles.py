@@ -1,9 +1,8 @@
 """Exact quantiles and exact dense ranks without one task holding everything.
 
-Both split the sorted order into cells of about equally many distinct values, count
-the cells, and rank only inside cells.  Borders follow the values themselves, so a narrow
-range, a wide one or infinite values make no difference.  Equal values are counted
-first, so copies of a value weigh one row however many there are.
+Both cut the sorted order at places that follow the values themselves, count what lies
+between, and rank only where it is needed.  A narrow range, a wide one or infinite values make
+no difference, and copies of a value weigh one row however many there are.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -11,17 +10,56 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratelake.functions.scalar import as_col
 from ratelake.session import stage
 
-#: Cells of a group's values, and borders that are compared at a time.
-CELLS, RUN = 256, 16
+#: Accuracy of the sketches, and the share of ranks on each side of a wanted one that is ranked exactly.
+ACCURACY = 10_000
+MARGIN = 4 / ACCURACY
+#: Borders that are compared at a time.
+RUN = 16
 
 
-def value_counts(df: DataFrame, value, keys=(), weight=None) -> DataFrame:
-    """``keys, value, n``: how often each non-null value occurs; null keys form no group."""
-    n = F.count(F.lit(1)) if weight is None else F.sum(as_col(weight))
-    return (df.select(*keys, as_col(value).cast("double").alias("value"),
-                      *([] if weight is None else [as_col(weight)]))
-              .where(~F.isnan("value")).dropna(subset=[*keys, "value"])
-              .groupBy(*keys, "value").agg(n.alias("n")))
+def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=()) -> DataFrame:
+    """``keys`` and one column per named probability, linearly interpolated; null keys form no group.
+
+    A quantile sketch brackets each wanted rank.  Then one aggregate counts the values inside the brackets one by
+    one and everything between two brackets as one row with its least and largest value, so few rows are shuffled and
+    ranked, whatever the distribution.  The sketch decides where brackets lie, never the result: a rank outside them is an error.
+    """
+    keys = list(keys)
+    rows = (df.select(*keys, as_col(value).cast("double").alias("_value"))
+            .where(~F.isnan("_value")).dropna(subset=[*keys, "_value"]))
+    sides = [min(1.0, max(0.0, p + side)) for p in probabilities.values() for side in (-MARGIN, MARGIN)]
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_value", sides, ACCURACY).alias("_b"))
+    near = rows.join(sketch, keys) if keys else rows.withColumn("_b", sketch.scalar())
+
+    v, inside, behind = F.col("_value"), F.lit(False), F.lit(0)
+    for i in range(0, len(sides), 2):
+        inside = inside | ((v >= F.col("_b")[i]) & (v <= F.col("_b")[i + 1]))
+        behind = behind + (v > F.col("_b")[i + 1]).cast("int")
+    parts = (near.groupBy(*keys, behind.alias("_part"), F.when(inside, v).alias("_own"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")))
+    within = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(within.orderBy("_least").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = parts.withColumn("_start", upto - F.col("_n")).withColumn("_total", F.sum("_n").over(within))
+
+    def value_at(rank):
+        here = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
+        found = (F.when((F.col("_least") == F.col("_most")) | (rank == F.col("_start")), F.col("_least"))
+                 .when(rank == F.col("_start") + F.col("_n") - 1, F.col("_most"))
+                 .otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")))
+        return F.max(F.when(here, found))
+
+    def position(p):
+        return F.lit(float(p)) * (F.col("_total") - 1)
+
+    ends = [end(position(p)) for p in probabilities.values() for end in (F.floor, F.ceil)]
+    out = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *[
+        value_at(rank).alias(f"_at{i}") for i, rank in enumerate(ends)])
+    shares = []
+    for i, (name, p) in enumerate(probabilities.items()):
+        share, lo, hi = position(p) - F.floor(position(p)), F.col(f"_at{2 * i}"), F.col(f"_at{2 * i + 1}")
+        # Between equal values, and at a value itself, nothing is computed: an infinite value stays as it is.
+        shares.append(F.when((share == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * share).alias(name))
+    return out.select(*keys, *shares)
 
 
 def _with_heads(borders) -> Column:
@@ -36,59 +74,6 @@ def _cell(value, borders: Column) -> Column:
     return runs * RUN + F.size(F.filter(F.slice(borders["all"], runs * RUN + 1, F.lit(RUN - 1)), upto))
 
 
-def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=None) -> DataFrame:
-    """``keys`` and one column per named probability, linearly interpolated.
-
-    Quantile sketches of the distinct values give the cell borders, so a cell holds about 1/256 of a
-    group's distinct values whatever their distribution.  Exact counts per cell tell which cells hold
-    a wanted rank, and only the values of those are ranked.  The sketch decides where cells end, never the result.
-    """
-    keys = list(keys)
-    counts = value_counts(df, value, keys, weight)
-    borders = counts.groupBy(*keys).agg(F.percentile_approx(
-        "value", [i / CELLS for i in range(1, CELLS)], 10 * CELLS).alias("b")).select(*keys, _with_heads("b").alias("b"))
-    placed = counts.join(borders, keys) if keys else counts.withColumn("b", borders.select("b").scalar())
-    placed = placed.select(*counts.columns, _cell(F.col("value"), F.col("b")).alias("cell"))
-    within = Window.partitionBy(*keys)
-    cells = (placed.groupBy(*keys, "cell").agg(F.sum("n").alias("cell_n"))
-             .withColumn("before", F.sum("cell_n").over(
-                 within.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)))
-             .withColumn("before", F.coalesce("before", F.lit(0)))
-             .withColumn("total", F.sum("cell_n").over(within)))
-
-    def rank_pair(p):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        return F.floor(position), F.ceil(position)
-
-    def holds(rank, start, count):
-        return (rank >= start) & (rank < start + count)
-
-    wanted = F.lit(False)
-    for p in probabilities.values():
-        for rank in rank_pair(p):
-            wanted = wanted | holds(rank, F.col("before"), F.col("cell_n"))
-    cells = cells.where(wanted).drop("cell_n")
-    if not keys:
-        cells = F.broadcast(cells)      # two cells a probability at most
-
-    hit = placed.join(cells, [*keys, "cell"])
-    running = F.sum("n").over(Window.partitionBy(*keys, "cell").orderBy("value")
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = hit.withColumn("start", F.col("before") + running - F.col("n"))
-    bounds, shares = [], []
-    for i, p in enumerate(probabilities.values()):
-        lo, hi = rank_pair(p)
-        bounds += [F.max(F.when(holds(lo, F.col("start"), F.col("n")), F.col("value"))).alias(f"lo{i}"),
-                   F.max(F.when(holds(hi, F.col("start"), F.col("n")), F.col("value"))).alias(f"hi{i}")]
-    out = hit.groupBy(*keys).agg(F.max("total").alias("total"), *bounds)
-    for i, (name, p) in enumerate(probabilities.items()):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        share, lo, hi = position - F.floor(position), F.col(f"lo{i}"), F.col(f"hi{i}")
-        # Between equal values, and at a value itself, nothing is computed: an infinite value stays as it is.
-        shares.append(F.when((share == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * share).alias(name))
-    return out.select(*keys, *shares)
-
-
 def dense_index(values: DataFrame, column: str, index: str = "index", cell_rows: int = 100_000,
                 sample_rows: int = 1 << 14) -> DataFrame:
     """Position of each value in the sorted order of distinct ``values`` (from 0).
