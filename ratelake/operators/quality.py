@@ -193,18 +193,24 @@ def schema_check(df: DataFrame, expected, dataset: str) -> DataFrame:
     return _results(rows, dataset, [(name, passed, f"concat({detail}, '; n_rows=', n_rows)")])
 
 
+# Whole parts of the ratings that the range check counts; any others are out of range.
+_FLOORS = (1, 2, 3, 4, 5)
+
+
 def check_ratings(ratings: DataFrame, expectations=()) -> DataFrame:
     """The seven checks of a ratings table: one scan for row facts, one for keys.
 
     ``expectations`` are measured in the same scan and added as further checks.
     """
     found = _Measured(ratings, expectations)
-    rows = ratings.agg(*_null_measures(ratings), *_range_measures(), *_timestamp_measures(), *found.measures)
+    rows = ratings.agg(*_null_measures(ratings), *_range_measures(), *_timestamp_measures(), *found.measures, *[
+        F.count(F.when(F.floor("rating") == k, 1)).alias(f"floor_{k}") for k in _FLOORS])
     keys = sparsity_of(key_profile(ratings), keep=True)
     return _results(rows, "ratings", [
         _schema_check(ratings, schemas.RATINGS.names),
         _missing_check(ratings),
-        ("rating_range", "n_out_of_range = 0", "format_string('n_out_of_range=%d', n_out_of_range)"),
+        ("rating_range", "n_out_of_range = 0", "concat(format_string('n_out_of_range=%d; rows_by_floor=', n_out_of_range), "
+         f"concat_ws(',', {', '.join(f'floor_{k}' for k in _FLOORS)}))"),
         ("timestamp_validity", "n_no_time = 0 and n_out_of_window = 0",
          "format_string('min_date=%s; max_date=%s; n_no_time=%d; n_out_of_window=%d', cast(min_date as string), "
          "cast(max_date as string), n_no_time, n_out_of_window)"),
@@ -236,8 +242,8 @@ def check_products(products: DataFrame, expectations=()) -> DataFrame:
         *((e.name, "most <= 1", "'expectation'") for e in unique_id),
     ])).unionByName(_results(price_profile(products), "products", [
         ("price_range", "n_negative = 0",
-         "format_string('n_null=%d; n_negative=%d; n_zero=%d; n_outliers=%d; p50=%.2f; "
-         "p95=%.2f', n_null, n_negative, n_zero, n_outliers, p50, p95)"),
+         "format_string('n_null=%d; null_pct=%.1f; n_negative=%d; n_zero=%d; n_outliers=%d; p50=%.2f; "
+         "p95=%.2f', n_null, 100D * try_divide(n_null, n_rows), n_negative, n_zero, n_outliers, p50, p95)"),
     ])).unionByName(_results(category_profile(products).withColumn("top", top.scalar()), "products", [
         ("category_coverage", f"try_divide(n_empty, n_rows) < {EMPTY_CATEGORY_SHARE}D",
          "concat(format_string('n_categories=%d; n_empty=%d; pct_empty=%.1f; top=', n_categories, n_empty, "

@@ -171,6 +171,18 @@ def _(spark, d):
     return quality.summary_rows(_checks(spark, d))
 
 
+@query("range_details", """SELECT 'rating_range' AS "check", 'n_out_of_range=' || count(*) FILTER (rating NOT BETWEEN 1 AND 5)
+    || '; rows_by_floor=' || concat_ws(',', count(*) FILTER (floor(rating) = 1), count(*) FILTER (floor(rating) = 2),
+      count(*) FILTER (floor(rating) = 3), count(*) FILTER (floor(rating) = 4), count(*) FILTER (floor(rating) = 5)) AS detail
+    FROM R UNION ALL
+    SELECT 'price_range', printf('n_null=%d; null_pct=%.1f; n_negative=%d; n_zero=%d; n_outliers=%d; p50=%.2f; p95=%.2f',
+      count(*) - count(price), (count(*) - count(price)) * 100.0::DOUBLE / count(*), count(*) FILTER (price < 0),
+      count(*) FILTER (price = 0), count(*) FILTER (price > 3 * (SELECT quantile_cont(price, 0.95) FROM P)),
+      quantile_cont(price, 0.5), quantile_cont(price, 0.95)) FROM P""", "R", "P")
+def _(spark, d):
+    return _checks(spark, d).where(F.col("check").isin("rating_range", "price_range")).select("check", "detail")
+
+
 @query("checks_passed", f"""SELECT dataset, count(*) FILTER (passed) AS n_passed, count(*) AS n_checks
     FROM ({_CHECKS_SQL}) GROUP BY 1""", "R", "P")
 def _(spark, d):
