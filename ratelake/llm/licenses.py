@@ -2,11 +2,14 @@
 
 Words that occur once in the text and once in the template are anchors; the longest
 increasing run of them is kept; the gaps between anchors are aligned the same way, and equal words next to an
-anchor join it.  A template's coverage is the share of its words that are aligned.
+anchor join it.  A gap without anchors gets its longest common run.  Texts are aligned in regions that overlap so
+far that every copy of a template lies whole in one.  A template's coverage is the share of its words that are aligned.
 """
 
 import bisect
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,6 +18,10 @@ from ratelake.llm.runtime import small_batches
 
 #: Share of a template's words that must be aligned.
 COVERAGE = 0.8
+#: Words that may stand between a template's words, besides as many as the template has itself.
+LEAST_ROOM = 8
+#: Regions of a template start at most this part of it apart.
+STEPS = 16
 
 # Common license notices.
 TEMPLATES = {
@@ -44,7 +51,7 @@ def increasing(pairs):
         if pile == len(tops):
             tops.append(b)
             at.append(i)
-        else:
+        elif b < tops[pile]:
             tops[pile], at[pile] = b, i
     out, i = [], at[-1] if at else -1
     while i >= 0:
@@ -54,7 +61,10 @@ def increasing(pairs):
 
 
 def align(text, template):
-    """Aligned places (text, template) in order."""
+    """Aligned places (text, template) in order.
+
+    A gap without a word that is unique on both sides gets its longest common run of words.
+    """
     out, todo = [], [(0, len(text), 0, len(template))]
     while todo:
         a, b, c, d = todo.pop()
@@ -74,6 +84,8 @@ def align(text, template):
                 here.setdefault(text[i], []).append(i)
         anchors = increasing(sorted((p[0], there[w][0]) for w, p in here.items() if len(p) == 1 and len(there[w]) == 1))
         if not anchors:
+            # Template places of a text place in falling order, so that each joins a run once.
+            out += increasing([(i, j) for i in range(a, b) for j in reversed(there.get(text[i], ()))])
             continue
         for (i, j), (k, m) in zip([(a - 1, c - 1), *anchors], [*anchors, (b, d)]):
             # The gap in front of each anchor, and the anchor itself.
@@ -82,21 +94,64 @@ def align(text, template):
     return sorted(out)
 
 
-def best_alignment(words, template):
-    """The best alignment in windows of twice the template around places that hold its words.
+def regions(places, words, template, need):
+    """Ranges of ``places`` (where ``words`` has words of the template) that may cover ``need`` words of it.
 
-    Windows of a step of one template length see each copy of a template whole, however often it occurs.
+    A copy with its inserted words spans at most the template and room for as many words again (``LEAST_ROOM`` at
+    least).  Regions start at places that hold a word of the template, a sixteenth of a template apart at most, and are
+    longer by that step, so each such copy lies whole in one of them wherever it stands.
     """
-    size, kinds = len(template), set(template)
-    marks = [i for i, w in enumerate(words) if w in kinds]
-    best, need = [], (len(kinds) + 1) // 2
-    for first in sorted({m // size * size for m in marks} | {max(0, m // size * size - size) for m in marks}):
-        window = words[first:first + 2 * size]
-        if len(kinds.intersection(window)) < need:
+    size = len(template)
+    step = max(1, size // STEPS)
+    length = size + max(size, LEAST_ROOM) + step - 1
+    left, shared, a, b, last = Counter(template), 0, 0, 0, None
+    for k, first in enumerate(places):
+        if last is not None and first < last + step:
+            continue
+        last = first
+        for i in range(a, k):
+            left[words[places[i]]] += 1
+            shared -= left[words[places[i]]] > 0
+        a = k
+        while b < len(places) and places[b] < first + length:
+            shared += left[words[places[b]]] > 0
+            left[words[places[b]]] -= 1
+            b += 1
+        if shared >= need:
+            yield a, b
+
+
+def tightened(found, where, words):
+    """The alignment with its words drawn to the middle one: each as near to its inner neighbour as the text allows."""
+    out, middle = list(found), len(found) // 2
+    for k in range(middle - 1, -1, -1):
+        at = where[words[out[k][0]]]
+        out[k] = at[bisect.bisect_left(at, out[k + 1][0]) - 1], out[k][1]
+    for k in range(middle + 1, len(out)):
+        at = where[words[out[k][0]]]
+        out[k] = at[bisect.bisect_right(at, out[k - 1][0])], out[k][1]
+    return out
+
+
+def best_alignment(words, template, need):
+    """The alignment of the most words, and of those the shortest, then the first; empty below ``need`` words."""
+    where = {w: [] for w in template}
+    for i, w in enumerate(words):
+        if w in where:
+            where[w].append(i)
+    places = sorted(i for at in where.values() for i in at)
+    best, rank = [], (0, 0)
+    for a, b in regions(places, words, template, need):
+        region = places[a:b]
+        found = align([words[i] for i in region], template)
+        if len(found) < max(need, rank[0]):
             continue
-        found = [(first + i, j) for i, j in align(window, template)]
-        if len(found) > len(best):
-            best = found
+        found = tightened([(region[i], j) for i, j in found], where, words)
+        now = len(found), found[0][0] - found[-1][0]
+        if now > rank:
+            best, rank = found, now
+            if len(found) == len(template) == found[-1][0] - found[0][0] + 1:
+                break
     return best
 
 
@@ -105,17 +160,18 @@ def scan(templates, least, words_of, best_alignment):
 
     def body(batches):
         known = {name: words_of(t) for name, t in sorted(templates.items())}
-        kinds = {name: set(t) for name, t in known.items()}
+        counts = {name: Counter(t) for name, t in known.items()}
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words = words_of(text or "")
                 present = set(words)
                 for name, template in known.items():
-                    if not template or 2 * len(kinds[name] & present) < len(kinds[name]):
+                    need = max(1, math.ceil(least * len(template) - 1e-9))
+                    if not template or sum(n for w, n in counts[name].items() if w in present) < need:
                         continue
-                    found = best_alignment(words, template)
-                    if found and len(found) >= least * len(template):
+                    found = best_alignment(words, template, need)
+                    if found:
                         rows.append((doc, name, len(found) / len(template), len(found), found[0][0], found[-1][0], len(words)))
             kind = (pa.int64(), pa.string(), pa.float64(), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays(
@@ -128,6 +184,7 @@ def scan(templates, least, words_of, best_alignment):
 def scan_licenses(docs: DataFrame, templates: dict = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
     """One row for each document and template that it covers, with the place of the first best alignment.
 
+    Words may stand between those of a template: as many as it has itself, ``LEAST_ROOM`` at least.
     Words are runs of letters and digits in lower case.  Null and empty texts cover nothing; repeated rows are scanned
     each; an empty table gives no rows; other columns are ignored, whatever their names.
     """

@@ -294,6 +294,31 @@ def test_licenses(spark):
     assert licenses.align(list("abcxyz"), list("abqxyz")) == [(0, 0), (1, 1), (3, 3), (4, 4), (5, 5)]
 
 
+def test_licenses_at_every_offset(spark):
+    notices = {"MIT": "Released under the terms of the permissive MIT License",
+               "Apache-2.0": "Licensed under the terms of the well known Apache License, Version 2.0"}
+    for name, notice in notices.items():
+        size = len(licenses.words_of(licenses.TEMPLATES[name]))
+        rows = [(k, f"{'filler ' * k}{notice}{tail}") for k, tail in enumerate(["", " filler", " the license under the license"] * 8)]
+        got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+               if r.license == name}
+        assert set(got) == set(range(24))
+        for k, r in got.items():
+            assert (r.n_matched, r.coverage, r.first_word, r.last_word) == (
+                size, 1, k, k + len(licenses.words_of(notice)) - 1)
+    # No word is unique on both sides; two copies with words put in.
+    assert len(licenses.align(list("babxaab"), list("ababab"))) == 5
+    twice = "Released now under the same MIT License or released again under the very MIT License"
+    assert len(licenses.best_alignment(licenses.words_of(twice), licenses.words_of(licenses.TEMPLATES["MIT"]), 4)) == 5
+    # Against the longest common run of words over all places.
+    rng = np.random.default_rng(3)
+    template = licenses.words_of("the holder of the work gives the user of the work a right to the copy of it")
+    for _ in range(60):
+        copy = [w for t in template for w in ([t] + ["zzz"] * rng.integers(0, 2))]
+        noise = [*rng.choice(template + ["zzz"] * 20, rng.integers(0, 60))]
+        assert len(licenses.best_alignment(noise + copy + noise, template, 10)) == len(template)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
     got = collections.Counter(r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect())
