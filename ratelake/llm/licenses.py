@@ -3,7 +3,7 @@
 Words that occur once in the text and once in the template are anchors; the longest
 increasing run of them is kept; the gaps between anchors are aligned the same way, and equal words next to an
 anchor join it.  A gap without anchors gets its longest common run.  Texts are aligned in regions that overlap so
-far that every copy of a template lies whole in one.  A template's coverage is the share of its words that are aligned.
+far that every copy of a template lies whole in one.  A template's coverage is the share of its words that are aligned.  The phrases that name a licence must stand in the text whole, however much else is covered.
 """
 
 import bisect
@@ -35,6 +35,16 @@ TEMPLATES = {
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
                  "documentation files (the \"Software\"), to deal in the Software without restriction",
 }
+#: Phrases of a template that name its licence: each must stand in the text word by word, its last word aligned.  ``|`` parts
+#: wordings of which one is enough.
+DECIDING = {
+    "Apache-2.0": ("Apache License", "Version 2.0|License 2.0"),
+    "Apache-2.0-header": ("Apache License", "Version 2.0|License 2.0"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
+    "GPL-3.0": ("GNU General Public License", "version 3|License 3"),
+    "MIT": ("MIT License",),
+    "MIT-grant": ("deal in the Software without restriction",),
+}
 FOUND = "doc_id long, license string, coverage double, n_matched long, first_word long, last_word long, n_words long"
 
 
@@ -133,8 +143,17 @@ def tightened(found, where, words):
     return out
 
 
-def best_alignment(words, template, need):
-    """The alignment of the most words, and of those the shortest, then the first; empty below ``need`` words."""
+def decided(found, words, deciding):
+    """Whether each deciding phrase, in one of its wordings, stands whole in the text where the alignment is."""
+    return all(any(words[i - len(phrase) + 1:i + 1] == phrase for phrase in wordings for i, _ in found
+                   if words[i] == phrase[-1] and i >= len(phrase) - 1) for wordings in deciding)
+
+
+def best_alignment(words, template, need, deciding=()):
+    """The alignment of the most words, and of those the shortest, then the first.
+
+    Empty below ``need`` words or without the deciding phrases, lists of wordings in words.
+    """
     where = {w: [] for w in template}
     for i, w in enumerate(words):
         if w in where:
@@ -148,18 +167,19 @@ def best_alignment(words, template, need):
             continue
         found = tightened([(region[i], j) for i, j in found], where, words)
         now = len(found), found[0][0] - found[-1][0]
-        if now > rank:
+        if now > rank and decided(found, words, deciding):
             best, rank = found, now
             if len(found) == len(template) == found[-1][0] - found[0][0] + 1:
                 break
     return best
 
 
-def scan(templates, least, words_of, best_alignment):
+def scan(templates, least, words_of, best_alignment, deciding):
     """Task body: the templates that each text covers."""
 
     def body(batches):
         known = {name: words_of(t) for name, t in sorted(templates.items())}
+        phrases = {name: [[words_of(w) for w in p.split("|")] for p in deciding.get(name, ())] for name in known}
         counts = {name: Counter(t) for name, t in known.items()}
         for batch in batches:
             rows = []
@@ -170,7 +190,7 @@ def scan(templates, least, words_of, best_alignment):
                     need = max(1, math.ceil(least * len(template) - 1e-9))
                     if not template or sum(n for w, n in counts[name].items() if w in present) < need:
                         continue
-                    found = best_alignment(words, template, need)
+                    found = best_alignment(words, template, need, phrases[name])
                     if found:
                         rows.append((doc, name, len(found) / len(template), len(found), found[0][0], found[-1][0], len(words)))
             kind = (pa.int64(), pa.string(), pa.float64(), *[pa.int64()] * 4)
@@ -181,11 +201,11 @@ def scan(templates, least, words_of, best_alignment):
     return body
 
 
-def scan_licenses(docs: DataFrame, templates: dict = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict = TEMPLATES, coverage: float = COVERAGE,
+                  deciding: dict | None = None) -> DataFrame:
     """One row for each document and template that it covers, with the place of the first best alignment.
 
-    Words may stand between those of a template: as many as it has itself, ``LEAST_ROOM`` at least.
-    Words are runs of letters and digits in lower case.  Null and empty texts cover nothing; repeated rows are scanned
+    Words may stand between those of a template: as many as it has itself, XX of letters and digits in lower case.  Null and empty texts cover nothing; repeated rows are scanned
     each; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     import sys
@@ -193,4 +213,7 @@ def scan_licenses(docs: DataFrame, templates: dict = TEMPLATES, coverage: float
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return small_batches(docs.select("doc_id", "text")).mapInArrow(scan(templates, coverage, words_of, best_alignment), FOUND)
+    if deciding is None:
+        deciding = DECIDING if templates is TEMPLATES else {}
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(
+        scan(templates, coverage, words_of, best_alignment, deciding), FOUND)

@@ -319,6 +319,34 @@ def test_licenses_at_every_offset(spark):
         assert len(licenses.best_alignment(noise + copy + noise, template, 10)) == len(template)
 
 
+RIVALS = [
+    "Released under the BSD License.", "Released under the ISC License.", "Released under the MIT No Attribution License.",
+    "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY-NC 3.0.",
+    "Licensed under the Apache License, Version 1.1.", "Licensed under the Mozilla Public License, Version 2.0.",
+    "Licensed under the Educational Community License, Version 2.0 (the \"License\"); you may not use this file except in "
+    "compliance with the License. You may obtain a copy of the License at http://www.osedu.org/licenses/ECL-2.0",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+    "files (the \"Software\"), to deal with the Software without restriction, including without limitation the rights to use"]
+GIVEN = {"Apache-2.0", "Apache-2.0-header", "CC-BY-NC-4.0", "GPL-3.0", "MIT", "MIT-grant"}
+
+
+def test_rival_licenses(spark):
+    near = [("Apache-2.0", "Licensed under the Apache License 2.0"), ("MIT", "Released under the BSD License or the MIT License"),
+            ("GPL-3.0", "This work is licensed under the GNU General Public License, version 2 or version 3"),
+            ("CC-BY-NC-4.0", "Licensed also under CC BY-NC 4.0")]
+    rows = list(enumerate(RIVALS)) + [(100 + i, t) for i, (_, t) in enumerate(near)]
+    got = {(r.doc_id, r.license) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {g for g in got if g[1] in GIVEN} == {(100 + i, name) for i, (name, _) in enumerate(near)}
+    # Each deciding phrase is one of its template, so that the template itself is found.
+    for name, text in licenses.TEMPLATES.items():
+        phrases = [[licenses.words_of(w) for w in p.split("|")] for p in licenses.DECIDING[name]]
+        words = licenses.words_of(text)
+        assert len(licenses.best_alignment(words, words, len(words), phrases)) == len(words), name
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
     got = collections.Counter(r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect())
