@@ -10,6 +10,7 @@ import bisect
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,28 +24,86 @@ LEAST_ROOM = 8
 #: Regions of a template start at most this part of it apart.
 STEPS = 16
 
-# Common license notices.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                         "compliance with the License. You may obtain a copy of the License at "
-                         "http://www.apache.org/licenses/LICENSE-2.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-                 "documentation files (the \"Software\"), to deal in the Software without restriction",
+# Short notices and the beginnings of grants and headers, with their deciding phrases.
+_NOTICES = {
+    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",
+                 "GNU Affero General Public License", "version 3|License 3"),
+    "Apache-2.0": ("Licensed under the Apache License, Version 2.0.", "Apache License", "Version 2.0|License 2.0"),
+    "Apache-2.0-header": ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                          "compliance with the License. You may obtain a copy of the License at "
+                          "http://www.apache.org/licenses/LICENSE-2.0", "Apache License", "Version 2.0|License 2.0"),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", "BSD 2-Clause License"),
+    "BSD-3-Clause": ("Released under the BSD 3-Clause License.", "BSD 3-Clause License"),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",
+                "GNU General Public License", "version 2|License 2"),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",
+                "GNU General Public License", "version 3|License 3"),
+    "ISC": ("Released under the ISC License.", "ISC License"),
+    "LGPL-2.1": ("This work is licensed under the GNU Lesser General Public License, version 2.1.",
+                 "GNU Lesser General Public License", "version 2.1|License 2.1"),
+    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",
+                 "GNU Lesser General Public License", "version 3|License 3"),
+    "MIT": ("Released under the MIT License.", "MIT License"),
+    "MIT-grant": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                  "documentation files (the \"Software\"), to deal in the Software without restriction",
+                  "deal in the Software without restriction"),
+    "MPL-2.0": ("Licensed under the Mozilla Public License, Version 2.0.", "Mozilla Public License", "Version 2.0|License 2.0"),
+    "MPL-2.0-header": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                       "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+                       "Mozilla Public License v 2.0"),
 }
+for _mark, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                     ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                     ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    _NOTICES[f"CC-{_mark}-4.0"] = f"Licensed under CC {_mark} 4.0.", f"CC {_mark} 4.0"
+    _NOTICES[f"CC-{_mark}-4.0-header"] = (f"This work is licensed under a Creative Commons {_name} 4.0 International License.",
+                                          f"Creative Commons {_name} 4.0")
+for _mark, _name, _version in (("AGPL-3.0", "Affero General", "3"), ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"),
+                               ("LGPL-2.0", "Library General", "2"), ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3")):
+    # With and without "any later version".
+    _NOTICES[f"{_mark}-header"] = (
+        "is free software you can redistribute it and/or modify it under the terms of the "
+        f"GNU {_name} Public License as published by the Free Software Foundation, either version {_version} of the License",
+        f"GNU {_name} Public License", f"version {_version}|License {_version}")
+
+#: Deciding phrases of the whole texts in ``license_texts``, registered as ``<name>-text``.
+_TEXTS = {
+    "0BSD": ("with or without fee is hereby granted the software is provided",),
+    "Apache-2.0": ("Apache License Version 2.0", "Submission of Contributions"),
+    "Artistic-1.0": ("The Artistic License", "Standard Version"),
+    "BSD-2-Clause": ("with the distribution this software is provided",),
+    "BSD-3-Clause": ("|".join(f"with the distribution {k} {w}" for k in ("", "3", "c", "iii")
+                              for w in ("neither the name", "neither the names", "the name", "the names")),),
+    "BSD-4-Clause": ("advertising materials mentioning features or use",),
+    "BSL-1.0": ("any person or organization obtaining a copy",),
+    "CC-BY-SA-4.0": ("Attribution-ShareAlike 4.0 International",),
+    "CC0-1.0": ("CC0 1.0 Universal",),
+    "GFDL-1.2": ("GNU Free Documentation License Version 1.2",),
+    "GFDL-1.3": ("GNU Free Documentation License Version 1.3",),
+    "GPL-1.0": ("GNU General Public License Version 1",),
+    "GPL-2.0": ("GNU General Public License Version 2",),
+    "GPL-3.0": ("GNU General Public License Version 3",),
+    "ISC": ("with or without fee is hereby granted provided that",),
+    "LGPL-2.0": ("GNU Library General Public License Version 2",),
+    "LGPL-2.1": ("GNU Lesser General Public License Version 2.1",),
+    "LGPL-3.0": ("GNU Lesser General Public License Version 3",),
+    "MIT": ("deal in the Software without restriction", "shall be included in all"),
+    "MPL-1.1": ("Mozilla Public License Version 1.1",),
+    "MPL-2.0": ("Mozilla Public License Version 2.0",),
+    "NCSA": ("deal with the Software without restriction",),
+    "OFL-1.1": ("SIL Open Font License Version 1.1",),
+    "Unlicense": ("free and unencumbered software released into the public domain",),
+    "Zlib": ("Altered source versions must be plainly marked",),
+}
+_FOLDER = Path(__file__).parent / "license_texts"
+
+#: Common notices, headers and whole texts of licences.
+TEMPLATES = {name: text for name, (text, *_) in _NOTICES.items()} | {
+    f"{name}-text": (_FOLDER / f"{name}.txt").read_text("utf-8") for name in _TEXTS}
 #: Phrases of a template that name its licence: each must stand in the text word by word, its last word aligned.  ``|`` parts
 #: wordings of which one is enough.
-DECIDING = {
-    "Apache-2.0": ("Apache License", "Version 2.0|License 2.0"),
-    "Apache-2.0-header": ("Apache License", "Version 2.0|License 2.0"),
-    "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
-    "GPL-3.0": ("GNU General Public License", "version 3|License 3"),
-    "MIT": ("MIT License",),
-    "MIT-grant": ("deal in the Software without restriction",),
-}
+DECIDING = {name: tuple(phrases) for name, (_, *phrases) in _NOTICES.items()} | {
+    f"{name}-text": phrases for name, phrases in _TEXTS.items()}
 FOUND = "doc_id long, license string, coverage double, n_matched long, first_word long, last_word long, n_words long"
 
 
@@ -187,6 +246,8 @@ def scan(templates, least, words_of, best_alignment, deciding):
                 words = words_of(text or "")
                 present = set(words)
                 for name, template in known.items():
+                    if not all(any(present.issuperset(w) for w in wordings) for wordings in phrases[name]):
+                        continue
                     need = max(1, math.ceil(least * len(template) - 1e-9))
                     if not template or sum(n for w, n in counts[name].items() if w in present) < need:
                         continue

@@ -347,6 +347,32 @@ def test_rival_licenses(spark):
         assert len(licenses.best_alignment(words, words, len(words), phrases)) == len(words), name
 
 
+def test_license_catalogue(spark):
+    headers = {
+        "GPL-2.0-header": "This program is free software; you can redistribute it and/or\n# modify it under the terms of the GNU "
+                          "General Public License\n# as published by the Free Software Foundation; either version 2\n# of the "
+                          "License, or (at your option) any later version.",
+        "LGPL-3.0-header": "Foo is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                           "Public License as published by the Free Software Foundation, version 3 of the License.",
+        "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+                          "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "CC-BY-SA-4.0-header": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "BSD-3-Clause": "Released under the BSD 3-Clause License"}
+    found = {i: name for i, name in enumerate(licenses.TEMPLATES)}
+    rows = [(i, f"Copyright of the holder. {licenses.TEMPLATES[name]} End of the text") for i, name in found.items()]
+    rows += [(1000 + i, t) for i, t in enumerate(headers.values())]
+    got = collections.defaultdict(set)
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.license)
+    assert [got[1000 + i] for i in range(len(headers))] == [{name} for name in headers]
+    # Texts that hold other templates; NCSA isn't MIT, three clauses aren't two.
+    also = {"Apache-2.0-header": {"Apache-2.0"}, "Apache-2.0-text": {"Apache-2.0", "Apache-2.0-header"}, "MIT-text": {"MIT-grant"}} | {
+        f"{k}-text": {f"{k}-header"} for k in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "MPL-2.0")}
+    assert {name: got[i] for i, name in found.items()} == {name: {name} | also.get(name, set()) for name in found.values()}
+    assert {"MIT-text", "Apache-2.0-text", "GPL-2.0-text", "GPL-3.0-text", "BSD-2-Clause-text", "BSD-3-Clause-text", "ISC-text",
+            "MPL-2.0-text", "CC-BY-SA-4.0-text", "CC0-1.0-text"} <= set(found.values())
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
     got = collections.Counter(r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect())
