@@ -228,8 +228,8 @@ def _permute(x):
     return x
 
 
-def circulant_minima(hashes, starts, ends, bands, rows):
-    """The low 16 bits of each coordinate's minimum, ``rows`` of them to a number; texts without shingles left out.
+def circulant_minima(hashes, starts, ends, coordinates):
+    """The low 16 bits of each coordinate's minimum; texts without shingles left out.
 
     The first permutation is the spread hash itself, cut to 32 bits; coordinate k shifts it
     round the circle by k steps before the second permutation.
@@ -237,19 +237,11 @@ def circulant_minima(hashes, starts, ends, bands, rows):
     some = ends > starts
     spread = (mix(hashes ^ U(0x3C6EF372FE94F82B)) >> U(32)).astype(np.uint32)
     edges = starts[some]
-    out = np.zeros((int(some.sum()), bands * rows), np.uint16)
+    out = np.zeros((int(some.sum()), coordinates), np.uint16)
     if len(edges):
         with np.errstate(over="ignore"):
-            for k in range(bands * rows):
+            for k in range(coordinates):
                 shifted = _permute(spread + np.uint32((k * 0x6C8E9CF5) & 0xFFFFFFFF))
                 least = np.minimum.reduceat(shifted, edges)
                 out[:, k] = (least ^ (least >> np.uint32(16))).astype(np.uint16)
-    return np.ascontiguousarray(out).view(np.int64) if rows == 4 else \
-        mix(_fold(out.reshape(len(out), bands, rows))).view(np.int64)
-
-
-def _fold(lanes):
-    total = np.zeros(lanes.shape[:2], U)
-    for k in range(lanes.shape[2]):
-        total = total * _BASE + lanes[:, :, k].astype(U) + U(1)
-    return total
+    return out

@@ -12,6 +12,8 @@ components go on: there, members outside the largest component meet the
 others in blocks of bounded size, and whole texts decide.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -25,20 +27,20 @@ BANDS = 32
 ROWS_PER_BAND = 4
 SHINGLE = 5
 SIMILARITY = 75
-#: A pair at the similarity bound agrees in about 96 of 128 coordinates; under so many (over six
-#: standard deviations less, odds below 1e-9) it isn't checked on texts.
-LEAST_AGREEMENT = 64
+#: A pair at the similarity bound agrees in about 96 of 128 coordinates.  A pair that agrees in so few that a pair at the
+#: bound has lower odds of it isn't checked on texts.
+ODDS = 1e-9
 #: Outsiders and members of a bucket that meet at once.
 BLOCK = 256
 #: Shingles of the blocks that a task takes together.
 CHUNK = 1 << 20
 
-SKETCH = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, digest_a long, digest_b long, lanes binary"
 LINK = "u long, v long"
 
 
 def sketches(words_per_shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS_PER_BAND):
-    """Task body: set size, two digests of the set and the bands of each text."""
+    """Task body: set size, two digests of the set and the signature of each text, two bytes a coordinate."""
     text = bytetext
 
     def sketch(batches):
@@ -49,21 +51,32 @@ def sketches(words_per_shingle: int = SHINGLE, bands: int = BANDS, rows: int = R
                 starts = np.append(0, ends[:-1])
                 digests = [text.per_group_sum(text.mix(hashes ^ np.uint64(salt)), starts, ends).view(np.int64)
                            for salt in (0x51ED270B, 0x2545F4914F6CDD1D)]
-                packed = text.circulant_minima(hashes, starts, ends, bands, rows)
+                lanes = text.circulant_minima(hashes, starts, ends, bands * rows)
                 offsets = np.zeros(len(starts) + 1, np.int32)
-                np.cumsum(np.where(ends > starts, bands, 0), out=offsets[1:])
+                np.cumsum(np.where(ends > starts, 2 * bands * rows, 0), out=offsets[1:])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(ends - starts, pa.int64()),
-                     *map(pa.array, digests), pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed.ravel()))],
-                    names=["doc_id", "n_shingles", "digest_a", "digest_b", "bands"])
+                     *map(pa.array, digests), pa.Array.from_buffers(
+                         pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lanes)])],
+                    names=["doc_id", "n_shingles", "digest_a", "digest_b", "lanes"])
 
     return sketch
 
 
+def least_agreement(coordinates: int, similarity: int) -> int:
+    """So many coordinates agree in a pair at the similarity, but for ``ODDS``."""
+    p, odds = similarity / 100, 0.0
+    for k in range(coordinates):
+        odds += math.comb(coordinates, k) * p ** k * (1 - p) ** (coordinates - k)
+        if odds > ODDS:
+            return k
+    return coordinates
+
+
 def agreeing(least: int, similarity: int):
     """Task body: candidate pairs whose signatures agree and whose sizes allow the similarity."""
     def lanes(column):
-        return column.flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(len(column), -1)
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
     def check(batches):
         for batch in batches:
@@ -71,7 +84,7 @@ def agreeing(least: int, similarity: int):
                 continue
             n, m = (batch.column(c).to_numpy() for c in ("u_n", "v_n"))
             good = 100 * np.minimum(n, m) >= similarity * np.maximum(n, m)
-            good &= (lanes(batch.column("u_bands")) == lanes(batch.column("v_bands"))).sum(1) >= least
+            good &= (lanes(batch.column("u_lanes")) == lanes(batch.column("v_lanes"))).sum(1) >= least
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
     return check
@@ -155,14 +168,16 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     document, whose classes are joined; where their texts differ, links are confirmed on one of them.  A null ``doc_id`` stands alone with a null component.
     An empty table gives no rows; other columns are ignored, whatever their names.
     """
-    least = LEAST_AGREEMENT * bands * rows // (BANDS * ROWS_PER_BAND)
+    least = least_agreement(bands * rows, similarity)
     sketch = stage(small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(
         sketches(words_per_shingle, bands, rows), SKETCH), "sketches")
     set_key = ["digest_a", "digest_b", "n_shingles"]
     worded = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = stage(worded.groupBy(*set_key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stage(worded.groupBy(*set_key).agg(F.min("doc_id").alias("rep"), F.first("lanes").alias("lanes")), "classes")
 
-    banded = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    key = lambda b: F.xxhash64(F.substring("lanes", b * (2 * rows) + 1, F.lit(2 * rows)))
+    banded = classes.select("rep", "n_shingles", F.posexplode(
+        F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)).alias("band", "key"))
     buckets = (banded.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"),
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "rep")).alias("y"))
@@ -173,11 +188,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     members = stage(banded.join(buckets, ["band", "key"]).select(
         F.xxhash64("band", "key").alias("bucket"), "n", "pivot", "rep", "n_shingles"), "members")
 
-    sizes = classes.select("rep", "n_shingles", "bands")
+    sizes = classes.select("rep", "n_shingles", "lanes")
     pairs = members.where(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
     for side in ("u", "v"):
         pairs = pairs.join(sizes.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"{side}_n"),
-                                        F.col("bands").alias(f"{side}_bands")), side)
+                                        F.col("lanes").alias(f"{side}_lanes")), side)
     candidates = stage(pairs.mapInArrow(agreeing(least, similarity), LINK), "candidates")
 
     wanted = stage(members.where(F.col("n") > 2).select("rep").union(candidates.select("u")).union(
@@ -212,11 +227,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     joined = links.select("u", "v").union(stage(more, "more"))
     # A doc_id with several different texts joins their classes.
     repeated = (worded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).drop("k")
-                .join(worded, "doc_id").join(classes.drop("bands"), set_key)
+                .join(worded, "doc_id").join(classes.drop("lanes"), set_key)
                 .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
     final = components(joined.union(repeated)).withColumnRenamed("node", "rep")
 
-    labelled = sketch.select("doc_id", *set_key).join(classes.drop("bands"), set_key, "left").join(final, "rep", "left")
+    labelled = sketch.select("doc_id", *set_key).join(classes.drop("lanes"), set_key, "left").join(final, "rep", "left")
     return labelled.select(
         "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -152,6 +152,25 @@ def test_near_duplicates_by_all_pairs(spark, docs):
             i: (len(sets[i]), root(i), root(i) == i) for i in sets}
 
 
+@pytest.mark.parametrize("settings", [{"rows": 5, "bands": 25}, {"similarity": 50}])
+def test_near_duplicates_with_other_settings(spark, settings):
+    """Pairs a little above the similarity, each alone in its buckets; banding may lose some, the signature check none."""
+    given = {"rows": neardup.ROWS_PER_BAND, "bands": neardup.BANDS, "similarity": neardup.SIMILARITY} | settings
+    rows, n = [], 400
+    for i in range(n):
+        words = [f"p{i}w{k}" for k in range(204)]
+        cut = 28 if given["similarity"] == 75 else 66    # of 200 shingles; the others make 0.75 and 0.5
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:204 - cut] + [f"q{i}w{k}" for k in range(cut)]))]
+    sets = brute_sets(rows)
+    j = [len(sets[2 * i] & sets[2 * i + 1]) / len(sets[2 * i] | sets[2 * i + 1]) for i in range(n)]
+    assert all(given["similarity"] <= 100 * x < given["similarity"] + 1.5 for x in j)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **settings).collect()
+    linked = {r.doc_id for r in got if not r.kept}
+    assert linked <= {2 * i + 1 for i in range(n)}
+    banded = n * (1 - (1 - j[0] ** given["rows"]) ** given["bands"])
+    assert len(linked) >= banded - 5 * (banded * (1 - banded / n)) ** 0.5 - 1e-6 * n
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (300, 200), (7, 7)] + [(400, 400 + i) for i in range(1, 30)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
