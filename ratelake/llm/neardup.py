@@ -5,7 +5,7 @@ spreads the shingles, its image is shifted round by one fixed step per coordinat
 and the second permutation orders the shifted numbers.  Four neighbouring
 coordinates make a band.
 
-Documents with equal shingle sets are one class and travel as its representative.
+Documents with equal shingle sets are one class and travel as its number; ids come back at the end.
 Inside a bucket no list of pairs is made.  First every member is held against
 the bucket's smallest member.  Only buckets that still hold several
 components go on: there, members outside the largest component meet the
@@ -35,7 +35,7 @@ BLOCK = 256
 #: Shingles of the blocks that a task takes together.
 CHUNK = 1 << 20
 
-SKETCH = "doc_id long, n_shingles long, digest_a long, digest_b long, lanes binary"
+SKETCH = "doc_id long, text_hash long, n_shingles long, digest_a long, digest_b long, lanes binary"
 LINK = "u long, v long"
 
 
@@ -55,10 +55,10 @@ def sketches(words_per_shingle: int = SHINGLE, bands: int = BANDS, rows: int = R
                 offsets = np.zeros(len(starts) + 1, np.int32)
                 np.cumsum(np.where(ends > starts, 2 * bands * rows, 0), out=offsets[1:])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(ends - starts, pa.int64()),
+                    [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "text_hash")), pa.array(ends - starts, pa.int64()),
                      *map(pa.array, digests), pa.Array.from_buffers(
                          pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lanes)])],
-                    names=["doc_id", "n_shingles", "digest_a", "digest_b", "lanes"])
+                    names=["doc_id", "text_hash", "n_shingles", "digest_a", "digest_b", "lanes"])
 
     return sketch
 
@@ -165,25 +165,29 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
 
     Words are compared with A-Z in lower case.  Null, empty and blank texts have no shingles and
     stand alone.  Rows that repeat a ``doc_id`` are each returned; they count as one
-    document, whose classes are joined; where their texts differ, links are confirmed on one of them.  A null ``doc_id`` stands alone with a null component.
+    document, whose classes are joined, each with the links of its own text.  A null ``doc_id`` stands alone with a null component.
     An empty table gives no rows; other columns are ignored, whatever their names.
     """
     least = least_agreement(bands * rows, similarity)
-    sketch = stage(small_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sketch = stage(small_batches(texts).mapInArrow(
         sketches(words_per_shingle, bands, rows), SKETCH), "sketches")
     set_key = ["digest_a", "digest_b", "n_shingles"]
     worded = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = stage(worded.groupBy(*set_key).agg(F.min("doc_id").alias("rep"), F.first("lanes").alias("lanes")), "classes")
+    # Numbers are given once, as the classes are written; a class is shown by one row, that of its smallest id.
+    classes = stage(worded.groupBy(*set_key).agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("lanes").alias("lanes"))
+        .select(*set_key, "one.*", "lanes", F.monotonically_increasing_id().alias("rep")), "classes")
 
     key = lambda b: F.xxhash64(F.substring("lanes", b * (2 * rows) + 1, F.lit(2 * rows)))
-    banded = classes.select("rep", "n_shingles", F.posexplode(
+    banded = classes.select("rep", "doc_id", "n_shingles", F.posexplode(
         F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)).alias("band", "key"))
     buckets = (banded.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot"),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "rep")).alias("first"),
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "rep")).alias("y"))
         .where((F.col("n") > 1))
         # Bands with the same members need only one of their buckets.
-        .groupBy("n", "x", "y", "pivot").agg(F.min(F.struct("band", "key")).alias("b"))
+        .groupBy("n", "x", "y", F.col("first.rep").alias("pivot")).agg(F.min(F.struct("band", "key")).alias("b"))
         .select("b.band", "b.key", "n", "pivot"))
     members = stage(banded.join(buckets, ["band", "key"]).select(
         F.xxhash64("band", "key").alias("bucket"), "n", "pivot", "rep", "n_shingles"), "members")
@@ -197,7 +201,10 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
 
     wanted = stage(members.where(F.col("n") > 2).select("rep").union(candidates.select("u")).union(
         candidates.select("v")).distinct(), "wanted")
-    texts = stage(docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi"), "texts")
+    shown = classes.select("doc_id", "text_hash", "rep").join(wanted, "rep")
+    # Rows that repeat an id and its text count once.
+    texts = stage(texts.join(shown, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash").agg(
+        F.first("rep").alias("rep"), F.first("text").alias("text")).select("rep", "text"), "texts")
     for side in ("u", "v"):
         candidates = candidates.join(texts.select(F.col("rep").alias(side), F.col("text").alias(f"{side}_text")), side)
     links = stage(candidates.mapInArrow(confirmed(words_per_shingle, similarity), LINK), "links")
@@ -226,14 +233,24 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     more = filled.groupBy("chunk").applyInArrow(block_links(words_per_shingle, similarity), LINK)
     joined = links.select("u", "v").union(stage(more, "more"))
     # A doc_id with several different texts joins their classes.
-    repeated = (worded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).drop("k")
-                .join(worded, "doc_id").join(classes.drop("lanes"), set_key)
-                .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
-    final = components(joined.union(repeated)).withColumnRenamed("node", "rep")
-
-    labelled = sketch.select("doc_id", *set_key).join(classes.drop("lanes"), set_key, "left").join(final, "rep", "left")
+    numbers = classes.select(*set_key, "rep")
+    homes = (worded.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).drop("k")
+             .join(worded, "doc_id").join(numbers, set_key).select("doc_id", "rep"))
+    repeated = homes.join(homes.groupBy("doc_id").agg(F.min("rep").alias("least")), "doc_id").select(
+        F.col("least").alias("u"), F.col("rep").alias("v"))
+    final = stage(components(joined.union(repeated)).withColumnRenamed("node", "rep"), "final")
+    # A component is named by the smallest id of its classes.
+    named = final.join(classes.select("rep", "doc_id"), "rep")
+    named = named.join(named.groupBy("component").agg(F.min("doc_id").alias("name")), "component").select("rep", "name")
+    known = classes.select(*set_key, "rep", F.col("doc_id").alias("first_id")).join(named, "rep", "left").select(
+        *(F.col(c).alias(f"_{c}") for c in set_key), F.coalesce("name", "first_id").alias("component"))
+
+    same = F.col("doc_id").isNotNull()
+    for c in set_key:
+        same &= F.col(c) == F.col(f"_{c}")
+    labelled = sketch.select("doc_id", *set_key).join(known, same, "left")
     return labelled.select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")) \
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -171,6 +171,25 @@ def test_near_duplicates_with_other_settings(spark, settings):
     assert len(linked) >= banded - 5 * (banded * (1 - banded / n)) ** 0.5 - 1e-6 * n
 
 
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    """Each text of a repeated id keeps its own links, in buckets of any size; null ids stand alone."""
+    def text(name, end=""):
+        return " ".join([f"{name}{k}" for k in range(100)] + [end or f"{name}100"])
+    rows = [(1, text("a")), (1, text("b")), (1, text("b")), (1, text("a", "x")),
+            # Near copies of each of the texts of 1, and of each other; 9 has only its second text in common.
+            (2, text("a", "y")), (3, text("b", "y")), (4, text("b", "z")), (9, text("c")), (9, text("d")), (8, text("d", "y")), (7, text("d", "z")),
+            (6, text("c", "y")), (5, text("e")), (None, text("e")), (None, text("e")), (None, None), (20, text("e")), (30, text("f"))]
+    # Large buckets: a repeated id is the smallest of all and has one text in each of two groups.
+    rows += [(0, text("g")), (0, text("h"))] + [(100 + i, text("gh"[i % 2], f"y{i}")) for i in range(40)]
+    want = {**dict.fromkeys((1, 2, 3, 4), 1), **dict.fromkeys((6, 7, 8, 9), 6), 5: 5, 20: 5, 30: 30, 0: 0,
+            **{100 + i: 0 for i in range(40)}, None: None}
+    for block in (neardup.BLOCK, 4):
+        got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+        assert collections.Counter(r.doc_id for r in got) == collections.Counter(i for i, _ in rows)
+        assert {r.doc_id: r.component_id for r in got} == want and all(r.component_id == want[r.doc_id] for r in got)
+        assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (300, 200), (7, 7)] + [(400, 400 + i) for i in range(1, 30)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
