@@ -411,6 +411,62 @@ def test_license_catalogue(spark):
             "MPL-2.0-text", "CC-BY-SA-4.0-text", "CC0-1.0-text"} <= set(found.values())
 
 
+def brute_features(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n_words, chars, symbols, dup_lines, again = brute_rules(text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in text.split("\n"))
+    n, c, raw = max(n_words, 1), max(chars, 1), text.encode()
+    upper, lower = (len(re.findall(p, text)) for p in ("[A-Z]", "[a-z]"))
+    return [np.log1p(n_words), chars / n, symbols / c, upper / max(upper + lower, 1), len(re.findall("[0-9]", text)) / c,
+            sum(text.count(x) for x in ".,;:?") / c, text.count("!") / c, dup_lines / max(lines, 1), again / n, len(set(words)) / n,
+            np.log1p(n_words / max(lines, 1)), sum(w.endswith(".") for w in words) / n,
+            sum(a == b for a, b in zip(words, words[1:])) / n, sum(len(w.encode()) == 1 for w in words) / n,
+            sum(b >= 128 for b in raw) / max(len(raw), 1), sum(w[-1] in "#*$%&|<>" for w in words) / n]
+
+
+def test_stage_decisions_in_plain_python(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = lambda d: collections.Counter(r.doc_id for r in d.collect())
+    # Rules.
+    trusted = {r.doc_id for r in labels.collect() if r.quality == 1}
+    grams = {i: [((int.from_bytes(t[k:k + 3], "big") * 2654435761) & 0xFFFFFFFF) >> 16 for k in range(len(t) - 2)]
+             for i, t in ((i, t.encode()) for i, t in texts.items())}
+    raw, good = collections.Counter(), collections.Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        good.update(g if i in trusted else ())
+    n_raw, n_good = sum(raw.values()) + 65536, sum(good.values()) + 65536
+    kept = collections.Counter()
+    for i, t in texts.items():
+        words, *_, again = brute_rules(t)
+        score = np.mean([np.log((good[g] + 1) / n_good) - np.log((raw[g] + 1) / n_raw) for g in grams[i]] or [0])
+        kept[i] += words >= 10 and 100 * again <= 20 * words and score >= -0.5
+    assert ids(quality_rules.keep_good(docs, quality_rules.trusted_from_labels(labels))) == +kept
+    # Features and classifier.
+    features = quality_model.text_features(docs)
+    x = {r.doc_id: r.features for r in features.collect()}
+    want = {i: np.float32(brute_features(t)) for i, t in texts.items()}
+    for i in want:
+        assert x[i] == pytest.approx(list(want[i]), rel=1e-5, abs=1e-7), i
+    model = quality_model.learn(features, labels)
+    kept = collections.Counter()
+    for i, row in x.items():
+        place = lambda cuts, f: sum(np.float32(row[f]) > c for c in cuts[f])
+        score = model["intercept"] + sum(t[place(model["cuts"], f)] for f, t in enumerate(model["tables"]))
+        score += sum(t[place(model["coarse"], a), place(model["coarse"], b)] for a, b, t in model["pairs"])
+        kept[i] += bool(score >= 0)
+    assert ids(quality_model.keep_good(docs, labels)) == +kept
+    # Whole copies of the mix, whose words have SQL.
+    taken = collections.Counter({r.doc_id: int(r.taken / r["size"] + 0.5) if r["size"] else 0 for r in mixing.mix(docs).collect()})
+    assert ids(mixing.mixed_rows(docs)) == +taken
+    # Licences: the notices of these documents stand in them without words put in.
+    got = {(r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()}
+    line = lambda t: " " + " ".join(licenses.words_of(t)) + " "
+    assert got == {(i, name) for i, t in texts.items() for name, n in licenses.TEMPLATES.items() if line(n) in line(t)}
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
     got = collections.Counter(r.doc_id for r in corpus_pipeline.run(spark, FOLDER).collect())
