@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ratelake.llm import (
-    bpe, chat, licenses, mixing, neardup, quality_model, quality_rules, sharding, token_counts, topk,
+    bpe, chat, licenses, mixing, neardup, negatives, quality_model, quality_rules, sharding, token_counts, topk,
 )
 from ratelake.llm.runtime import table
 
@@ -79,3 +79,9 @@ def op6_license_scan(spark, folder):
 @query("op10_extendible_sharding")
 def op10_extendible_sharding(spark, folder):
     return sharding.shard(table(spark, folder, "documents"))
+
+
+@query("op11_hard_negatives", negatives.NEGATIVES_SQL)
+def op11_hard_negatives(spark, folder):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
