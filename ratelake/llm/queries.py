@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ratelake.llm import (
     bpe, chat, licenses, mixing, neardup, negatives, quality_model, quality_rules, sharding, token_counts, topk,
+    trie,
 )
 from ratelake.llm.runtime import table
 
@@ -85,3 +86,8 @@ def op10_extendible_sharding(spark, folder):
 def op11_hard_negatives(spark, folder):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op12_prefix_trie", trie.TRIE_SQL)
+def op12_prefix_trie(spark, folder):
+    return trie.prefix_trie(table(spark, folder, "conversations"))
