@@ -19,7 +19,10 @@ SLICE_BYTES = 1 << 20
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 5)
-_BASE_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+#: Prime and base of each hash of bytes.  Modulo a power of two, texts of a known build share their hash.
+_FIELDS = ((2147483647, 1_300_728_119), (2147483629, 1_961_563_417))
+#: Sums of so many bytes' terms stay below 2^64 without a remainder taken.
+_UNREDUCED = 1 << 24
 _powers = {}
 
 SPACE = np.zeros(256, bool)
@@ -35,21 +38,24 @@ def mix(h):
     return h ^ (h >> U(32))
 
 
+def _row(base, prime, n):
+    """1, base, base^2, ... modulo the prime."""
+    out = np.ones(n, U)
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done:done + step] = out[:step] * U(pow(base, done, prime)) % U(prime)
+        done += step
+    return out.astype(np.uint32)
+
+
 def powers(n):
-    """Powers of the base and of its inverse; kept for slices of the usual size only."""
-    if n not in _powers:
-        size = max(n, SLICE_BYTES * 2)
-        made = []
-        for base in (_BASE, _BASE_INVERSE):
-            p = np.full(size, base, U)
-            p[0] = 1
-            made.append(np.cumprod(p))
-        if size > SLICE_BYTES * 2:
-            return made
-        _powers[n] = made
-        for k in [k for k in _powers if k != n][:max(0, len(_powers) - 1)]:
-            _powers.pop(k)
-    return _powers[n]
+    """For each field, powers of the base and of its inverse; kept for slices of the usual size only."""
+    size = max(n, SLICE_BYTES * 2)
+    made = _powers.get(size) or [tuple(_row(b, prime, size) for b in (base, pow(base, -1, prime))) for prime, base in _FIELDS]
+    if size == SLICE_BYTES * 2:
+        _powers[size] = made
+    return made
 
 
 def slices(texts, limit=SLICE_BYTES):
@@ -98,11 +104,18 @@ class Slice:
     def hashes(self, start, end):
         """A hash of the bytes of each range."""
         if self._prefix is None:
-            n = max(len(self.bytes), SLICE_BYTES * 2)
-            self._power, self._inverse = powers(n)
-            self._prefix = np.zeros(len(self.bytes) + 1, U)
-            np.cumsum((self.bytes.astype(U) + U(1)) * self._power[:len(self.bytes)], out=self._prefix[1:])
-        return mix((self._prefix[end] - self._prefix[start]) * self._inverse[start])
+            self._power, self._prefix = powers(len(self.bytes)), []
+            letters = self.bytes.astype(U) + U(1)
+            for (prime, _), (power, _) in zip(_FIELDS, self._power):
+                terms = letters * power[:len(letters)]
+                if len(terms) > _UNREDUCED:
+                    terms %= U(prime)
+                prefix = np.zeros(len(terms) + 1, U)
+                np.cumsum(terms, out=prefix[1:])
+                self._prefix.append(prefix)
+        parts = [(prefix[end] - prefix[start]) % U(prime) * inverse[start] % U(prime)
+                 for prefix, (prime, _), (_, inverse) in zip(self._prefix, _FIELDS, self._power)]
+        return mix(parts[0] << U(32) | parts[1])
 
     def word_hashes(self):
         return self.hashes(self.start, self.end)
@@ -188,6 +201,23 @@ def trigrams(s: Slice, bits):
     return gram.astype(np.int64), inside
 
 
+def contexts(s: Slice, words):
+    """For each word, hashes of the two and of the three words before it, and of the words on both sides; 0 where there are none."""
+    n = len(words)
+    out = []
+    for before, after, salt in ((2, 0, 0x2545F4914F6CDD1D), (3, 0, 0x9E6C63D0676A9A99), (1, 1, 0xD1342543DE82EF95)):
+        key = np.zeros(n, U)
+        if n > before + after:
+            slot = np.arange(before, n - after)
+            slot = slot[(s.word_text[slot - before] == s.word_text[slot]) & (s.word_text[slot + after] == s.word_text[slot])]
+            total = np.zeros(len(slot), U)
+            for k in [*range(-before, 0), *range(1, after + 1)]:
+                total = total * _BASE + words[slot + k]
+            key[slot] = np.maximum(mix(total ^ U(salt)), U(1))
+        out.append(key)
+    return out
+
+
 def shingle_sets(texts, size):
     """Distinct shingles of each text, lower-cased: hashes in text order, their text, and the end of each text's run."""
     s = Slice(texts, lower=True)
@@ -205,9 +235,40 @@ def shingle_sets(texts, size):
     return gram[order], owner[order], np.cumsum(np.bincount(owner[order], minlength=s.n))
 
 
-def shingle_set(one, size):
-    """Sorted distinct shingle hashes of one text."""
-    return np.sort(shingle_sets([one], size)[0])
+def word_lists(texts):
+    """The words of each text, lower-cased."""
+    return [t.lower().split() for t in texts]
+
+
+def exact_sets(texts, size):
+    """Distinct shingles of each text as numbers, equal in all texts only for equal words: per text, its sorted numbers."""
+    words = word_lists(texts)
+    known = {}
+    flat = np.fromiter((known.setdefault(w, len(known)) for t in words for w in t), np.int64, sum(map(len, words)))
+    counts = np.array([len(t) for t in words], np.int64)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    code, n_codes = flat, len(known) + 1
+    few = np.flatnonzero((counts > 0) & (counts < size))
+    short = {}
+    if len(flat) >= size:
+        inside = np.flatnonzero(owner[:len(flat) - size + 1] == owner[size - 1:])
+        code = flat[inside]
+        for k in range(1, size):
+            # Numbers of pairs stay dense, so they never outgrow 64 bits.
+            code = np.unique(code * (len(known) + 1) + flat[inside + k], return_inverse=True)[1]
+        n_codes, whose = len(np.unique(code)), owner[inside]
+    else:
+        code, whose, n_codes = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    order = np.lexsort((code, whose))
+    code, whose = code[order], whose[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (whose[1:] != whose[:-1])
+    code, whose = code[new], whose[new]
+    edges = np.searchsorted(whose, np.arange(len(texts) + 1))
+    sets = [code[a:b] for a, b in zip(edges[:-1], edges[1:])]
+    for i in few:
+        sets[i] = np.array([n_codes + short.setdefault(tuple(words[i]), len(short))])
+    return sets
 
 
 def similar(a, b, percent):

@@ -10,7 +10,7 @@ place on the line, so no block is ever a row.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratelake.llm.runtime import WORD
+from ratelake.llm.runtime import WORD, fresh, quoted
 from ratelake.session import stage
 
 #: Words of a block, words of a shard, share of all words to take, most rounds of a source.
@@ -121,12 +121,17 @@ def mix(docs: DataFrame, share: float = SHARE, rounds: int = ROUNDS, weights=WEI
 
 
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, to the nearest whole number; columns as before."""
-    plan = mix(docs, **settings).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    copies = plan.select(F.col("doc_id").alias("_id"), F.expr("CAST(round(try_divide(_taken, _size)) AS INT)").alias("_copies")) \
-        .where(F.col("_copies") > 0)
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id"))) \
-        .withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The rows of ``docs`` as often as the mix takes them, to the nearest whole number; columns as before.
+
+    Rows that repeat an id come as often as their words together are taken, each.  Null and empty texts have no
+    words and are not taken.  An empty table gives no rows; other columns stay as they are, whatever their names.
+    """
+    own, times = fresh("id", docs.columns), fresh("times", docs.columns)
+    plan = mix(docs, **settings).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    copies = plan.select(F.col("doc_id").alias(own), F.expr("CAST(round(try_divide(taken, size)) AS INT)").alias(times)) \
+        .where(F.col(times) > 0)
+    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col(own))) \
+        .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*quoted(docs))
 
 
 MIX_SQL = """

@@ -9,18 +9,18 @@ Documents with equal shingle sets are one class and travel as its number; ids co
 Inside a bucket no list of pairs is made.  First every member is held against
 the bucket's smallest member.  Only buckets that still hold several
 components go on: there, members outside the largest component meet the
-others in blocks of bounded size, and whole texts decide.
+others in blocks of bounded size.  Sets of hashes find the links there, and the words of both whole texts confirm each.
 """
 
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake.llm import bytetext
 from ratelake.llm.components import components
-from ratelake.llm.runtime import small_batches
+from ratelake.llm.runtime import fresh, quoted, small_batches
 from ratelake.session import stage
 
 BANDS = 32
@@ -30,8 +30,11 @@ SIMILARITY = 75
 #: A pair at the similarity bound agrees in about 96 of 128 coordinates.  A pair that agrees in so few that a pair at the
 #: bound has lower odds of it isn't checked on texts.
 ODDS = 1e-9
-#: Outsiders and members of a bucket that meet at once.
+#: Outsiders and members of a bucket that meet at once, and shingles of either.
 BLOCK = 256
+BLOCK_SHINGLES = 1 << 18
+#: Members of a bucket that learn of its largest component together.
+SALTED = 512
 #: Shingles of the blocks that a task takes together.
 CHUNK = 1 << 20
 
@@ -91,16 +94,17 @@ def agreeing(least: int, similarity: int):
 
 
 def confirmed(words_per_shingle: int, similarity: int):
-    """Task body: pairs of whole texts whose sets reach the similarity."""
+    """Task body: pairs of whole texts whose sets reach the similarity, first of hashes, then of words."""
     text = bytetext
 
     def check(batches):
         for batch in batches:
             left, right = text.byte_texts(batch.column("u_text")), text.byte_texts(batch.column("v_text"))
             good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(left, right)):
-                good[i] = text.similar(text.shingle_set(x, words_per_shingle), text.shingle_set(y, words_per_shingle),
-                                       similarity)
+            for i, pair in enumerate(zip(left, right)):
+                hashes, _, ends = text.shingle_sets(pair, words_per_shingle)
+                good[i] = text.similar(hashes[:ends[0]], hashes[ends[0]:], similarity) and text.similar(
+                    *text.exact_sets(pair, words_per_shingle), similarity)
             yield batch.select(["u", "v"]).filter(pa.array(good))
 
     return check
@@ -150,7 +154,8 @@ def block_links(words_per_shingle: int, similarity: int):
                 shared = np.add.reduceat(flag[every], run)
                 flag[own] = 0
                 for j in first + np.flatnonzero(100 * shared >= similarity * (len(own) + size[d] - shared)):
-                    if root(label[i]) != root(label[j]):
+                    if root(label[i]) != root(label[j]) and text.similar(
+                            *text.exact_sets([texts[doc[i]], texts[doc[j]]], words_per_shingle), similarity):
                         parent[root(label[i])] = root(label[j])
                         u.append(rep[i])
                         v.append(rep[j])
@@ -210,16 +215,21 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
     links = stage(candidates.mapInArrow(confirmed(words_per_shingle, similarity), LINK), "links")
     first = stage(components(links), "components")
 
-    placed = stage(members.where(F.col("n") > 2).join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("label")), "placed")
-    main = (placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("bucket").agg(F.max(F.struct("k", F.negative("label").alias("l"))).alias("most"),
-                                   F.sum("k").alias("n"), F.count(F.lit(1)).alias("labels"))
-            .where(F.col("labels") > 1)
-            .select("bucket", F.negative("most.l").alias("main"), F.ceil(F.col("n") / block).alias("all_blocks"),
-                    F.ceil((F.col("n") - F.col("most.k")) / block).alias("out_blocks")))
+    salts = lambda n: F.ceil(F.col(n) / SALTED)
     spot = F.xxhash64("rep")
-    open_ = (placed.join(main, "bucket").withColumn("is_out", F.col("label") != F.col("main"))
+    placed = stage(members.where(F.col("n") > 2).join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "bucket", "n", "rep", "n_shingles", F.coalesce("component", "rep").alias("label")), "placed")
+    main = (placed.groupBy("bucket", "n", "label").agg(F.count(F.lit(1)).alias("k"), F.sum("n_shingles").alias("size"))
+            .groupBy("bucket", "n").agg(F.max(F.struct("k", F.negative("label").alias("l"), "size")).alias("most"),
+                                        F.sum("size").alias("size"), F.count(F.lit(1)).alias("labels"))
+            .where(F.col("labels") > 1))
+    blocks = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_SHINGLES))
+    # A large bucket's members meet its figures at many places.
+    main = main.select("bucket", F.negative("most.l").alias("main"), blocks(F.col("n"), F.col("size")).alias("all_blocks"),
+                       blocks(F.col("n") - F.col("most.k"), F.col("size") - F.col("most.size")).alias("out_blocks"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), salts("n") - 1)).alias("salt"))
+    open_ = (placed.withColumn("salt", F.pmod(F.shiftright(spot, 40), salts("n"))).drop("n").join(main, ["bucket", "salt"])
+             .withColumn("is_out", F.col("label") != F.col("main"))
              .withColumn("i", F.pmod(F.shiftright(spot, 20), F.col("out_blocks")))
              .withColumn("j", F.pmod(spot, F.col("all_blocks"))))
     upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
@@ -255,11 +265,19 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE, similarit
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """One row of ``docs`` for each near-duplicate group, with all its columns."""
+    """One row of ``docs`` for each near-duplicate group, with all its columns.
+
+    That of the smallest id stays; among rows of the same id, that with the least hash of its columns, so reruns
+    agree.  Rows without an id and rows without words stand alone and stay.  An empty table gives no
+    rows; other columns stay as they are, whatever their names.
+    """
     found = stage(near_duplicates(docs, **settings), "groups")
-    out = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*quoted(docs))
     rows, ids = found.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
     if rows == ids:
         return out
     # Rows of the same id are one document; rows without an id stay.
-    return out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(out.where(F.col("doc_id").isNull()))
+    place = fresh("place", docs.columns)
+    least = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(c) for c, (_, kind) in zip(quoted(docs), docs.dtypes) if "map<" not in kind]))
+    one = out.where(F.col("doc_id").isNotNull()).withColumn(place, F.row_number().over(least)).where(F.col(place) == 1).drop(place)
+    return one.unionByName(out.where(F.col("doc_id").isNull()))

@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ratelake.llm import (
-    bpe, chat, licenses, mixing, neardup, negatives, quality_model, quality_rules, sharding, token_counts, topk,
-    trie,
+    bpe, chat, licenses, mixing, neardup, negatives, private, quality_model, quality_rules, sharding, token_counts,
+    topk, trie,
 )
 from ratelake.llm.runtime import table
 
@@ -91,3 +91,8 @@ def op11_hard_negatives(spark, folder):
 @query("op12_prefix_trie", trie.TRIE_SQL)
 def op12_prefix_trie(spark, folder):
     return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@query("op13_private_data")
+def op13_private_data(spark, folder):
+    return private.find_private(table(spark, folder, "documents"))

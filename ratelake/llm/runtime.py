@@ -17,3 +17,16 @@ def small_batches(df: DataFrame) -> DataFrame:
     """Let the Python tasks of this session get ``BATCH_ROWS`` rows at a time; returns ``df``."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df
+
+
+def fresh(name: str, taken) -> str:
+    """A column name made of ``name`` that none of the taken ones equals, capitals apart or not."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def quoted(df: DataFrame) -> list[str]:
+    """All columns of ``df`` by name, whatever letters the names hold."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]

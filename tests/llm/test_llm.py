@@ -9,6 +9,7 @@ import sys
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -482,3 +483,62 @@ def test_pipeline(spark, docs, tmp_path):
     assert got == collections.Counter(r.doc_id for r in now.select("doc_id").collect())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "quality_classifier", "near_duplicates", "mix_sources", "byte_level_bpe"]
+
+
+def letter_swap(n, swap=False):
+    """The Thue-Morse word of 2^n letters, or the one with both letters swapped."""
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(1 << n))
+
+
+def test_texts_of_equal_build_are_told_apart(spark):
+    """Texts that any polynomial hash modulo 2^64 takes for equal."""
+    one, other = letter_swap(11), letter_swap(11, True)
+    tail = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, one), (2, other), (3, f"{one}\n{other}"), (4, f"{one}\n{tail}"), (5, f"{other}\n{tail}"), (6, f"{one}\n{one}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.component_id, r.n_shingles) for r in neardup.near_duplicates(df).collect()}
+    assert found == {1: (1, 1), 2: (2, 1), 3: (3, 1), 4: (4, 9), 5: (4, 9), 6: (6, 1)}
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    lines = {r.doc_id: r.n_dup_lines for r in quality_rules.rate_documents(df, quality_rules.trusted_from_labels(labels)).collect()}
+    assert lines == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+
+
+def test_links_are_confirmed_on_words():
+    """Numbers of shingles are equal only for equal words, in texts of any size."""
+    bytetext = neardup.bytetext
+    texts = [b"a b c d e f", b"A b c d E f g", b"a b", b"b a", b"A  b", b"", b"x " * 9]
+    sets = [set(s.tolist()) for s in bytetext.exact_sets(texts, 5)]
+    assert [len(s) for s in sets] == [2, 3, 1, 1, 1, 0, 1]
+    assert sets[0] < sets[1] and sets[2] == sets[4] != sets[3] and not sets[6] & sets[1]
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(["x", "y", "Z"], rng.integers(0, 40))).encode() for _ in range(60)]
+    plain = []
+    for t in texts:
+        w = tuple(t.lower().split())
+        plain.append({w[i:i + 5] for i in range(len(w) - 4)} if len(w) >= 5 else {w} - {()})
+    found = bytetext.exact_sets(texts, 5)
+    for i in range(60):
+        for j in range(60):
+            assert len(np.intersect1d(found[i], found[j])) == len(plain[i] & plain[j])
+    names = bytetext.Slice([letter_swap(12).encode(), letter_swap(12, True).encode()]).word_hashes()
+    assert names[0] != names[1]
+
+
+HELPERS = ["_id", "_copies", "id", "times", "place", "size", "_size", "taken", "_taken", "source_no", "shard", "rep", "label", "bucket", "n", "main",
+           "salt", "kept", "component_id", "score", "features", "_label", "weights", "trusted", "text_hash", "n_shingles", "vec_id", "row", "a.b"]
+
+
+def test_stages_with_the_names_that_they_use(spark, labels, tmp_path):
+    """Extra columns of any name go through every stage of the pipeline."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    for k, name in enumerate(HELPERS):
+        docs = docs.withColumn(name, F.lit(k))
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert name == "byte_level_bpe" or out.columns == docs.columns
+        rows = out.collect()
+        assert rows and (name == "byte_level_bpe" or all(r["_copies"] == 1 and r["a.b"] == len(HELPERS) - 1 for r in rows))
