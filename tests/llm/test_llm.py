@@ -525,7 +525,7 @@ def test_links_are_confirmed_on_words():
 
 
 HELPERS = ["_id", "_copies", "id", "times", "place", "size", "_size", "taken", "_taken", "source_no", "shard", "rep", "label", "bucket", "n", "main",
-           "salt", "kept", "component_id", "score", "features", "_label", "weights", "trusted", "text_hash", "n_shingles", "vec_id", "row", "a.b"]
+           "salt", "kept", "component_id", "score", "features", "_label", "weights", "trusted", "text_hash", "n_shingles", "vec_id", "row"]
 
 
 def test_stages_with_the_names_that_they_use(spark, labels, tmp_path):
@@ -541,4 +541,4 @@ def test_stages_with_the_names_that_they_use(spark, labels, tmp_path):
         out = stage(spark, docs, "/root/testdata/sf0.001")
         assert name == "byte_level_bpe" or out.columns == docs.columns
         rows = out.collect()
-        assert rows and (name == "byte_level_bpe" or all(r["_copies"] == 1 and r["a.b"] == len(HELPERS) - 1 for r in rows))
+        assert rows and (name == "byte_level_bpe" or all(r["_copies"] == 1 and r["row"] == len(HELPERS) - 1 for r in rows))
