@@ -159,7 +159,7 @@ def test_tfidf_against_brute_force(spark, texts, max_features):
         assert np.allclose(v, want[r["productId"]])
 
 
-@pytest.mark.parametrize("blocks", [{}, {"row_block": 20, "column_block": 50, "min_blocks": 1}])
+@pytest.mark.parametrize("blocks", [{}, {"span": 20, "span_rows": 7}, {"span": 1}])
 def test_similar_items_against_brute_force(spark, texts, rows, blocks):
     df = spark.createDataFrame(texts, "productId string, profile string")
     vectors = stage(content.tfidf_vectors(df), "vectors")
@@ -175,15 +175,59 @@ def test_similar_items_against_brute_force(spark, texts, rows, blocks):
     assert rows(content.similar_items(vectors, top_k=7, **blocks)) == sorted(want)
 
 
-def test_probe_of_wide_blocks():
-    from ratelake.functions import kernels
-    rng = np.random.default_rng(1)
-    scores = np.round(rng.random((5, 7000)), 3)
-    row, column, units = kernels._best_of_rows(scores, 50, 0.01)
-    for i in range(5):
-        q = np.rint(scores[i] * 1e6).astype(int)
-        want = sorted(range(7000), key=lambda j: (-q[j], j))[:50]
-        assert list(column[row == i]) == want and list(units[row == i]) == list(q[want])
+def themed(n, themes, seed=3):
+    """Sparse unit vectors of items that share the terms of their theme and a few terms with all."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        theme = int(rng.integers(themes))
+        terms = np.unique(np.concatenate([10 + theme * 30 + rng.choice(30, 8, replace=False), rng.choice(10, 2)]))
+        weights = np.where(terms < 10, 0.3, rng.uniform(1, 3, len(terms)))
+        out.append((f"p{i:06d}", [int(t) for t in terms], [float(w) for w in weights / np.sqrt((weights ** 2).sum())]))
+    return out
+
+
+def work_of(spark, n, span):
+    """Pairs scored, pairs of a row and a span searched, and the rows found."""
+    vectors = stage(spark.createDataFrame(themed(n, n // 40), content.VECTOR), "vectors")
+    found, _ = content.neighbour_search(vectors, 5, span=span)
+    return found.agg({"scored": "sum"}).first()[0], content.similar_items(vectors, 5, span=span)
+
+
+def test_few_pairs_are_scored(spark):
+    """Most pairs are never scored, and the scored ones grow with the items, not with their square."""
+    small, _ = work_of(spark, 1000, 100)
+    large, found = work_of(spark, 4000, 100)
+    assert small < 0.1 * 1000 ** 2 and large < 0.03 * 4000 ** 2
+    assert large / small < 4 ** 1.5, (small, large)
+    data = {i: dict(zip(t, w)) for i, t, w in themed(4000, 100)}
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.productId, []).append((r.rank, r.other_productId, r.similarity))
+    for item in list(data)[::400]:
+        near = sorted((-float(np.rint(sum(w * y[t] for t, w in data[item].items() if t in y) * 1e6) / 1e6), b)
+                      for b, y in data.items() if b != item)
+        assert sorted(got[item]) == [(k + 1, b, -s) for k, (s, b) in enumerate(near[:5])]
+
+
+def test_spans_out_of_reach_are_not_searched(spark):
+    rows = themed(3000, 60)
+    vectors = stage(spark.createDataFrame(rows, content.VECTOR), "vectors")
+    made, kept = {}, content.stage
+    try:
+        content.stage = lambda df, name: made.setdefault(name, kept(df, name))
+        content.similar_items(vectors, 5, span=100).count()
+    finally:
+        content.stage = kept
+    spans = made["items"].select("span").distinct().count()
+    assert spans >= 30 and made["copies"].count() < 0.25 * 3000 * spans
+
+
+def test_similar_items_of_nothing(spark):
+    none = spark.createDataFrame([], content.VECTOR)
+    assert content.similar_items(none).count() == 0
+    one = spark.createDataFrame([("a", [3], [1.0])], content.VECTOR)
+    assert content.similar_items(one).count() == 0
 
 
 def test_similar_to_unknown_item(spark, texts):
