@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ratelake.functions import scalar as S
-from ratelake.operators.quantiles import exact_quantiles
+from ratelake.operators.quantiles import exact_quantiles, leading_cells
+from ratelake.session import stage
 
 PREPARED_FILL = {"brand": "Unknown", "category": "Unknown", "title": "Untitled", "description": ""}
 CATALOG_FILL = {"title": "Unknown Title", "price": 0.0, "brand": "Unknown", "category": "Unknown",
@@ -39,12 +40,24 @@ def clean_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def impute_prices(products: DataFrame) -> DataFrame:
-    """Missing prices from the category median, then from the median of the filled column."""
+    """Missing prices from the category median, then from the median of the filled column.
+
+    One count by category and leading digits serves both: the filled column is the known prices and
+    each category's median as often as a price is missing there.
+    """
     priced = products.withColumn("price", S.to_number("price"))
-    medians = exact_quantiles(priced, "price", {"category_median": 0.5}, keys=["category"])
-    filled = priced.select("category", "price").join(medians, "category", "left").select(
-        F.coalesce("price", "category_median").alias("price"))
-    overall = exact_quantiles(filled, "price", {"m": 0.5}).scalar()
+    known = priced.select("category", "price")
+    cells = stage(leading_cells(known.withColumn("category", F.struct("category")), "price", ["category"]), "price_cells")
+    cells = cells.withColumn("category", F.col("category.category"))
+    medians = stage(exact_quantiles(known, "price", {"category_median": 0.5}, ["category"],
+                                    cells=cells.where(F.col("category").isNotNull())), "medians")
+    gaps = known.where(F.col("price").isNull()).groupBy("category").agg(F.count(F.lit(1)).alias("n")) \
+        .join(medians, "category").select(F.col("category_median").alias("price"), "n")
+    gap_cells = leading_cells(gaps, "price", weight="n")
+    every = cells.drop("category").unionByName(gap_cells).groupBy("_cell").agg(
+        F.sum("_n").alias("_n"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    filled = known.select("price", F.lit(1).cast("long").alias("n")).unionByName(gaps)
+    overall = exact_quantiles(filled, "price", {"m": 0.5}, weight="n", cells=every).scalar()
     return (priced.join(medians, "category", "left")
             .withColumn("price", F.coalesce("price", "category_median", overall))
             .select(*products.columns))

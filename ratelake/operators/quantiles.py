@@ -1,7 +1,8 @@
 """Exact quantiles and exact dense ranks without one task holding everything.
 
-Both cut the sorted order at places that follow the values themselves, count what lies
-between, and rank only where it is needed.  A narrow range, a wide one or infinite values make
+Quantiles go down digit by digit: rows are counted by the leading digits of their value, and
+only the cells that hold a wanted rank are looked into again, until a cell is small enough to be sorted.  Dense
+ranks cut the sorted order at places that follow the values themselves.  A narrow range, a wide one or infinite values make
 no difference, and copies of a value weigh one row however many there are.
 """
 
@@ -10,53 +11,105 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratelake.functions.scalar import as_col
 from ratelake.session import stage
 
-#: Accuracy of the sketches, and the share of ranks on each side of a wanted one that is ranked exactly.
-ACCURACY = 10_000
-MARGIN = 4 / ACCURACY
+#: Leading cells for each factor of two; at most some 70,000 cells for all finite numbers.
+CELLS = 16
+#: Cells that a range is cut into from the second level on, and rows of a cell that need no further level.
+PARTS, SORTED_ROWS = 4096, 50_000
 #: Borders that are compared at a time.
 RUN = 16
 
 
-def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=()) -> DataFrame:
+def leading_cell(v: Column) -> Column:
+    """A whole number that never falls when ``v`` grows: sign, exponent and the first bits behind it."""
+    size = F.least(F.log2(F.abs(v)) + 1100, F.lit(3000.0))
+    return F.floor(F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0.0)) * CELLS).cast("int")
+
+
+def _rows(df: DataFrame, value, keys, weight) -> DataFrame:
+    rows = df.select(*keys, as_col(value).cast("double").alias("_value"), (F.lit(1) if weight is None else as_col(weight)).cast("long").alias("_w"))
+    return rows.where(~F.isnan("_value")).dropna(subset=[*keys, "_value"])
+
+
+def _counted(rows: DataFrame, *by) -> DataFrame:
+    return rows.groupBy(*by).agg(F.sum("_w").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+
+
+def leading_cells(df: DataFrame, value, keys=(), weight=None) -> DataFrame:
+    """``keys, _cell, _n, _least, _most``: rows of each leading cell; sums over some keys are the cells of the rest."""
+    rows = _rows(df, value, keys, weight)
+    return _counted(rows, *keys, leading_cell(F.col("_value")).alias("_cell"))
+
+
+def _ends(probabilities: dict) -> list:
+    """The ranks that the quantiles lie at or between, from the number of rows."""
+    return [end(F.lit(float(p)) * (F.col("_total") - 1)) for p in probabilities.values() for end in (F.floor, F.ceil)]
+
+
+def _wanted(cells: DataFrame, keys, probabilities: dict, group=()) -> DataFrame:
+    """The cells that hold a wanted rank: where they start, and whether a rank lies inside that their ends don't tell."""
+    within = Window.partitionBy(*keys, *group)
+    upto = F.sum("_n").over(within.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    base = F.col("_base") if group else F.lit(0)
+    total = F.col("_total") if group else F.sum("_n").over(within)
+    placed = cells.withColumn("_total", total).withColumn("_start", base + upto - F.col("_n"))
+    held, inside = F.lit(False), F.lit(False)
+    for rank in _ends(probabilities):
+        here = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
+        held = held | here
+        inside = inside | (here & (rank != F.col("_start")) & (rank != F.col("_start") + F.col("_n") - 1))
+    return placed.where(held).select(*keys, "_total", "_start", "_n", "_least", "_most",
+                                     (inside & (F.col("_least") != F.col("_most"))).alias("_open"))
+
+
+def _rows_inside(rows: DataFrame, ranges: DataFrame, keys) -> DataFrame:
+    """The rows whose value lies in one of the ranges of their keys, with the range as ``_r``."""
+    lists = ranges.groupBy(*keys).agg(F.collect_list(F.struct(
+        F.col("_start").alias("_base"), "_total", F.col("_least").alias("_from"), F.col("_most").alias("_to"))).alias("_ranges"))
+    near = rows.join(lists, list(keys)) if keys else rows.withColumn("_ranges", lists.scalar())
+    hit = F.filter("_ranges", lambda r: (F.col("_value") >= r["_from"]) & (F.col("_value") <= r["_to"]))
+    return near.withColumn("_r", F.get(hit, 0)).where(F.col("_r").isNotNull()).select(*keys, "_value", "_w", "_r.*")
+
+
+def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=None, cells: DataFrame | None = None) -> DataFrame:
     """``keys`` and one column per named probability, linearly interpolated; null keys form no group.
 
-    A quantile sketch brackets each wanted rank.  Then one aggregate counts the values inside the brackets one by
-    one and everything between two brackets as one row with its least and largest value, so few rows are shuffled and
-    ranked, whatever the distribution.  The sketch decides where brackets lie, never the result: a rank outside them is an error.
+    Rows are counted by leading cells, or ``cells`` gives those counts.  Only the cells with a wanted rank are read again, in
+    finer parts, as long as one holds more than ``SORTED_ROWS`` rows; the values of what is left are ranked one by one,
+    cell by cell.  Each level tells 4,096 parts apart, so five do for any numbers.  ``weight`` counts a row so many times.
     """
     keys = list(keys)
-    rows = (df.select(*keys, as_col(value).cast("double").alias("_value"))
-            .where(~F.isnan("_value")).dropna(subset=[*keys, "_value"]))
-    sides = [min(1.0, max(0.0, p + side)) for p in probabilities.values() for side in (-MARGIN, MARGIN)]
-    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_value", sides, ACCURACY).alias("_b"))
-    near = rows.join(sketch, keys) if keys else rows.withColumn("_b", sketch.scalar())
-
-    v, inside, behind = F.col("_value"), F.lit(False), F.lit(0)
-    for i in range(0, len(sides), 2):
-        inside = inside | ((v >= F.col("_b")[i]) & (v <= F.col("_b")[i + 1]))
-        behind = behind + (v > F.col("_b")[i + 1]).cast("int")
-    parts = (near.groupBy(*keys, behind.alias("_part"), F.when(inside, v).alias("_own"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most")))
-    within = Window.partitionBy(*keys)
-    upto = F.sum("_n").over(within.orderBy("_least").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = parts.withColumn("_start", upto - F.col("_n")).withColumn("_total", F.sum("_n").over(within))
+    rows = _rows(df, value, keys, weight)
+    if cells is None:
+        cells = stage(_counted(rows, *keys, leading_cell(F.col("_value")).alias("_cell")), "cells")
+    wanted, found, to_sort = _wanted(cells, keys, probabilities), None, 0
+    large = F.col("_open") & (F.col("_n") > SORTED_ROWS)
+    while True:
+        n_large, n_small = wanted.where("_open").agg(F.count_if(large), F.count_if(~large)).first()
+        to_sort += n_small
+        known = wanted.where(~large)
+        found = known if found is None else found.unionByName(known)
+        if not n_large:
+            break
+        inside = _rows_inside(rows, wanted.where(large), keys)
+        width = F.col("_to") - F.col("_from")
+        part = F.floor((F.col("_value") - F.col("_from")) / width * PARTS).cast("int")
+        finer = stage(_counted(inside, *keys, "_base", "_total", part.alias("_cell")), "cells")
+        wanted = _wanted(finer, keys, probabilities, ["_base"])
+    # Values of the small cells, one by one.
+    if to_sort:
+        values = _counted(_rows_inside(rows, found.where("_open"), keys), *keys, "_base", "_total", F.col("_value").alias("_cell"))
+        found = found.where(~F.col("_open")).unionByName(_wanted(values, keys, probabilities, ["_base"]))
 
     def value_at(rank):
         here = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
-        found = (F.when((F.col("_least") == F.col("_most")) | (rank == F.col("_start")), F.col("_least"))
-                 .when(rank == F.col("_start") + F.col("_n") - 1, F.col("_most"))
-                 .otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")))
-        return F.max(F.when(here, found))
-
-    def position(p):
-        return F.lit(float(p)) * (F.col("_total") - 1)
+        return F.max(F.when(here, F.when(rank == F.col("_start"), F.col("_least")).otherwise(F.col("_most"))))
 
-    ends = [end(position(p)) for p in probabilities.values() for end in (F.floor, F.ceil)]
-    out = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *[
-        value_at(rank).alias(f"_at{i}") for i, rank in enumerate(ends)])
+    out = found.groupBy(*keys).agg(F.max("_total").alias("_total"), *[
+        value_at(rank).alias(f"_at{i}") for i, rank in enumerate(_ends(probabilities))])
     shares = []
     for i, (name, p) in enumerate(probabilities.items()):
-        share, lo, hi = position(p) - F.floor(position(p)), F.col(f"_at{2 * i}"), F.col(f"_at{2 * i + 1}")
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        share, lo, hi = position - F.floor(position), F.col(f"_at{2 * i}"), F.col(f"_at{2 * i + 1}")
         # Between equal values, and at a value itself, nothing is computed: an infinite value stays as it is.
         shares.append(F.when((share == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * share).alias(name))
     return out.select(*keys, *shares)

@@ -116,6 +116,58 @@ def test_quantiles_of_nothing(spark):
     assert exact_quantiles(empty, "v", {"m": 0.5}).first()["m"] is None
 
 
+def test_quantiles_digit_by_digit(spark, monkeypatch):
+    """Cells too large to sort are cut again, whatever the numbers: close ones, tiny and huge ones, infinite ones, copies."""
+    import numpy as np
+    from ratelake.operators import quantiles
+    rng = np.random.default_rng(11)
+    sets = {"close": 1 + np.arange(3000) * 1e-15, "tiny": rng.random(500) * 1e-310, "wide": np.exp(rng.normal(0, 200, 2000)) * rng.choice([-1, 1], 2000),
+            "ends": np.array([-np.inf] * 5 + [np.inf] * 5 + [0.0, -0.0, 1.7e308, -1.7e308, 5e-324]), "copies": np.repeat([3.0, 4.0, 5.0], 700)}
+    rows = [(k, float(v)) for k, x in sets.items() for v in x]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    p = {"a": 0.01, "b": 0.5, "c": 0.77, "d": 1.0}
+    seen = []
+    kept = quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda d, n: seen.append(n) or kept(d, n))
+    monkeypatch.setattr(quantiles, "SORTED_ROWS", 3)
+    monkeypatch.setattr(quantiles, "PARTS", 16)
+
+    def want(x, q):
+        x, at = np.sort(x), q * (len(x) - 1)
+        lo, hi = x[int(np.floor(at))], x[int(np.ceil(at))]
+        return lo if at == np.floor(at) or lo == hi else lo + (hi - lo) * (at - np.floor(at))
+
+    got = {r["k"]: r for r in exact_quantiles(df, "v", p, ["k"]).collect()}
+    assert len(seen) >= 4
+    for k, x in sets.items():
+        for name, q in p.items():
+            assert got[k][name] == want(x, q) or np.isnan(want(x, q)) and np.isnan(got[k][name]), (k, name)
+    every = exact_quantiles(df, "v", p).first()
+    assert [every[n] for n in p] == [want(np.array([v for _, v in rows]), q) for q in p.values()]
+    weighed = df.groupBy("k", "v").count()
+    assert exact_quantiles(weighed, "v", p, weight="count").first() == every
+
+
+def test_quantiles_have_no_large_task(spark):
+    """Only counts by cell meet in one task, never the rows."""
+    values = spark.range(0, 300_000, 1, 4).select((F.col("id") * 1.0 + 1).alias("v"))
+    plan = exact_quantiles(values, "v", {"m": 0.5, "t": 0.9})
+    assert plan.first()["m"] == 150_000.5
+    todo, single = [plan._jdf.queryExecution().executedPlan()], []
+    plan.collect()
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            node = node.plan()
+        if node.nodeName() == "Exchange" and "SinglePartition" in node.toString().split("\n")[0]:
+            single.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            todo.append(node.children().apply(i))
+    assert all(n < 10_000 for n in single), single
+
+
 def test_dense_index(spark):
     words = ["Video > %05d" % (i * 37 % 5000) for i in range(5000)] + ["Ärger", "a", "Z", ""]
     df = spark.createDataFrame([(w,) for w in words], "v string").repartition(6)
