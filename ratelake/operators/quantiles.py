@@ -14,7 +14,7 @@ from ratelake.session import stage
 #: Leading cells for each factor of two; at most some 70,000 cells for all finite numbers.
 CELLS = 16
 #: Cells that a range is cut into from the second level on, and rows of a cell that need no further level.
-PARTS, SORTED_ROWS = 4096, 50_000
+PARTS, SORTED_ROWS = 1024, 50_000
 #: Borders that are compared at a time.
 RUN = 16
 
@@ -62,12 +62,15 @@ def _wanted(cells: DataFrame, keys, probabilities: dict, group=()) -> DataFrame:
 
 
 def _rows_inside(rows: DataFrame, ranges: DataFrame, keys) -> DataFrame:
-    """The rows whose value lies in one of the ranges of their keys, with the range as ``_r``."""
-    lists = ranges.groupBy(*keys).agg(F.collect_list(F.struct(
-        F.col("_start").alias("_base"), "_total", F.col("_least").alias("_from"), F.col("_most").alias("_to"))).alias("_ranges"))
-    near = rows.join(lists, list(keys)) if keys else rows.withColumn("_ranges", lists.scalar())
+    """The rows whose value lies in one of the ranges of their keys, with that range."""
+    ranges = ranges.select(*keys, F.col("_start").alias("_base"), "_total", F.col("_least").alias("_from"), F.col("_most").alias("_to"))
+    if keys:
+        # A key has two ranges for each probability at most.
+        return rows.join(ranges, list(keys)).where(F.col("_value").between(F.col("_from"), F.col("_to")))
+    lists = ranges.agg(F.collect_list(F.struct(*ranges.columns))).scalar()
     hit = F.filter("_ranges", lambda r: (F.col("_value") >= r["_from"]) & (F.col("_value") <= r["_to"]))
-    return near.withColumn("_r", F.get(hit, 0)).where(F.col("_r").isNotNull()).select(*keys, "_value", "_w", "_r.*")
+    near = rows.withColumn("_ranges", lists).withColumn("_r", F.get(hit, 0))
+    return near.where(F.col("_r").isNotNull()).select("_value", "_w", "_r.*")
 
 
 def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=None, cells: DataFrame | None = None) -> DataFrame:
@@ -75,7 +78,7 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
 
     Rows are counted by leading cells, or ``cells`` gives those counts.  Only the cells with a wanted rank are read again, in
     finer parts, as long as one holds more than ``SORTED_ROWS`` rows; the values of what is left are ranked one by one,
-    cell by cell.  Each level tells 4,096 parts apart, so five do for any numbers.  ``weight`` counts a row so many times.
+    cell by cell.  Each level tells 1,024 parts apart, so six do for any numbers.  ``weight`` counts a row so many times.
     """
     keys = list(keys)
     rows = _rows(df, value, keys, weight)
