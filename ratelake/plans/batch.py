@@ -24,27 +24,27 @@ def ingest_all(spark: SparkSession, root: str, rating_lines: str, product_lines:
                sample_users: int | None = None, ingest_ts: str | None = None) -> dict:
     """Ratings, products and, if given, catalog pages to snapshots, each with an audit row.
 
-    Lines that are no such records go to the table ``quarantine`` with their source.  All users stay unless
+    Lines that are no such records go to the table ``quarantine`` with their source and file.  A rerun with the same
+    ``ingest_ts`` replaces that snapshot and its quarantined lines.  A file whose records all lack a key raises; an
+    empty one gives empty tables.  All users stay unless
     ``sample_users`` asks for the most active ones.
     """
     ts = ingest_ts or stamp()
-    good, bad = raw.read_rating_lines(spark, rating_lines)
-    records = stage(ingest.select_ratings(good), "rating_records")
-    if not records.take(1):
-        ingest.require_filled(good, "user_id", "parent_asin", "rating")
-    good_products, bad_products = raw.read_product_lines(spark, product_lines)
-    products = stage(ingest.parse_products(good_products), "product_records")
-    ingest.require_filled(products, "productId")
-    jobs = {"ratings": select_users(records, sample_users), "products": products}
+    # Each file is parsed once; good and bad lines are two views of the staged result.
+    good, bad = raw.split_lines(stage(raw.rating_lines(spark.read, rating_lines), "rating_lines"))
+    ingest.require_filled(good, "user_id", "parent_asin", "rating")
+    good_products, bad_products = raw.split_lines(stage(raw.product_lines(spark.read, product_lines), "product_lines"))
+    ingest.require_filled(good_products, "parent_asin")
+    jobs = {"ratings": select_users(ingest.select_ratings(good), sample_users), "products": ingest.parse_products(good_products)}
     bad = bad.withColumn("source", F.lit("ratings")).unionByName(bad_products.withColumn("source", F.lit("products")))
     if pages:
-        good_pages, bad_pages = raw.read_page_lines(spark, pages)
+        good_pages, bad_pages = raw.split_lines(stage(raw.page_lines(spark.read, pages), "page_lines"))
         jobs["api_products"] = ingest.explode_pages(good_pages)
         bad = bad.unionByName(bad_pages.withColumn("source", F.lit("api_products")))
     for name, df in jobs.items():
         snapshots.append_snapshot(df, f"{root}/raw/{name}", ts)
         tables.append_audit(df, root, f"{name}_source", f"{root}/raw/{name}/ingest_ts={ts}")
-    tables.write_table(bad.withColumn("ingest_ts", F.lit(ts)), root, "quarantine", mode="append")
+    snapshots.append_snapshot(bad, f"{root}/quarantine", ts)
     return {name: snapshots.load_latest(spark, f"{root}/raw/{name}") for name in jobs}
 
 

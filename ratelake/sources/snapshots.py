@@ -27,8 +27,8 @@ def load_latest_csv(spark: SparkSession, folder: str, prefix: str, schema: T.Str
 
 
 def append_snapshot(df: DataFrame, path: str, ingest_ts: str) -> None:
-    """Add a snapshot; older ones are never touched."""
-    df.withColumn("ingest_ts", F.lit(ingest_ts)).write.mode("append").partitionBy("ingest_ts").parquet(path)
+    """Add a snapshot; others are never touched.  One with the same stamp is replaced, so a rerun doubles nothing."""
+    df.write.mode("overwrite").parquet(f"{path}/ingest_ts={ingest_ts}")
 
 
 def load_latest(spark: SparkSession, path: str) -> DataFrame:

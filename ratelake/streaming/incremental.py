@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from ratelake.operators.ingest import parse_ratings
-from ratelake.sources.raw import rating_lines
+from ratelake.sources.raw import rating_lines, split_lines
 
 
 def ingest_new_ratings(spark: SparkSession, folder: str, out: str, checkpoint: str,
@@ -13,14 +13,11 @@ def ingest_new_ratings(spark: SparkSession, folder: str, out: str, checkpoint: s
     The unit of time stamps is decided row by row, since a stream has no table
     maximum.  Rows are stateless: repeats are dropped later, by the cleaning step.
     """
-    def reader():
-        stream = spark.readStream
-        return stream.option("maxFilesPerTrigger", max_files) if max_files else stream
-
-    good, bad = rating_lines(reader, folder)
+    stream = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
+    good, bad = split_lines(rating_lines(stream, folder))
     queries = [_drain(parse_ratings(good, per_row_epoch=True), out, f"{checkpoint}/ratings")]
     if quarantine:
-        queries.append(_drain(bad, quarantine, f"{checkpoint}/quarantine"))
+        queries.append(_drain(bad.select("line"), quarantine, f"{checkpoint}/quarantine"))
     for q in queries:
         q.awaitTermination()
 

@@ -159,3 +159,47 @@ def test_an_absent_key_field_is_an_error(spark, tmp_path):
         spark.createDataFrame([(line,)], "value string").write.text(str(tmp_path / name))
     with pytest.raises(ValueError, match="user_id"):
         batch.ingest_all(spark, str(tmp_path / "root"), str(tmp_path / "r"), str(tmp_path / "p"))
+
+
+LINES = ['{"user_id": "u", "parent_asin": "p", "rating": 4, "timestamp": 1600000000000}', "null", "[]", "{}", "", "  \t", "7", '"text"', "true",
+         '[{"user_id": "a", "parent_asin": "b", "rating": 5}, {"user_id": "c", "parent_asin": "d", "rating": 5}]', "{broken",
+         ' {"user_id": "v", "parent_asin": "q", "rating": 9, "timestamp": 1}', '{"user_id": "w", "rating": 3}', '{"user_id": {"a": 1}, "rating": "x"}']
+
+
+def test_every_line_lands_once(spark, tmp_path):
+    """Good, dropped and quarantined lines make up the file; blank lines are none of them."""
+    (tmp_path / "r.jsonl").write_text("\n".join(LINES) + "\n")
+    (tmp_path / "p.jsonl").write_text('{"parent_asin": "p", "title": "t"}\nnull\n')
+    root = str(tmp_path / "root")
+    for _ in range(2):                                  # a rerun with the same stamp changes nothing
+        made = batch.ingest_all(spark, root, str(tmp_path / "r.jsonl"), str(tmp_path / "p.jsonl"), ingest_ts="20260101_000000")
+        assert [tuple(r)[:3] for r in made["ratings"].collect()] == [("u", "p", 4.0)]
+        assert made["products"].count() == 1
+        bad = tables.read_table(spark, root, "quarantine").collect()
+        mine = sorted(r["line"] for r in bad if r["source"] == "ratings")
+        assert mine == sorted(t for t in LINES if t.strip() and (not t.strip().startswith("{") or t == "{broken" or "[{" in t or '"x"' in t))
+        assert [r["line"] for r in bad if r["source"] == "products"] == ["null"]
+        assert {r["file"].rsplit("/", 1)[-1] for r in bad} == {"r.jsonl", "p.jsonl"}
+    good, dropped = 1, 3                                # no keys, an odd rating, no item
+    assert good + dropped + len(mine) == sum(bool(t.strip()) for t in LINES)
+
+
+def test_absent_keys_and_empty_files(spark, tmp_path):
+    import pytest
+    (tmp_path / "r.jsonl").write_text(LINES[0] + "\n")
+    (tmp_path / "p.jsonl").write_text('{"asin": "p", "title": "t"}\n{"asin": "q"}\n')
+    (tmp_path / "none.jsonl").write_text("")
+    with pytest.raises(ValueError, match="parent_asin"):
+        batch.ingest_all(spark, str(tmp_path / "a"), str(tmp_path / "r.jsonl"), str(tmp_path / "p.jsonl"))
+    made = batch.ingest_all(spark, str(tmp_path / "b"), str(tmp_path / "none.jsonl"), str(tmp_path / "none.jsonl"))
+    assert made["ratings"].count() == 0 and made["products"].count() == 0
+    assert made["products"].columns == batch.ingest_all(
+        spark, str(tmp_path / "c"), str(tmp_path / "r.jsonl"), str(tmp_path / "none.jsonl"))["products"].columns
+
+
+def test_a_stamp_written_twice(spark, tmp_path):
+    path = str(tmp_path / "s")
+    for stamp, x in (("20260101_000000", "a"), ("20260102_000000", "b"), ("20260102_000000", "c")):
+        snapshots.append_snapshot(spark.createDataFrame([(x,)], "x string"), path, stamp)
+    assert [r[0] for r in snapshots.load_latest(spark, path).collect()] == ["c"]
+    assert spark.read.parquet(path).count() == 2
