@@ -78,7 +78,7 @@ DESCRIPTIONS = {
     "user_rating_std": "Spread of the ratings given", "user_unique_items": "Distinct items rated",
     "user_recency_days": "Days since the last rating", "user_category_diversity": "Distinct categories rated",
     "item_rating_count": "Ratings received", "item_avg_rating": "Mean rating received",
-    "item_rating_std": "Spread of the ratings received", "item_unique_users": "Distinct users who rated",
+    "item_rating_std": "Spread of the ratings received", "item_unique_users": "Raters, each counted once",
     "price": "Price, missing ones filled", "category": "Category name", "brand": "Brand name",
     "category_encoded": "Position of the category in name order",
     "brand_encoded": "Position of the brand in name order",
