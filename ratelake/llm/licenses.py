@@ -266,8 +266,8 @@ def scan_licenses(docs: DataFrame, templates: dict = TEMPLATES, coverage: float
                   deciding: dict | None = None) -> DataFrame:
     """One row for each document and template that it covers, with the place of the first best alignment.
 
-    Words may stand between those of a template: as many as it has itself, XX of letters and digits in lower case.  Null and empty texts cover nothing; repeated rows are scanned
-    each; an empty table gives no rows; other columns are ignored, whatever their names.
+    Words are runs of letters and digits in lower case.  Others may stand between those of a template, as many as it
+    has itself.  Null and empty texts cover nothing; repeated rows are scanned each; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     import sys
 
