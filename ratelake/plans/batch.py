@@ -42,8 +42,9 @@ def ingest_all(spark: SparkSession, root: str, rating_lines: str, product_lines:
         jobs["api_products"] = ingest.explode_pages(good_pages)
         bad = bad.unionByName(bad_pages.withColumn("source", F.lit("api_products")))
     for name, df in jobs.items():
-        snapshots.append_snapshot(df, f"{root}/raw/{name}", ts)
-        tables.append_audit(df, root, f"{name}_source", f"{root}/raw/{name}/ingest_ts={ts}")
+        rows, seen = tables.watched(df)
+        path = snapshots.append_snapshot(rows, f"{root}/raw/{name}", ts)
+        tables.append_audit(spark, root, f"{name}_source", f"ingest_ts={ts}", path, seen)
     snapshots.append_snapshot(bad, f"{root}/quarantine", ts)
     return {name: snapshots.load_latest(spark, f"{root}/raw/{name}") for name in jobs}
 
@@ -75,27 +76,34 @@ def prepare_all(ratings: DataFrame, products: DataFrame, root: str, enrichment:
         cleaned = prepare.clean_products(products)
         if enrich:
             cleaned = prepare.enrich_products(cleaned, enrichment)
-        tables.write_table(cleaned, root, "cleaned_products")
+        return tables.write_folder(cleaned, root, "cleaned_products")
 
-    _together(lambda: tables.write_table(prepare.clean_ratings(ratings), root, "cleaned_ratings"), catalog)
+    paths = _together(lambda: tables.write_folder(prepare.clean_ratings(ratings), root, "cleaned_ratings"), catalog)
+    tables.publish(ratings.sparkSession, root, dict(zip(("cleaned_ratings", "cleaned_products"), paths)))
     return tables.load_cleaned(ratings.sparkSession, root)
 
 
 def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: int = 500) -> dict:
-    """The four feature tables and the registry, from stored cleaned tables."""
+    """The four feature tables and the registry, from stored cleaned tables; published in one step."""
+    spark, folders = ratings.sparkSession, {}
+
+    def write(name, df):
+        folders[name] = tables.write_folder(
+            tables.feature_columns(name, df) if name in tables.FEATURE_SETS else df, root, name)
+        return spark.read.parquet(folders[name])
+
     def items_and_interactions():
         base = stage(features.item_base(ratings, products), "item_base")
-        tables.write_features({"item_features": features.encode_items(base)}, root)
-        items = tables.read_table(ratings.sparkSession, root, "item_features")
-        tables.write_features({"interaction_features": features.interaction_features(ratings, items)}, root)
-
-    _together(
-        items_and_interactions,
-        lambda: tables.write_features({"user_features": features.user_features(ratings, products)}, root),
-        lambda: tables.write_features({"cooccurrence": features.cooccurrence(ratings, top_n)}, root))
-    stored = tables.read_features(ratings.sparkSession, root)
-    _together(lambda: tables.write_table(tables.feature_registry(stored), root, "feature_registry"),
-              lambda: tables.write_table(tables.registry_totals(stored), root, "feature_totals"))
+        items = write("item_features", features.encode_items(base))
+        write("interaction_features", features.interaction_features(ratings, items))
+
+    _together(items_and_interactions,
+              lambda: write("user_features", features.user_features(ratings, products)),
+              lambda: write("cooccurrence", features.cooccurrence(ratings, top_n)))
+    stored = {name: spark.read.parquet(folders[name]) for name in tables.FEATURE_SETS}
+    _together(lambda: write("feature_registry", tables.feature_registry(stored)),
+              lambda: write("feature_totals", tables.registry_totals(stored)))
+    tables.publish(spark, root, folders)
     return stored
 
 

@@ -1,7 +1,11 @@
 """Immutable snapshots: CSV files named by time, and Parquet tables partitioned by time."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ratelake.sources.commits import file_system
+
 STAMP = "[0-9]{8}_[0-9]{6}"
 
 
@@ -26,9 +30,20 @@ def load_latest_csv(spark: SparkSession, folder: str, prefix: str, schema: T.Str
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def append_snapshot(df: DataFrame, path: str, ingest_ts: str) -> None:
-    """Add a snapshot; others are never touched.  One with the same stamp is replaced, so a rerun doubles nothing."""
-    df.write.mode("overwrite").parquet(f"{path}/ingest_ts={ingest_ts}")
+def append_snapshot(df: DataFrame, path: str, ingest_ts: str) -> str:
+    """Add a snapshot and return its folder; others are never touched.
+
+    It is written under a hidden name and takes its place last, so a job that dies leaves what was there.  One with the
+    same stamp is replaced, so a rerun doubles nothing.
+    """
+    hidden = f"{path}/_writing-{uuid.uuid4().hex}"
+    df.write.parquet(hidden)
+    fs, source = file_system(df.sparkSession, hidden)
+    _, target = file_system(df.sparkSession, f"{path}/ingest_ts={ingest_ts}")
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"{hidden} was written but could not be renamed to {target}")
+    return f"{path}/ingest_ts={ingest_ts}"
 
 
 def load_latest(spark: SparkSession, path: str) -> DataFrame:

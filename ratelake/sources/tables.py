@@ -1,35 +1,88 @@
 """Stored tables: cleaned data, features, registry, versions, audit and run log.
 
-Every table lives at ``root/<name>`` as Parquet, where ``root`` is a folder all
-executors can reach.
+``root`` is a folder all executors can reach.  A table is written as Parquet to a folder of its own,
+``root/<name>/<unique>``, that never changes.  The newest commit file in ``root/_tables`` says which folder each
+name stands for, so a set of tables changes in one step and a job that dies leaves the old set as it was.
+Logs (audit, runs, versions) are one commit file per row, so writers at the same time lose nothing.
 """
 
+import hashlib
 import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ratelake import schemas
-from ratelake.sources.raw import table_checksum
+from ratelake.sources import commits
+from ratelake.sources.raw import checksum_columns
 
 FEATURE_SETS = tuple(schemas.FEATURE_TABLES)
+LOGS = {"audit": schemas.AUDIT, "runs": schemas.RUNS, "feature_versions": schemas.VERSIONS}
 
 
 def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> str:
-    path = f"{root}/{name}"
-    df.write.mode(mode).parquet(path)
+def write_folder(df: DataFrame, root: str, name: str) -> str:
+    """Write a new folder for ``name``; readers see it once it is published."""
+    path = f"{root}/{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return path
 
 
+def publish(spark: SparkSession, root: str, folders: dict) -> None:
+    """Let the names stand for these folders, all of them in one step; other names stay."""
+    new = {name: path[len(root) + 1:] for name, path in folders.items()}
+    commits.commit(spark, f"{root}/_tables", lambda _, before: {**before, **new})
+
+
+def write_tables(tables: dict, root: str) -> dict:
+    """Write all tables, then publish them together."""
+    folders = {name: write_folder(df, root, name) for name, df in tables.items()}
+    publish(next(iter(tables.values())).sparkSession, root, folders)
+    return folders
+
+
+def write_table(df: DataFrame, root: str, name: str) -> str:
+    return write_tables({name: df}, root)[name]
+
+
+def remove_replaced(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete folders that were published once and stand in none of the last ``keep`` commits.
+
+    Folders never published may belong to a running job and stay.  Returns how many were deleted.
+    """
+    taken = commits.numbers(spark, f"{root}/_tables")
+    seen = [set(commits.read(spark, f"{root}/_tables", n).values()) for n in taken]
+    old = set().union(*seen) - set().union(*seen[-max(keep, 1):])
+    deleted = 0
+    for folder in sorted(old):
+        fs, path = commits.file_system(spark, f"{root}/{folder}")
+        deleted += bool(fs.delete(path, True))
+    return deleted
+
+
+def append_row(spark: SparkSession, root: str, log: str, make) -> int:
+    """Add the row ``make(number)``, a dict, to a log and return its number."""
+    return commits.commit(spark, f"{root}/{log}", lambda number, _: make(number))
+
+
+def read_log(spark: SparkSession, root: str, log: str) -> DataFrame:
+    """The rows of a log, none before the first."""
+    if not commits.numbers(spark, f"{root}/{log}"):
+        return spark.createDataFrame([], LOGS[log])
+    return spark.read.schema(LOGS[log]).json(f"{root}/{log}")
+
+
 def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
-    """A stored table; an absent one is an error unless ``schema`` allows an empty result."""
+    """A published table, a log, or a plain Parquet folder; an absent one is an error unless ``schema`` allows an empty result."""
+    if name in LOGS:
+        return read_log(spark, root, name)
+    folder = commits.newest(spark, f"{root}/_tables").get(name, name)
     try:
-        return spark.read.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{folder}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -51,14 +104,15 @@ def load_cleaned(spark: SparkSession, root: str, fmt: str = "parquet") -> tuple:
 
 # -- feature tables ---------------------------------------------------------
 
+def feature_columns(name: str, df: DataFrame) -> DataFrame:
+    """A feature table in fixed column order; enrichment columns only if present."""
+    return df.select(*schemas.FEATURE_TABLES[name].names, *[
+        c for c in schemas.ITEM_ENRICHED_COLUMNS if name == "item_features" and c in df.columns])
+
+
 def write_features(tables: dict, root: str) -> dict:
-    """Replace the feature tables, in fixed column order; enrichment columns only if present."""
-    paths = {}
-    for name, df in tables.items():
-        columns = schemas.FEATURE_TABLES[name].names + [
-            c for c in schemas.ITEM_ENRICHED_COLUMNS if name == "item_features" and c in df.columns]
-        paths[name] = write_table(df.select(*columns), root, name)
-    return paths
+    """Replace the feature tables, all in one step."""
+    return write_tables({name: feature_columns(name, df) for name, df in tables.items()}, root)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
@@ -78,7 +132,7 @@ DESCRIPTIONS = {
     "user_rating_std": "Spread of the ratings given", "user_unique_items": "Distinct items rated",
     "user_recency_days": "Days since the last rating", "user_category_diversity": "Distinct categories rated",
     "item_rating_count": "Ratings received", "item_avg_rating": "Mean rating received",
-    "item_rating_std": "Spread of the ratings received", "item_unique_users": "Raters, each counted once",
+    "item_rating_std": "Spread of the ratings received", "item_unique_users": "How many users rated it",
     "price": "Price, missing ones filled", "category": "Category name", "brand": "Brand name",
     "category_encoded": "Position of the category in name order",
     "brand_encoded": "Position of the brand in name order",
@@ -138,8 +192,7 @@ def sample_classes(items: DataFrame, n: int = 5) -> DataFrame:
 
 
 def write_registry(tables: dict, root: str) -> None:
-    write_table(feature_registry(tables), root, "feature_registry")
-    write_table(registry_totals(tables), root, "feature_totals")
+    write_tables({"feature_registry": feature_registry(tables), "feature_totals": registry_totals(tables)}, root)
 
 
 def read_registry(spark: SparkSession, root: str, feature_set: str | None = None) -> DataFrame:
@@ -167,37 +220,37 @@ def version_row(tables: dict, versions: DataFrame, tag: str, notes: str = "", da
 
 def register_version(spark: SparkSession, root: str, tag: str, notes: str = "",
                      dataset: str = "ratings") -> int:
-    """Append a version row and return its id.  One writer at a time."""
-    versions = read_table(spark, root, "feature_versions", schemas.VERSIONS)
-    row = version_row(read_features(spark, root), versions, tag, notes, dataset).first()
-    new = spark.createDataFrame([row], schemas.VERSIONS)
-    write_table(new, root, "feature_versions", mode="append")
-    return row["version_id"]
+    """Append a version row and return its id, the number of its commit: two writers at once get two ids."""
+    row = version_row(read_features(spark, root), read_log(spark, root, "feature_versions"), tag, notes, dataset).first()
+    return append_row(spark, root, "feature_versions", lambda number: {**row.asDict(), "version_id": number})
 
 
 def list_versions(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, "feature_versions", schemas.VERSIONS).orderBy(F.desc("version_id"))
+    return read_log(spark, root, "feature_versions").orderBy(F.desc("version_id"))
 
 
 # -- audit and run log ------------------------------------------------------
 
-def append_audit(df: DataFrame, root: str, source: str, path: str, dataset: str = "ratings") -> None:
-    """One audit row for a written table: rows, size in bytes and an order-free checksum."""
-    spark = df.sparkSession
-    written = spark.read.parquet(path)
-    size = (written.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-            .distinct().agg(F.coalesce(F.sum("s"), F.lit(0))).scalar())
-    facts = table_checksum(written).select(
-        F.lit(_now()).alias("ingested_at"), F.lit(source).alias("source"),
-        F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("file"), F.col("rows"),
-        size.cast("bigint").alias("size_bytes"), F.md5(F.col("checksum").cast("binary")).alias("md5"),
-        F.lit("SUCCESS").alias("status"), F.lit(dataset).alias("dataset"))
-    write_table(facts, root, "audit", mode="append")
+def watched(df: DataFrame) -> tuple:
+    """``df`` that counts and sums up its rows while it is written, and what it has seen by then."""
+    seen = Observation()
+    return df.observe(seen, *checksum_columns(df)), seen
+
+
+def append_audit(spark: SparkSession, root: str, source: str, file: str, path: str, seen: Observation,
+                 dataset: str = "ratings") -> None:
+    """One audit row for a table written as ``watched``: rows, bytes and an order-free checksum; nothing is read back."""
+    facts = seen.get
+    fs, folder = commits.file_system(spark, path)
+    row = {"ingested_at": _now(), "source": source, "file": file, "rows": facts["rows"],
+           "size_bytes": fs.getContentSummary(folder).getLength(),
+           "md5": hashlib.md5(facts["checksum"].encode()).hexdigest(), "status": "SUCCESS", "dataset": dataset}
+    append_row(spark, root, "audit", lambda _: row)
 
 
 def log_run(spark: SparkSession, root: str, model: str, params: dict, metrics: dict) -> str:
     run_id = uuid.uuid4().hex
-    row = (run_id, model, {k: str(v) for k, v in params.items()},
-           {k: float(v) for k, v in metrics.items()}, _now())
-    write_table(spark.createDataFrame([row], schemas.RUNS), root, "runs", mode="append")
+    row = {"run_id": run_id, "model": model, "params": {k: str(v) for k, v in params.items()},
+           "metrics": {k: float(v) for k, v in metrics.items()}, "created_at": _now()}
+    append_row(spark, root, "runs", lambda _: row)
     return run_id
