@@ -1,9 +1,12 @@
 """Catalog queries: filters, pages, popularity and totals."""
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ratelake.functions import scalar as S
 from ratelake.operators.quantiles import exact_quantiles
+from ratelake.session import scratch_path, stage
 
 MAX_PAGE = 100
 PRODUCT_ROW = ("productId", "title", "price", "brand", "category", "description",
@@ -59,6 +62,45 @@ def product_page(products: DataFrame, page=1, limit=20, category=None, min_price
     return product_rows(found.orderBy("productId").offset((page - 1) * limit).limit(limit))
 
 
+class PageIndex(NamedTuple):
+    """Products in cells of key order: ``rows`` with the folder column ``_cell``, and ``cells`` with ``_cell, n``."""
+
+    rows: DataFrame
+    cells: DataFrame
+
+
+def page_index(products: DataFrame, cell_rows: int = 100_000, max_cells: int = 10_000) -> PageIndex:
+    """Write ``products`` once, in key order, cut into cells of about ``cell_rows`` rows, and count the cells."""
+    spark = products.sparkSession
+    n = min(max_cells, max(1, -(-products.count() // cell_rows)))
+    path = scratch_path(spark, "pages")
+    (products.repartitionByRange(n, "productId").sortWithinPartitions("productId")
+     .withColumn("_cell", F.spark_partition_id()).write.partitionBy("_cell").parquet(path))
+    schema = T.StructType([*products.schema.fields, T.StructField("_cell", T.IntegerType())])
+    rows = spark.read.schema(schema).parquet(path)
+    return PageIndex(rows, stage(rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")), "cells"))
+
+
+def indexed_page(index: PageIndex, page=1, limit=20, category=None, min_price=None, max_price=None) -> DataFrame:
+    """``product_page`` for any page number: the cells before the page are counted, only its own are sorted.
+
+    Without a filter the counts are those of the index; with one, a scan counts the hits of each cell.
+    """
+    page, limit = page_bounds(page, limit)
+    first = (page - 1) * limit
+    found = search(index.rows, category, min_price, max_price)
+    filtered = category or min_price is not None or max_price is not None
+    counts = found.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")) if filtered else index.cells
+    # A row per cell, so this window is bounded by ``max_cells``.
+    earlier = F.sum("n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    held = (counts.withColumn("before", earlier).where((F.col("before") < first + limit) & (F.col("before") + F.col("n") > first))
+            .agg(F.min("_cell").alias("lo"), F.max("_cell").alias("hi"), F.min("before").alias("before")).first())
+    if held["lo"] is None:
+        return product_rows(found.limit(0))
+    near = found.where(F.col("_cell").between(held["lo"], held["hi"]))
+    return product_rows(near.orderBy("productId").offset(first - held["before"]).limit(limit))
+
+
 def page_info(products: DataFrame, page=1, limit=20, category=None, min_price=None,
               max_price=None) -> DataFrame:
     """Total, page, limit and number of pages of a search."""

@@ -31,14 +31,19 @@ def require_keys(df: DataFrame, *keys) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
-def normalise_epoch(ratings: DataFrame, per_row: bool = False) -> DataFrame:
+def normalise_epoch(ratings: DataFrame, per_row: bool = False, by: str | None = None) -> DataFrame:
     """Timestamps as whole epoch seconds.
 
     Date-time texts are read as such, in seconds.  The unit of numbers is read off the table's largest stamp, so one scan of that column
-    comes first; ``per_row`` decides row by row and needs no extra scan.
+    comes first, or off the largest one with the same value of the column ``by``; ``per_row`` decides row by row and needs no extra scan.
     """
     dated = S.date_time_seconds("timestamp")
     stamped = ratings.withColumn("_dated", dated).withColumn("timestamp", S.whole_seconds("timestamp"))
+    if by:
+        # One row per value of ``by`` after partial sums, so rows of one large file need not meet.
+        largest = stamped.groupBy(by).agg(F.max("timestamp").alias("_largest"))
+        joined = stamped.join(largest, by).withColumn("timestamp", F.coalesce("_dated", S.epoch_seconds("timestamp", F.col("_largest"))))
+        return joined.select(*ratings.columns)
     largest = None if per_row else stamped.select(F.max("timestamp")).scalar()
     return stamped.withColumn("timestamp", F.coalesce("_dated", S.epoch_seconds("timestamp", largest))).drop("_dated")
 
@@ -64,6 +69,13 @@ def parse_ratings(raw: DataFrame, per_row_epoch: bool = False) -> DataFrame:
     return normalise_epoch(select_ratings(raw), per_row_epoch)
 
 
+def parse_ratings_by_file(raw: DataFrame) -> DataFrame:
+    """``parse_ratings`` of records with their ``file``; each file has a unit of its own."""
+    fields = [F.col(name).alias(new) for name, new in schemas.RATING_FIELDS.items()]
+    rows = require_keys(rating_in_range(raw.select(*fields, "file")), "userId", "productId")
+    return normalise_epoch(rows, by="file").drop("file")
+
+
 def first_per_product(products: DataFrame) -> DataFrame:
     """One row per product: the one with fewest nulls, then the smallest in column order.
 

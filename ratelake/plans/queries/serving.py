@@ -127,6 +127,16 @@ def _(spark, d):
     return catalog.product_page(T.enriched_products(spark, d), 2, 20, "large", min_price=905)
 
 
+@query("deep_page", _rows('SELECT * FROM EP ORDER BY "productId" LIMIT 20 OFFSET 160'), "EP")
+def _(spark, d):
+    return catalog.indexed_page(catalog.page_index(T.enriched_products(spark, d), cell_rows=50), 9, 20)
+
+
+@query("deep_page_of_a_search", _rows(f'{_FOUND} ORDER BY "productId" LIMIT 3 OFFSET 6'), "EP")
+def _(spark, d):
+    return catalog.indexed_page(catalog.page_index(T.enriched_products(spark, d), cell_rows=50), 3, 3, "large", min_price=905)
+
+
 @query("product_page_info", f"""SELECT count(*) AS total, 2 AS page, 20 AS "limit",
     cast(ceil(count(*) / 20.0::DOUBLE) AS bigint) AS pages FROM ({_FOUND})""", "EP")
 def _(spark, d):

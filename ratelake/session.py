@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A batch run has more generated classes than the default of 100 keeps.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # State of streams on disk, not in executor heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

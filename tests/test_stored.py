@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -203,3 +204,59 @@ def test_a_stamp_written_twice(spark, tmp_path):
         snapshots.append_snapshot(spark.createDataFrame([(x,)], "x string"), path, stamp)
     assert [r[0] for r in snapshots.load_latest(spark, path).collect()] == ["c"]
     assert spark.read.parquet(path).count() == 2
+
+
+def _rating(u, p, stamp, rating=4):
+    return json.dumps({"user_id": u, "parent_asin": p, "rating": rating, "timestamp": stamp})
+
+
+def test_stream_with_repeats_late_files_and_restarts(spark, tmp_path, rows, monkeypatch):
+    """A file delivered twice, a late one and a batch that dies give the rows of the batch path."""
+    folder, out, check, bad = (str(tmp_path / n) for n in ("in", "out", "check", "bad"))
+    (tmp_path / "in").mkdir()
+
+    def deliver(name, lines, old=False):
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+        if old:
+            os.utime(tmp_path / "in" / name, (1_500_000_000, 1_500_000_000))
+
+    def run():
+        incremental.ingest_new_ratings(spark, folder, out, check, bad, max_files=1, repeats_within="7 days")
+
+    first = [_rating("u1", "p1", 1588687728923), _rating("u2", "p1", 1588687728000), "{broken"]
+    deliver("1.json", first)
+    run()
+    deliver("1 again.json", first)
+    deliver("late.json", [_rating("u0", "p0", 1100000000000), _rating("u1", "p1", 1588687728923)], old=True)
+    run()
+    # The sides of a batch are written one after the other; dying between them leaves nothing doubled.
+    deliver("3.json", [_rating("u3", "p3", 1599999999000), "null"])
+    whole, calls = incremental.write_side, []
+
+    def dies(df, path, number):
+        calls.append(path)
+        if path == bad:
+            raise RuntimeError("lost")
+        whole(df, path, number)
+
+    monkeypatch.setattr(incremental, "write_side", dies)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert out in calls
+    monkeypatch.setattr(incremental, "write_side", whole)
+    run()
+    run()
+    got = rows(incremental.read_ingested(spark, out))
+    assert got == [("u0", "p0", 4.0, 1100000000), ("u1", "p1", 4.0, 1588687728), ("u2", "p1", 4.0, 1588687728), ("u3", "p3", 4.0, 1599999999)]
+    batch_path = ingest.parse_ratings(raw.read_rating_lines(spark, folder)[0]).distinct()
+    assert rows(batch_path) == got
+    assert sorted(r["line"] for r in spark.read.parquet(bad).collect()) == ["null", "{broken"]
+
+
+def test_stream_judges_the_unit_by_file(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "ms.json").write_text("\n".join([_rating("a", "p", 1588687728923), _rating("b", "p", 86400000)]))
+    (tmp_path / "in" / "s.json").write_text("\n".join([_rating("c", "p", 1588687728), _rating("d", "p", "2020-05-05T13:42:08Z")]))
+    incremental.ingest_new_ratings(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"))
+    assert rows(incremental.read_ingested(spark, str(tmp_path / "out")), "userId", "timestamp") == [
+        ("a", 1588687728), ("b", 86400), ("c", 1588687728), ("d", 1588686128)]
