@@ -49,16 +49,16 @@ def impute_prices(products: DataFrame) -> DataFrame:
     known = priced.select("category", "price")
     cells = stage(leading_cells(known.withColumn("category", F.struct("category")), "price", ["category"]), "price_cells")
     cells = cells.withColumn("category", F.col("category.category"))
+    missing = known.where(F.col("price").isNull()).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     medians = stage(exact_quantiles(known, "price", {"category_median": 0.5}, ["category"],
-                                    cells=cells.where(F.col("category").isNotNull())), "medians")
-    gaps = known.where(F.col("price").isNull()).groupBy("category").agg(F.count(F.lit(1)).alias("n")) \
-        .join(medians, "category").select(F.col("category_median").alias("price"), "n")
+                                    cells=cells.where(F.col("category").isNotNull())).join(missing, "category", "left"), "medians")
+    gaps = medians.where(F.col("n").isNotNull()).select(F.col("category_median").alias("price"), "n")
     gap_cells = leading_cells(gaps, "price", weight="n")
     every = cells.drop("category").unionByName(gap_cells).groupBy("_cell").agg(
         F.sum("_n").alias("_n"), F.min("_least").alias("_least"), F.max("_most").alias("_most"))
     filled = known.select("price", F.lit(1).cast("long").alias("n")).unionByName(gaps)
     overall = exact_quantiles(filled, "price", {"m": 0.5}, weight="n", cells=every).scalar()
-    return (priced.join(medians, "category", "left")
+    return (priced.join(medians.drop("n"), "category", "left")
             .withColumn("price", F.coalesce("price", "category_median", overall))
             .select(*products.columns))
 

@@ -6,7 +6,7 @@ ranks cut the sorted order at places that follow the values themselves.  A narro
 no difference, and copies of a value weigh one row however many there are.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ratelake.functions.scalar import as_col
 from ratelake.session import stage
@@ -41,8 +41,12 @@ def leading_cells(df: DataFrame, value, keys=(), weight=None) -> DataFrame:
 
 
 def _ends(probabilities: dict) -> list:
-    """The ranks that the quantiles lie at or between, from the number of rows."""
-    return [end(F.lit(float(p)) * (F.col("_total") - 1)) for p in probabilities.values() for end in (F.floor, F.ceil)]
+    """SQL of the ranks that the quantiles lie at or between, from the number of rows."""
+    return [f"{end}({float(p)!r}D * (_total - 1))" for p in probabilities.values() for end in ("floor", "ceil")]
+
+
+def _here(rank: str) -> str:
+    return f"({rank} >= _start AND {rank} < _start + _n)"
 
 
 def _wanted(cells: DataFrame, keys, probabilities: dict, group=()) -> DataFrame:
@@ -51,14 +55,28 @@ def _wanted(cells: DataFrame, keys, probabilities: dict, group=()) -> DataFrame:
     upto = F.sum("_n").over(within.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     base = F.col("_base") if group else F.lit(0)
     total = F.col("_total") if group else F.sum("_n").over(within)
-    placed = cells.withColumn("_total", total).withColumn("_start", base + upto - F.col("_n"))
-    held, inside = F.lit(False), F.lit(False)
-    for rank in _ends(probabilities):
-        here = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
-        held = held | here
-        inside = inside | (here & (rank != F.col("_start")) & (rank != F.col("_start") + F.col("_n") - 1))
+    placed = cells.withColumns({"_total": total, "_start": base + upto - F.col("_n")})
+    ranks = _ends(probabilities)
+    held = " OR ".join(map(_here, ranks))
+    inside = " OR ".join(f"({_here(r)} AND {r} != _start AND {r} != _start + _n - 1)" for r in ranks)
     return placed.where(held).select(*keys, "_total", "_start", "_n", "_least", "_most",
-                                     (inside & (F.col("_least") != F.col("_most"))).alias("_open"))
+                                     F.expr(f"({inside}) AND _least != _most").alias("_open"))
+
+
+def _settled(wanted: DataFrame, keys) -> tuple:
+    """The wanted cells worked out once, and how many open ones hold more and at most ``SORTED_ROWS`` rows."""
+    large = F.col("_n") > SORTED_ROWS
+    if keys:
+        seen = Observation()
+        kept = stage(wanted.observe(seen, F.count_if(F.col("_open") & large).alias("large"),
+                                    F.count_if(F.col("_open") & ~large).alias("small")), "wanted")
+        return kept, seen.get["large"], seen.get["small"]
+    rows = wanted.collect()         # two cells for each probability at most
+    if not rows:
+        return wanted.where(F.lit(False)), 0, 0
+    cells = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in wanted.schema.fields]) for r in rows])
+    n_large = sum(r["_open"] and r["_n"] > SORTED_ROWS for r in rows)
+    return wanted.sparkSession.range(1).select(F.inline(cells)), n_large, sum(r["_open"] for r in rows) - n_large
 
 
 def _rows_inside(rows: DataFrame, ranges: DataFrame, keys) -> DataFrame:
@@ -83,11 +101,11 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
     keys = list(keys)
     rows = _rows(df, value, keys, weight)
     if cells is None:
-        cells = stage(_counted(rows, *keys, leading_cell(F.col("_value")).alias("_cell")), "cells")
+        cells = _counted(rows, *keys, leading_cell(F.col("_value")).alias("_cell"))
     wanted, found, to_sort = _wanted(cells, keys, probabilities), None, 0
     large = F.col("_open") & (F.col("_n") > SORTED_ROWS)
     while True:
-        n_large, n_small = wanted.where("_open").agg(F.count_if(large), F.count_if(~large)).first()
+        wanted, n_large, n_small = _settled(wanted, keys)
         to_sort += n_small
         known = wanted.where(~large)
         found = known if found is None else found.unionByName(known)
@@ -96,25 +114,22 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
         inside = _rows_inside(rows, wanted.where(large), keys)
         width = F.col("_to") - F.col("_from")
         part = F.floor((F.col("_value") - F.col("_from")) / width * PARTS).cast("int")
-        finer = stage(_counted(inside, *keys, "_base", "_total", part.alias("_cell")), "cells")
+        finer = _counted(inside, *keys, "_base", "_total", part.alias("_cell"))
         wanted = _wanted(finer, keys, probabilities, ["_base"])
     # Values of the small cells, one by one.
     if to_sort:
         values = _counted(_rows_inside(rows, found.where("_open"), keys), *keys, "_base", "_total", F.col("_value").alias("_cell"))
         found = found.where(~F.col("_open")).unionByName(_wanted(values, keys, probabilities, ["_base"]))
 
-    def value_at(rank):
-        here = (rank >= F.col("_start")) & (rank < F.col("_start") + F.col("_n"))
-        return F.max(F.when(here, F.when(rank == F.col("_start"), F.col("_least")).otherwise(F.col("_most"))))
-
     out = found.groupBy(*keys).agg(F.max("_total").alias("_total"), *[
-        value_at(rank).alias(f"_at{i}") for i, rank in enumerate(_ends(probabilities))])
+        F.expr(f"max(CASE WHEN {_here(rank)} THEN CASE WHEN {rank} = _start THEN _least ELSE _most END END)").alias(f"_at{i}")
+        for i, rank in enumerate(_ends(probabilities))])
     shares = []
     for i, (name, p) in enumerate(probabilities.items()):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        share, lo, hi = position - F.floor(position), F.col(f"_at{2 * i}"), F.col(f"_at{2 * i + 1}")
+        position, lo, hi = f"({float(p)!r}D * (_total - 1))", f"_at{2 * i}", f"_at{2 * i + 1}"
+        share = f"({position} - floor({position}))"
         # Between equal values, and at a value itself, nothing is computed: an infinite value stays as it is.
-        shares.append(F.when((share == 0) | (lo == hi), lo).otherwise(lo + (hi - lo) * share).alias(name))
+        shares.append(F.expr(f"CASE WHEN {share} = 0 OR {lo} = {hi} THEN {lo} ELSE {lo} + ({hi} - {lo}) * {share} END").alias(name))
     return out.select(*keys, *shares)
 
 
