@@ -132,6 +132,39 @@ def search_block(width, k, rotation, head, step, matrix, products):
     return body
 
 
+def deal(ints: DataFrame, asked: DataFrame, block: int, query_block: int) -> tuple:
+    """Candidates and queries as rows ``bin, salt, need, q_salt, is_query, vec_id, v, floor``, one for each task they go to.
+
+    Candidates of similar length share a bin (half a factor of two), queries that need candidates of similar length
+    (floor over own length, in eighths) a need; hash salts cut both to ``block`` and ``query_block`` rows.  A candidate is
+    copied only to needs of which a query reaches its bin, a query only to bins that it reaches.
+    """
+    bin_ = F.when(F.col("length") > 0, F.floor(F.log2("length") * 2).cast("int")).otherwise(F.lit(-10_000))
+    least = F.try_divide(F.col("floor"), F.col("length"))
+    need = F.when((least > 0) & (least < float("inf")), F.floor(F.log2(least) * 8).cast("int")).otherwise(F.lit(-10_000))
+    binned, needing = ints.select("vec_id", "v", bin_.alias("bin"), "length"), asked.withColumn("need", need)
+    # Some thousand bins and needs at most: exponents of doubles.
+    bins = binned.groupBy("bin").agg(F.max("length").alias("longest"), F.ceil(F.count(F.lit(1)) / block).alias("salts"))
+    needs = needing.groupBy("need").agg(F.ceil(F.count(F.lit(1)) / query_block).alias("q_salts"))
+    bins, needs = stage(bins, "bins"), stage(needs, "needs")
+    all_bins = bins.agg(F.collect_list(F.struct("bin", "longest", "salts")).alias("bins")).select("bins").scalar()
+    reach = F.filter(F.col("bins"), lambda b: F.col("length") * b["longest"] * (1 + 1e-9) + 1e-6 >= F.col("floor"))
+    reaching = needing.withColumn("bins", all_bins).withColumn("b", F.explode(reach)).join(needs, "need")
+    reached = stage(reaching.groupBy("need", F.col("b.bin").alias("bin"), F.col("b.salts").alias("salts"), "q_salts")
+                    .agg(F.count(F.lit(1)).alias("n")).groupBy("bin", "salts").agg(
+                        F.collect_list(F.struct("need", "q_salts")).alias("needs")), "reached")
+    spot = F.xxhash64("vec_id")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    candidates = (binned.join(reached, "bin").withColumn("salt", F.pmod(spot, F.col("salts")))
+                  .withColumn("to", F.explode("needs"))
+                  .select("bin", "salt", F.col("to.need").alias("need"), F.explode(upto(F.col("to.q_salts"))).alias("q_salt"),
+                          F.lit(False).alias("is_query"), "vec_id", "v", F.lit(None).cast("double").alias("floor")))
+    queries = reaching.select(F.col("b.bin").alias("bin"), F.explode(upto(F.col("b.salts"))).alias("salt"), "need",
+                              F.pmod(F.shiftright(spot, 20), F.col("q_salts")).alias("q_salt"),
+                              F.lit(True).alias("is_query"), "vec_id", "v", "floor")
+    return candidates, queries
+
+
 def top_products(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embedding", scale: int = SCALE,
                  head: int = HEAD, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` highest inner products, ties to the smaller ``vec_id``.
@@ -163,24 +196,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, vector: str
         floors(seeds["vec_id"].to_numpy(), matrix(seeds["v"], width), width, k, *bodies),
         "vec_id long, v array<long>, length double, floor double"), "queries")
 
-    # Blocks of similar length: a bin for each factor of the root of two, dealt by hash when it is large.
-    bin_ = F.when(F.col("length") > 0, F.floor(F.log2("length") * 2).cast("int")).otherwise(F.lit(-10_000))
-    binned = ints.select("vec_id", "v", bin_.alias("bin"), "length")
-    bins = binned.groupBy("bin").agg(F.max("length").alias("longest"), F.ceil(F.count(F.lit(1)) / block).alias("salts"))
-    bins = F.broadcast(bins.select("bin", "longest", "salts"))      # a few thousand rows at most: exponents of doubles
-    query_blocks = -(-n_queries // query_block)
-    spot = F.xxhash64("vec_id")
-    candidates = (binned.drop("length").join(bins.drop("longest"), "bin")
-                  .withColumn("salt", F.pmod(spot, F.col("salts")))
-                  .select("bin", "salt", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
-                          F.lit(False).alias("is_query"), "vec_id", "v", F.lit(None).cast("double").alias("floor")))
-    all_bins = bins.agg(F.collect_list(F.struct("bin", "longest", "salts")).alias("bins")).select("bins").scalar()
-    reach = F.filter(F.col("bins"), lambda b: F.col("length") * b["longest"] * (1 + 1e-9) + 1e-6 >= F.col("floor"))
-    queries = (asked.withColumn("bins", all_bins).withColumn("b", F.explode(reach))
-               .select(F.col("b.bin").alias("bin"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("b.salts") - 1)).alias("salt"),
-                       F.pmod(F.shiftright(spot, 20), F.lit(query_blocks)).cast("int").alias("qb"),
-                       F.lit(True).alias("is_query"), "vec_id", "v", "floor"))
-    found = candidates.unionByName(queries).groupBy("bin", "salt", "qb").applyInArrow(
+    candidates, queries = deal(ints, asked, block, query_block)
+    found = candidates.unionByName(queries).groupBy("bin", "salt", "need", "q_salt").applyInArrow(
         search_block(width, k, rotation, min(head, width), STEP, *bodies), FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
