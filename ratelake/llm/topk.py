@@ -136,7 +136,7 @@ def deal(ints: DataFrame, asked: DataFrame, block: int, query_block: int) -> tup
     """Candidates and queries as rows ``bin, salt, need, q_salt, is_query, vec_id, v, floor``, one for each task they go to.
 
     Candidates of similar length share a bin (half a factor of two), queries that need candidates of similar length
-    (floor over own length, in eighths) a need; hash salts cut both to ``block`` and ``query_block`` rows.  A candidate is
+    (floor over own length, in eighths, then up to a full block) a need; hash salts cut both to ``block`` and ``query_block`` rows.  A candidate is
     copied only to needs of which a query reaches its bin, a query only to bins that it reaches.
     """
     bin_ = F.when(F.col("length") > 0, F.floor(F.log2("length") * 2).cast("int")).otherwise(F.lit(-10_000))
@@ -145,11 +145,16 @@ def deal(ints: DataFrame, asked: DataFrame, block: int, query_block: int) -> tup
     binned, needing = ints.select("vec_id", "v", bin_.alias("bin"), "length"), asked.withColumn("need", need)
     # Some thousand bins and needs at most: exponents of doubles.
     bins = binned.groupBy("bin").agg(F.max("length").alias("longest"), F.ceil(F.count(F.lit(1)) / block).alias("salts"))
-    needs = needing.groupBy("need").agg(F.ceil(F.count(F.lit(1)) / query_block).alias("q_salts"))
+    # Neighbouring needs share a block until it is full, so few queries make few blocks.
+    before = Window.orderBy("need").rowsBetween(Window.unboundedPreceding, -1)
+    cells = needing.groupBy(F.col("need").alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need")) \
+        .withColumn("need", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / query_block))
+    needs = cells.withColumn("q_salts", F.ceil(F.sum("n").over(Window.partitionBy("need")) / query_block)).drop("n")
     bins, needs = stage(bins, "bins"), stage(needs, "needs")
+    needing = needing.withColumnRenamed("need", "cell")
     all_bins = bins.agg(F.collect_list(F.struct("bin", "longest", "salts")).alias("bins")).select("bins").scalar()
     reach = F.filter(F.col("bins"), lambda b: F.col("length") * b["longest"] * (1 + 1e-9) + 1e-6 >= F.col("floor"))
-    reaching = needing.withColumn("bins", all_bins).withColumn("b", F.explode(reach)).join(needs, "need")
+    reaching = needing.withColumn("bins", all_bins).withColumn("b", F.explode(reach)).join(needs, "cell")
     reached = stage(reaching.groupBy("need", F.col("b.bin").alias("bin"), F.col("b.salts").alias("salts"), "q_salts")
                     .agg(F.count(F.lit(1)).alias("n")).groupBy("bin", "salts").agg(
                         F.collect_list(F.struct("need", "q_salts")).alias("needs")), "reached")
