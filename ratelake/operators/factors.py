@@ -5,14 +5,13 @@ clipped to the rating scale; whatever is unknown of a user or item drops out.
 """
 
 import itertools
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake.functions import kernels, scalar as S
-from ratelake.operators.quantiles import dense_index
+from ratelake.operators import alternating
 from ratelake.session import bounded
 
 # Candidates of ``recommend`` go to every task, sample users travel in the plan; beyond these bounds both refuse.
@@ -21,6 +20,8 @@ MOST_SAMPLE_USERS = 1_000
 
 # The parameter grid that is searched by default.
 DEFAULT_GRID = {"rank": (20, 50, 100), "maxIter": (15, 20), "regParam": (0.02, 0.1)}
+# What a grid does not name.
+SETTING = {"rank": 20, "maxIter": 15, "regParam": 0.1}
 
 
 def holdout_split(ratings: DataFrame, share: float = 0.2, seed: int = 42) -> tuple:
@@ -53,6 +54,13 @@ def clip_estimate(c):
     return S.clip(c, S.RATING_MIN, S.RATING_MAX)
 
 
+def predict_base(pairs: DataFrame, offsets: Offsets) -> DataFrame:
+    """``base``: mean and what offsets are known, not clipped."""
+    known = pairs.join(offsets.users, "userId", "left").join(offsets.items, "productId", "left")
+    return known.select(*pairs.columns, (offsets.mean.scalar() + F.coalesce("user_offset", F.lit(0.0))
+                                         + F.coalesce("item_offset", F.lit(0.0))).alias("base"))
+
+
 def predict_offsets(pairs: DataFrame, offsets: Offsets, digits: int = 6) -> DataFrame:
     """``prediction`` from mean and offsets only."""
     known = pairs.join(offsets.users, "userId", "left").join(offsets.items, "productId", "left")
@@ -65,57 +73,37 @@ def predict_offsets(pairs: DataFrame, offsets: Offsets, digits: int = 6) -> Data
 
 @dataclass
 class FactorModel:
-    """Offsets plus an ALS model on the residuals, and the id tables it was trained with."""
+    """Offsets, and factors of the residuals: ``userId, user_factors`` and ``productId, item_factors``."""
 
     offsets: Offsets
-    als: ALSModel
-    user_ids: DataFrame
-    item_ids: DataFrame
+    users: DataFrame
+    items: DataFrame
 
     def factors(self) -> tuple:
-        """``userId, user_factors`` and ``productId, item_factors``."""
-        users = self.user_ids.join(self.als.userFactors, F.col("user") == F.col("id")).select(
-            "userId", F.col("features").alias("user_factors"))
-        items = self.item_ids.join(self.als.itemFactors, F.col("item") == F.col("id")).select(
-            "productId", F.col("features").alias("item_factors"))
-        return users, items
-
+        return self.users, self.items
 
-def index_ids(ratings: DataFrame) -> tuple:
-    """ALS wants integer ids: dense positions of the distinct keys."""
-    return tuple(
-        dense_index(ratings.where(F.col(key).isNotNull()).select(key).distinct(), key, name)
-        .withColumn(name, F.col(name).cast("int"))
-        for key, name in (("userId", "user"), ("productId", "item")))
 
+def residuals(ratings: DataFrame, offsets: Offsets) -> DataFrame:
+    """``user, item, residual``: what the offsets leave of each rating."""
+    return (ratings.join(offsets.users, "userId").join(offsets.items, "productId").select(
+        F.col("userId").alias("user"), F.col("productId").alias("item"),
+        (F.col("rating") - offsets.mean.scalar() - F.col("user_offset") - F.col("item_offset")).alias("residual")))
 
-def residuals(ratings: DataFrame, offsets: Offsets, user_ids: DataFrame, item_ids: DataFrame) -> DataFrame:
-    # Everything known of a key is joined first, so that the ratings move once per key.
-    users, items = offsets.users.join(user_ids, "userId"), offsets.items.join(item_ids, "productId")
-    return (ratings.join(users, "userId").join(items, "productId").select(
-        "user", "item", (F.col("rating") - offsets.mean.scalar() - F.col("user_offset")
-                         - F.col("item_offset")).cast("float").alias("residual")))
 
-
-def _als(seed, **params):
-    return ALS(userCol="user", itemCol="item", ratingCol="residual", coldStartStrategy="nan",
-               seed=seed, **params)
+def _kept(offsets: Offsets, keep) -> Offsets:
+    return Offsets(keep(offsets.mean, "mean"), keep(offsets.users, "user_offsets"), keep(offsets.items, "item_offsets"))
 
 
 def fit_factors(ratings: DataFrame, rank: int = 20, max_iter: int = 15, reg: float = 0.1,
                 seed: int = 42, keep=lambda df, name: df) -> FactorModel:
-    """Offsets by grouping, then ALS on the residuals.
+    """Offsets by grouping, then alternating least squares on the residuals.
 
-    ``keep`` stages the offsets, ids and residuals, which ALS and the scoring read again.
+    ``keep`` stages the offsets, which the scoring reads again.
     """
-    offsets = fit_offsets(ratings)
-    offsets = Offsets(keep(offsets.mean, "mean"), keep(offsets.users, "user_offsets"),
-                      keep(offsets.items, "item_offsets"))
-    user_ids, item_ids = index_ids(ratings)
-    user_ids, item_ids = keep(user_ids, "user_ids"), keep(item_ids, "item_ids")
-    table = keep(residuals(ratings, offsets, user_ids, item_ids), "residuals")
-    return FactorModel(offsets, _als(seed, rank=rank, maxIter=max_iter, regParam=reg).fit(table),
-                       user_ids, item_ids)
+    offsets = _kept(fit_offsets(ratings), keep)
+    users, items = alternating.alternate(residuals(ratings, offsets), [(rank, reg)], [max_iter], seed)[max_iter]
+    return FactorModel(offsets, users.select(F.col("key").alias("userId"), F.col("vector").alias("user_factors")),
+                       items.select(F.col("key").alias("productId"), F.col("vector").alias("item_factors")))
 
 
 def fold_of(folds: int, seed: int = 42):
@@ -124,38 +112,62 @@ def fold_of(folds: int, seed: int = 42):
 
 
 def search_factors(ratings: DataFrame, grid: dict | None = None, folds: int = 3, seed: int = 42,
-                   parallelism: int = 4, keep=lambda df, name: df) -> tuple:
+                   keep=lambda df, name: df) -> tuple:
     """Grid search by cross-validated RMSE: best settings, and all results as rows.
 
     Each fold has offsets and factors of its own, fitted on the other folds only.  Held-out rows with
     a user or item that those do not hold are scored by what offsets there are.
+
+    All folds and settings share the rounds of one solver run: keys carry their fold, vectors hold the fits of all ranks
+    and regularisations, and settings that differ in rounds only are the same fit seen after each of them.
     """
     grid = grid or DEFAULT_GRID
+    if set(grid) - set(SETTING):
+        raise ValueError(f"a grid has the settings {', '.join(SETTING)}")
     settings = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    full = [{**SETTING, **setting} for setting in settings]
+    fits = sorted({(s["rank"], s["regParam"]) for s in full})
+    rounds = sorted({s["maxIter"] for s in full})
     dealt = keep(ratings.withColumn("_fold", fold_of(folds, seed)), "folds")
-    errors = [[] for _ in settings]
+
+    def keyed(fold, name):
+        return F.concat(F.lit(f"{fold}:"), F.col(name))
+
+    tables, tests = [], []
     for fold in range(folds):
         train = dealt.where(F.col("_fold") != fold).drop("_fold")
         test = dealt.where(F.col("_fold") == fold).drop("_fold")
         if not train.take(1) or not test.take(1):
             continue
-        offsets = fit_offsets(train)
-        offsets = Offsets(keep(offsets.mean, "mean"), keep(offsets.users, "user_offsets"), keep(offsets.items, "item_offsets"))
-        user_ids, item_ids = (keep(ids, "ids") for ids in index_ids(train))
-        table = keep(residuals(train, offsets, user_ids, item_ids), "residuals")
-
-        def rmse(setting):
-            model = FactorModel(offsets, _als(seed, **setting).fit(table), user_ids, item_ids)
-            miss = F.col("rating") - F.col("prediction")
-            return predict_factors(test, model).agg(F.sqrt(F.avg(miss * miss))).first()[0]
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            for found, error in zip(errors, pool.map(rmse, settings)):
-                found.append(error)
-    rows = [({k: float(v) for k, v in setting.items()}, sum(found) / len(found))
-            for setting, found in zip(settings, errors) if found]
-    results = ratings.sparkSession.createDataFrame(rows, "params map<string,double>, cv_rmse double")
-    return min(rows, key=lambda r: r[1])[0] if rows else {}, results
+        offsets = _kept(fit_offsets(train), keep)
+        tables.append(residuals(train, offsets).select(
+            keyed(fold, "user").alias("user"), keyed(fold, "item").alias("item"), "residual"))
+        tests.append(predict_base(test, offsets).select(F.lit(fold).alias("fold"), keyed(fold, "userId").alias("user"),
+                                                        keyed(fold, "productId").alias("item"), "rating", "base"))
+    spark = ratings.sparkSession
+    schema = "params map<string,double>, cv_rmse double"
+    if not tables:
+        return {}, spark.createDataFrame([], schema)
+    found = alternating.alternate(reduce(DataFrame.unionByName, tables), fits, rounds, seed)
+    tests = keep(reduce(DataFrame.unionByName, tests), "held_out")
+    errors = {number: _errors(tests, *found[number], fits) for number in rounds}
+    rows = [({k: float(v) for k, v in setting.items()}, errors[s["maxIter"]][fits.index((s["rank"], s["regParam"]))])
+            for setting, s in zip(settings, full)]
+    return min(rows, key=lambda r: r[1])[0], spark.createDataFrame(rows, schema)
+
+
+def _errors(tests: DataFrame, users: DataFrame, items: DataFrame, fits: list) -> list:
+    """The RMSE of each fit, averaged over the folds, from one pass over the held-out rows."""
+    scored = (tests.join(users.select(F.col("key").alias("user"), F.col("vector").alias("u")), "user", "left")
+              .join(items.select(F.col("key").alias("item"), F.col("vector").alias("v")), "item", "left"))
+    columns, start = [], 1
+    for n, (rank, _) in enumerate(fits):
+        miss = F.col("rating") - clip_estimate(
+            F.col("base") + dot(F.slice("u", start, rank), F.slice("v", start, rank)))
+        columns.append(F.sqrt(F.avg(miss * miss)).alias(f"e{n}"))
+        start += rank
+    by_fold = scored.groupBy("fold").agg(*columns).orderBy("fold").collect()
+    return [sum(row[f"e{n}"] for row in by_fold) / len(by_fold) for n in range(len(fits))]
 
 
 def dot(a, b):
@@ -206,8 +218,8 @@ def recommend(users: DataFrame, ratings: DataFrame, products: DataFrame, offsets
         scored = scored.join(factors[1], "productId", "left")
         table = table.join(factors[0], "userId", "left")
     else:
-        scored = scored.withColumn("item_factors", F.lit(None).cast("array<float>"))
-        table = table.withColumn("user_factors", F.lit(None).cast("array<float>"))
+        scored = scored.withColumn("item_factors", F.lit(None).cast("array<double>"))
+        table = table.withColumn("user_factors", F.lit(None).cast("array<double>"))
     candidates = scored.select("productId", F.coalesce("item_offset", F.lit(0.0)), "item_factors",
                                "position").orderBy("position").collect()
     seen = (ratings.select("userId", "productId").join(chosen, "productId")

@@ -155,7 +155,35 @@ def _(spark, d):
     return ranking.mean_prediction(_recommended(spark, d))
 
 
-# -- latent factors: no SQL equivalent ----------------------------------------
+# -- latent factors: SQL for two rounds of rank 2, numpy in the tests for the rest ----
+
+def _half_round(name: str, own: str, other: str, vectors: str) -> str:
+    """One side of rank 2 solved by Cramer's rule."""
+    return f"""{name} AS (SELECT "{own}", (p * c - q * b) / (a * c - b * b) AS x, (a * q - b * p) / (a * c - b * b) AS y
+      FROM (SELECT "{own}", sum(x * x) + 0.1::DOUBLE * count(*) AS a, sum(x * y) AS b, sum(y * y) + 0.1::DOUBLE * count(*) AS c,
+            sum(x * e) AS p, sum(y * e) AS q FROM E JOIN {vectors} USING ("{other}") GROUP BY 1))"""
+
+
+def _start(place: int) -> str:
+    return f"""(('0x' || substr(md5("productId" || '|{place}|42'), 1, 15))::BIGINT / pow(16.0::DOUBLE, 15)
+        - 0.5::DOUBLE) / sqrt(2.0::DOUBLE)"""
+
+
+@query("factor_predictions_rank_2", f"""SELECT * FROM (WITH E AS (
+      SELECT CR."userId", CR."productId", rating, user_offset + item_offset + (SELECT mu FROM MU) AS base,
+      rating - (SELECT mu FROM MU) - user_offset - item_offset AS e FROM CR
+      JOIN ITEMOFF ON CR."productId" = ITEMOFF."productId" JOIN USEROFF ON CR."userId" = USEROFF."userId"),
+    I0 AS (SELECT "productId", {_start(0)} AS x, {_start(1)} AS y FROM (SELECT DISTINCT "productId" FROM CR)),
+    {_half_round("U1", "userId", "productId", "I0")}, {_half_round("I1", "productId", "userId", "U1")},
+    {_half_round("U2", "userId", "productId", "I1")}, {_half_round("I2", "productId", "userId", "U2")}
+    SELECT "userId", "productId", rating,
+    {rnd('least(greatest(base + U2.x * I2.x + U2.y * I2.y, 1.0), 5.0)', 6)} AS prediction
+    FROM E JOIN U2 USING ("userId") JOIN I2 USING ("productId"))""", "CR", "MU", "ITEMOFF", "USEROFF")
+def _(spark, d):
+    ratings = T.cleaned_ratings(spark, d).drop("timestamp")
+    model = factors.fit_factors(ratings, rank=2, max_iter=2, reg=0.1, keep=stage)
+    return factors.predict_factors(ratings, model).withColumn("prediction", S.half_even("prediction", 6))
+
 
 _models: dict = {}
 

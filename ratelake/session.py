@@ -59,7 +59,18 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the files of a table that ``stage`` returned and nothing reads any more; other tables stay as they are."""
+    path = getattr(df, "_staged_at", None)
+    if path:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 # A table of at most this many short rows may be sent to every executor.
