@@ -83,14 +83,17 @@ def prepare_all(ratings: DataFrame, products: DataFrame, root: str, enrichment:
     return tables.load_cleaned(ratings.sparkSession, root)
 
 
-def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: int = 500) -> dict:
-    """The four feature tables and the registry, from stored cleaned tables; published in one step."""
+def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: int = 500, buckets: int | None = None) -> dict:
+    """The four feature tables and the registry, from stored cleaned tables; published in one step.
+
+    With ``buckets``, users and interactions are stored by user, so that training sets join them without a shuffle.
+    """
     spark, folders = ratings.sparkSession, {}
 
     def write(name, df):
-        folders[name] = tables.write_folder(
-            tables.feature_columns(name, df) if name in tables.FEATURE_SETS else df, root, name)
-        return spark.read.parquet(folders[name])
+        folders[name] = (tables.write_feature_folder(df, root, name, buckets) if name in tables.FEATURE_SETS
+                         else tables.write_folder(df, root, name))
+        return tables.read_folder(spark, folders[name])
 
     def items_and_interactions():
         base = stage(features.item_base(ratings, products), "item_base")
@@ -100,7 +103,7 @@ def build_features(ratings: DataFrame, products: DataFrame, root: str, top_n: in
     _together(items_and_interactions,
               lambda: write("user_features", features.user_features(ratings, products)),
               lambda: write("cooccurrence", features.cooccurrence(ratings, top_n)))
-    stored = {name: spark.read.parquet(folders[name]) for name in tables.FEATURE_SETS}
+    stored = {name: tables.read_folder(spark, folders[name]) for name in tables.FEATURE_SETS}
     _together(lambda: write("feature_registry", tables.feature_registry(stored)),
               lambda: write("feature_totals", tables.registry_totals(stored)))
     tables.publish(spark, root, folders)

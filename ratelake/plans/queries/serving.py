@@ -6,6 +6,8 @@ from ratelake.operators import catalog, explore, store
 from ratelake.plans import tables as T
 from ratelake.plans.registry import query
 from ratelake.plans.sql import rnd
+from ratelake.session import scratch_path
+from ratelake.sources import tables as stored
 
 _TRAIN = """SELECT INTER."userId", INTER."productId", rating, rating_normalized, days_since_epoch,
     user_item_rating_diff, user_rating_count, user_avg_rating, user_rating_std, user_unique_items,
@@ -21,6 +23,16 @@ def _(spark, d):
                               T.item_features(spark, d))
 
 
+@query("training_set_from_buckets", _TRAIN, "INTER", "UF", "IF")
+def _(spark, d):
+    root = scratch_path(spark, "features")
+    stored.write_features({"user_features": T.user_features(spark, d), "item_features": T.item_features(spark, d),
+                           "interaction_features": T.interaction_features(spark, d)}, root, buckets=8)
+    users, items, interactions = (stored.read_table(spark, root, f"{name}_features")
+                                  for name in ("user", "item", "interaction"))
+    return store.training_set(interactions, users, items)
+
+
 _PLACE = """('0x' || substr(md5("userId" || '|' || "productId" || '|42'), 1, 15))::BIGINT"""
 
 

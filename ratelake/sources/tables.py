@@ -7,6 +7,7 @@ Logs (audit, runs, versions) are one commit file per row, so writers at the same
 """
 
 import hashlib
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -18,6 +19,8 @@ from ratelake.sources import commits
 from ratelake.sources.raw import checksum_columns
 
 FEATURE_SETS = tuple(schemas.FEATURE_TABLES)
+# The key that training sets join the two large tables on.
+BUCKET_KEYS = {"user_features": "userId", "interaction_features": "userId"}
 LOGS = {"audit": schemas.AUDIT, "runs": schemas.RUNS, "feature_versions": schemas.VERSIONS}
 
 
@@ -25,13 +28,44 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def write_folder(df: DataFrame, root: str, name: str) -> str:
-    """Write a new folder for ``name``; readers see it once it is published."""
+def write_folder(df: DataFrame, root: str, name: str, key: str | None = None, buckets: int | None = None) -> str:
+    """Write a new folder for ``name``; readers see it once it is published.
+
+    With ``key`` and ``buckets`` the rows are hashed by the key into that many files, and the folder's name says so: tables with
+    the same key and number of buckets join on the key without a shuffle.  Rows without a key share a bucket.
+    """
     path = f"{root}/{name}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if not buckets:
+        df.write.parquet(path)
+        return path
+    path = f"{path}-{buckets}-{key}"
+    # Spark writes buckets to tables only; this one is dropped again, and its files stay.
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path) \
+        .saveAsTable(_table_name(path))
+    df.sparkSession.sql(f"DROP TABLE {_table_name(path)}")
     return path
 
 
+BUCKETED = re.compile(r"/([0-9a-f]{32})-([0-9]+)-(\w+)$")
+
+
+def _table_name(path: str) -> str:
+    return f"ratelake_{BUCKETED.search(path).group(1)}"
+
+
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of ``write_folder``; one in buckets is made known to the session's catalog, so that any session sees its buckets."""
+    plain = spark.read.parquet(path)
+    found = BUCKETED.search(path)
+    if not found:
+        return plain
+    _, buckets, key = found.groups()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(path)} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+              f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(_table_name(path))
+
+
 def publish(spark: SparkSession, root: str, folders: dict) -> None:
     """Let the names stand for these folders, all of them in one step; other names stay."""
     new = {name: path[len(root) + 1:] for name, path in folders.items()}
@@ -82,7 +116,7 @@ def read_table(spark: SparkSession, root: str, name: str, schema=None) -> DataFr
         return read_log(spark, root, name)
     folder = commits.newest(spark, f"{root}/_tables").get(name, name)
     try:
-        return spark.read.parquet(f"{root}/{folder}")
+        return read_folder(spark, f"{root}/{folder}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -110,14 +144,17 @@ def feature_columns(name: str, df: DataFrame) -> DataFrame:
         c for c in schemas.ITEM_ENRICHED_COLUMNS if name == "item_features" and c in df.columns])
 
 
-def write_features(tables: dict, root: str) -> dict:
-    """Replace the feature tables, all in one step."""
-    return write_tables({name: feature_columns(name, df) for name, df in tables.items()}, root)
+def write_feature_folder(df: DataFrame, root: str, name: str, buckets: int | None = None) -> str:
+    """A feature table's folder; with ``buckets``, tables of users and of interactions lie in that many by user."""
+    key = BUCKET_KEYS.get(name)
+    return write_folder(feature_columns(name, df), root, name, key, buckets if key else None)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A feature table bucketed by its join key, so that later joins on it need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_features(tables: dict, root: str, buckets: int | None = None) -> dict:
+    """Replace the feature tables, all in one step."""
+    folders = {name: write_feature_folder(df, root, name, buckets) for name, df in tables.items()}
+    publish(next(iter(tables.values())).sparkSession, root, folders)
+    return folders
 
 
 def read_features(spark: SparkSession, root: str) -> dict:

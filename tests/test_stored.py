@@ -2,10 +2,11 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratelake import schemas
-from ratelake.operators import ingest
-from ratelake.plans import batch
+from ratelake.operators import ingest, store
+from ratelake.plans import batch, tables as T
 from ratelake.session import shared_folder
 from ratelake.sources import raw, snapshots, tables, views
 from ratelake.streaming import incremental
@@ -116,19 +117,33 @@ def test_cleaned_tables_from_csv(spark, tmp_path, rows):
         tables.load_cleaned(spark, str(tmp_path / "none"))
 
 
-def test_bucketed_join_needs_no_shuffle(spark):
-    a = spark.range(100).selectExpr("cast(id as string) as userId", "id as x")
-    tables.save_bucketed(a, "bucketed_a", "userId", 4)
-    tables.save_bucketed(a, "bucketed_b", "userId", 4)
+def test_training_set_from_buckets_shuffles_by_item_only(spark, tmp_path, rows):
+    """Users and interactions in buckets meet without a shuffle, in a catalog that never saw them too."""
+    folder, root, plain = FOLDER, str(tmp_path / "buckets"), str(tmp_path / "plain")
+    built = {name: getattr(T, name)(spark, folder) for name in ("user_features", "item_features", "interaction_features")}
+    # Unknown users and rows without one are no match, but stay.
+    odd = built["interaction_features"].limit(2).withColumn("userId", F.lit(None).cast("string"))
+    built["interaction_features"] = built["interaction_features"].unionByName(odd)
+    folders = tables.write_features(built, root, buckets=4)
+    tables.write_features(built, plain)
+    assert spark.catalog.tableExists(tables._table_name(folders["user_features"])) is False
+
+    def training(where):
+        users, items, interactions = (tables.read_table(spark, where, f"{n}_features") for n in ("user", "item", "interaction"))
+        return store.training_set(interactions, users, items)
+
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = spark.table("bucketed_a").join(spark.table("bucketed_b"), "userId")._jdf.queryExecution() \
-            .executedPlan().toString()
+        plans = [training(where)._jdf.queryExecution().executedPlan().toString() for where in (root, plain)]
+        found = rows(training(root))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Exchange" not in plan
-    spark.sql("drop table bucketed_a")
-    spark.sql("drop table bucketed_b")
+    assert "hashpartitioning(userId" in plans[1] and "hashpartitioning(userId" not in plans[0]
+    assert "hashpartitioning(productId" in plans[0]
+    assert found == rows(training(plain)) and len(found) == built["interaction_features"].count()
+    # A new set replaces the old one, in other buckets.
+    tables.write_features({"user_features": built["user_features"].limit(3)}, root, buckets=2)
+    assert tables.read_table(spark, root, "user_features").count() == 3
 
 
 def test_top_users_counted_before_cleaning(spark, rows):
