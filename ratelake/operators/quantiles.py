@@ -2,10 +2,12 @@
 
 Quantiles go down digit by digit: rows are counted by the leading digits of their value, and
 only the cells that hold a wanted rank are looked into again, until a cell is small enough to be sorted.  Dense
-ranks cut the sorted order at places that follow the values themselves.  A narrow range, a wide one or infinite values make
+ranks are counted range by range.  A narrow range, a wide one or infinite values make
 no difference, and copies of a value weigh one row however many there are.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ratelake.functions.scalar import as_col
@@ -15,8 +17,6 @@ from ratelake.session import stage
 CELLS = 16
 #: Cells that a range is cut into from the second level on, and rows of a cell that need no further level.
 PARTS, SORTED_ROWS = 1024, 50_000
-#: Borders that are compared at a time.
-RUN = 16
 
 
 def leading_cell(v: Column) -> Column:
@@ -133,39 +133,26 @@ def exact_quantiles(df: DataFrame, value, probabilities: dict, keys=(), weight=N
     return out.select(*keys, *shares)
 
 
-def _with_heads(borders) -> Column:
-    """Sorted borders beside every ``RUN``-th of them."""
-    return F.struct(F.col(borders).alias("all"), F.filter(borders, lambda _, i: (i + 1) % RUN == 0).alias("heads"))
-
-
-def _cell(value, borders: Column) -> Column:
-    """How many of the borders are at or below ``value``: first among the heads, then in one run."""
-    upto = lambda b: b <= value
-    runs = F.size(F.filter(borders["heads"], upto))
-    return runs * RUN + F.size(F.filter(F.slice(borders["all"], runs * RUN + 1, F.lit(RUN - 1)), upto))
-
-
 def dense_index(values: DataFrame, column: str, index: str = "index", cell_rows: int = 100_000,
-                sample_rows: int = 1 << 14) -> DataFrame:
-    """Position of each value in the sorted order of distinct ``values`` (from 0).
+                group_cells: int = 1000) -> DataFrame:
+    """Position of each value in the sorted order of distinct ``values`` (from 0); null comes first.
 
-    The values are written once.  A small hash-ordered sample gives the cell borders, so cells are even for
-    any distribution and the same on every run; a cell holds about ``cell_rows`` values, up to
-    ``sample_rows / 16`` cells.
+    Values are written in ranges of about ``cell_rows``, however many there are, and ranked range by range.  Where a
+    range starts is added up in two steps, over ``group_cells`` ranges and over the groups.  Positions do not depend on
+    where the ranges are cut.
     """
-    v = F.col(column)
     values = stage(values.select(column), "values")
-    wanted = F.least(F.ceil(values.select(F.count(F.lit(1))).scalar() / F.lit(cell_rows)), F.lit(sample_rows // 16))
-    sample = (values.orderBy(F.xxhash64(v), v).limit(sample_rows).agg(F.sort_array(F.collect_list(v)).alias("s"))
-              .withColumn("step", F.greatest(F.ceil(F.size("s") / F.greatest(wanted, F.lit(1))), F.lit(1)).cast("int"))
-              .select(F.filter("s", lambda x, i: (i > 0) & (i % F.col("step") == 0)).alias("b")))
-    borders = sample.select(_with_heads("b").alias("b")).scalar()
-    placed = values.withColumn("b", borders).select(column, _cell(v, F.col("b")).alias("cell"))
-    offsets = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_n"))
-               .select("cell", F.coalesce(
-                   F.sum("cell_n").over(Window.orderBy("cell").rowsBetween(
-                       Window.unboundedPreceding, -1)), F.lit(0)).alias("before")))
+    cells = max(1, math.ceil(values.count() / cell_rows))
+    # Written, so that a range keeps its number when a task runs again.
+    placed = stage(values.repartitionByRange(cells, column).withColumn("cell", F.spark_partition_id()), "ranges")
+    counts = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("group", F.floor(F.col("cell") / group_cells)))
+    until = Window.rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.groupBy("group").agg(F.sum("n").alias("n"))
+    groups = totals.select("group", F.coalesce(F.sum("n").over(until.orderBy("group")), F.lit(0)).alias("before_group"))
+    offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(
+        until.partitionBy("group").orderBy("cell")), F.lit(0))).join(groups, "group").select(
+        "cell", (F.col("before") + F.col("before_group")).alias("before"))
     local = F.row_number().over(Window.partitionBy("cell").orderBy(column))
-    # At most one row per cell border, so this side is small by construction.
-    return (placed.withColumn("local", local).join(F.broadcast(offsets), "cell")
-            .select(column, (F.col("before") + F.col("local") - 1).cast("bigint").alias(index)))
+    return placed.withColumn("local", local).join(offsets, "cell").select(
+        column, (F.col("before") + F.col("local") - 1).cast("bigint").alias(index))

@@ -172,8 +172,18 @@ def test_dense_index(spark):
     words = ["Video > %05d" % (i * 37 % 5000) for i in range(5000)] + ["Ärger", "a", "Z", ""]
     df = spark.createDataFrame([(w,) for w in words], "v string").repartition(6)
     want = {w: i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
-    for size in (100_000, 1000, 7):
-        assert {r["v"]: r["index"] for r in dense_index(df, "v", cell_rows=size, sample_rows=4096).collect()} == want
+    for size, group in ((100_000, 1000), (1000, 1000), (200, 3), (7, 50)):
+        assert {r["v"]: r["index"] for r in dense_index(df, "v", cell_rows=size, group_cells=group).collect()} == want
+
+
+def test_dense_index_has_as_many_ranges_as_the_rows_need(spark, rows):
+    """More than a thousand ranges, none of them large; null first; nothing of nothing."""
+    ids = spark.range(30_000).select(F.concat(F.lit("id"), "id").alias("v"))
+    indexed = dense_index(ids, "v", cell_rows=20)
+    assert rows(indexed) == [(v, i) for i, v in enumerate(sorted(f"id{i}" for i in range(30_000)))]
+    odd = spark.createDataFrame([(None,), ("b",), ("",)], "v string")
+    assert rows(dense_index(odd, "v", cell_rows=1)) == [(None, 0), ("", 1), ("b", 2)]
+    assert dense_index(odd.limit(0), "v").count() == 0
 
 
 def test_quantiles_shuffle_few_rows(spark):

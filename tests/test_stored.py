@@ -86,7 +86,7 @@ def test_batch_from_files_to_features(spark, tmp_path):
     results = batch.validate(got["ratings"], got["products"], root)
     assert results.count() == 12 + 18
     cleaned, catalog = batch.prepare_all(got["ratings"], got["products"], root, enrich=True)
-    stored = batch.build_features(cleaned, catalog, root, top_n=50)
+    stored = batch.build_features(cleaned, catalog, root, top_n=50, buckets=3)
     assert stored["interaction_features"].count() == cleaned.count()
     assert stored["user_features"].columns == schemas.USER_FEATURES.names
     assert stored["item_features"].columns == schemas.ITEM_FEATURES.names + list(schemas.ITEM_ENRICHED_COLUMNS)
