@@ -102,7 +102,7 @@ def _(spark, d):
 @query("price_histogram", _histogram_sql(
     "SELECT price AS x FROM CP WHERE price < (SELECT quantile_cont(price, 0.95) FROM CP)", 40), "CP")
 def _(spark, d):
-    products = T.cleaned_products(spark, d)
+    products = T.product_facts(spark, d)
     return explore.price_histogram(products)
 
 
@@ -114,19 +114,19 @@ def _(spark, d):
 @query("prices_below_p95", """SELECT "productId", price FROM CP
     WHERE price < (SELECT quantile_cont(price, 0.95) FROM CP)""", "CP")
 def _(spark, d):
-    return explore.below_p95(T.cleaned_products(spark, d).select("productId", "price"))
+    return explore.below_p95(T.product_facts(spark, d).select("productId", "price"))
 
 
 @query("top_product_categories", """SELECT category, count(*) AS n FROM CP GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
        "CP")
 def _(spark, d):
-    return quality.top_values(T.cleaned_products(spark, d), "category", 15)
+    return quality.top_values(T.product_facts(spark, d), "category", 15)
 
 
 @query("ratings_with_product", """SELECT "userId", CR."productId", rating, price, category, brand FROM CR
     LEFT JOIN CP ON CR."productId" = CP."productId" """, "CR", "CP")
 def _(spark, d):
-    return explore.with_product(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d)).drop("timestamp")
+    return explore.with_product(T.cleaned_ratings(spark, d), T.product_facts(spark, d)).drop("timestamp")
 
 
 _SPREAD = "(p_partkey * 7 % 271)::DOUBLE"
@@ -166,13 +166,13 @@ _CATEGORY = f"""SELECT category, {rnd('avg(rating)', 4)} AS avg_rating, count(ra
 
 @query("category_ratings", _CATEGORY, "CR", "CP")
 def _(spark, d):
-    return explore.category_ratings(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d))
+    return explore.category_ratings(T.cleaned_ratings(spark, d), T.product_facts(spark, d))
 
 
 @query("best_rated_categories", f"SELECT * FROM ({_CATEGORY}) WHERE n >= 100 ORDER BY avg_rating DESC, category LIMIT 10",
        "CR", "CP")
 def _(spark, d):
-    return explore.best_categories(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d))
+    return explore.best_categories(T.cleaned_ratings(spark, d), T.product_facts(spark, d))
 
 
 def _top_sql(key, name, n=200):

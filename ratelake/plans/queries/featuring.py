@@ -10,18 +10,18 @@ from ratelake.sources import tables as stored, views
 
 @query("user_features", "SELECT * FROM UF", "UF")
 def user_features(spark, d):
-    return features.user_features(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d))
+    return features.user_features(T.cleaned_ratings(spark, d), T.product_facts(spark, d))
 
 
 @query("user_category_diversity", 'SELECT "userId", user_category_diversity FROM DIVERSITY', "DIVERSITY")
 def _(spark, d):
-    return features.category_diversity(T.cleaned_ratings(spark, d), T.cleaned_products(spark, d))
+    return features.category_diversity(T.cleaned_ratings(spark, d), T.product_facts(spark, d))
 
 
 @query("item_features", 'SELECT * FROM "IF"', "IF")
 def _(spark, d):
     base = T.once(spark, d, "item_base", lambda: features.item_base(
-        T.cleaned_ratings(spark, d), T.cleaned_products(spark, d)))
+        T.cleaned_ratings(spark, d), T.product_facts(spark, d)))
     return features.encode_items(base)
 
 
@@ -39,7 +39,7 @@ def _(spark, d):
     category, brand FROM IB""", "IB")
 def _(spark, d):
     return features.round_doubles(features.item_base(
-        T.cleaned_ratings(spark, d), T.cleaned_products(spark, d)))
+        T.cleaned_ratings(spark, d), T.product_facts(spark, d)))
 
 
 @query("interaction_features", "SELECT * FROM INTER", "INTER")
@@ -85,7 +85,7 @@ def _(spark, d):
 @query("price_scaling", f"""SELECT "productId", {rnd('(price - lo) / nullif(hi - lo, 0)', 4)} AS price_normalized
     FROM CP, (SELECT min(price) AS lo, max(price) AS hi FROM CP)""", "CP")
 def _(spark, d):
-    return features.scale_min_max(T.cleaned_products(spark, d), "price", "price_normalized") \
+    return features.scale_min_max(T.product_facts(spark, d), "price", "price_normalized") \
         .select("productId", "price_normalized")
 
 
@@ -101,7 +101,7 @@ def _(spark, d):
     ON CR."productId" = CP."productId" """, "CR", "CP")
 def _(spark, d):
     return T.cleaned_ratings(spark, d).select("userId", "productId").join(
-        T.cleaned_products(spark, d).select("productId", "category"), "productId", "left")
+        T.product_facts(spark, d).select("productId", "category"), "productId", "left")
 
 
 @query("popular_items_500", """SELECT "productId", count(*) AS n_ratings FROM CR GROUP BY 1
