@@ -40,3 +40,15 @@ def test_enriched_products_move_their_texts_once(spark, tmp_path, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Parts, texts, lines and orders move once each, and the sums of ratings; the described products not again.
     assert plan.count("Exchange hashpartitioning(") == 5, plan
+
+
+def test_given_items_search_alone_and_find_the_same(spark, rows):
+    from ratelake.operators import content
+    vectors = spark.createDataFrame(
+        [(f"p{i:02}", [i % 3, 3 + i % 4], [0.6, 0.8]) for i in range(24)], "productId string, terms array<int>, weights array<double>")
+    whole = rows(content.similar_items(vectors, 5, span=8))
+    # "p13" has the vector of "p01", which searches for it.
+    for wanted in (["p13", "p05", "none"], ["none"]):
+        assert rows(content.similar_items(vectors, 5, only=wanted, span=8)) == [r for r in whole if r[0] in wanted]
+    _, members = content.neighbour_search(vectors, 5, only=["p13"], span=8)
+    assert rows(members) == [("p13", "p01")]
