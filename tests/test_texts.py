@@ -52,3 +52,16 @@ def test_given_items_search_alone_and_find_the_same(spark, rows):
         assert rows(content.similar_items(vectors, 5, only=wanted, span=8)) == [r for r in whole if r[0] in wanted]
     _, members = content.neighbour_search(vectors, 5, only=["p13"], span=8)
     assert rows(members) == [("p13", "p01")]
+
+
+def test_rating_lines_are_written_compressed(spark, tmp_path):
+    import glob
+    from ratelake.plans.queries import sourcing
+    folder = folder_of(spark, tmp_path)
+    spark.read.parquet(f"{folder}/lineitem.parquet").selectExpr("*", "'R' AS l_returnflag") \
+        .write.parquet(f"{folder}/flagged/lineitem.parquet")
+    spark.read.parquet(f"{folder}/orders.parquet").write.parquet(f"{folder}/flagged/orders.parquet")
+    path = sourcing._raw_rating_lines(spark, f"{folder}/flagged")
+    files = glob.glob(f"{path.removeprefix('file://')}/part-*")
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    assert spark.read.text(path).count() == 3
