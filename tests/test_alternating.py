@@ -5,10 +5,12 @@ import itertools
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ratelake import session
+from ratelake.functions import solving
 from ratelake.operators import alternating, factors, ranking
 from ratelake.plans import tables as T
 from ratelake.plans.queries import QUERIES
@@ -199,3 +201,28 @@ def test_superseded_rounds_leave_no_files(spark, data, tmp_path, monkeypatch):
     assert len(os.listdir(tmp_path / "ratelake")) == 2
     session.drop_staged(spark.range(3))  # no staged table: nothing happens
     assert all(table.count() for table in found)
+
+
+def test_keys_with_few_ratings_are_solved_together(monkeypatch):
+    rng, rank, reg = np.random.default_rng(3), 8, 0.1
+    pairs = sorted({(int(k), int(o)) for k, o in zip(rng.integers(0, 2000, 6000), rng.integers(0, 500, 6000))})
+    own, other = zip(*pairs)
+    weight, total = rng.integers(1, 4, len(pairs)).astype(float), rng.normal(size=len(pairs))
+    block = solving.pack()(pa.table({
+        "block": [0] * len(pairs), "own": [f"{k:05d}" for k in own], "other": [f"{o:05d}" for o in other],
+        "split": [False] * len(pairs), "weight": weight, "total": total}))
+    names = sorted({f"{o:05d}" for o in other})
+    vectors = rng.normal(size=(len(names), rank))
+    sent = pa.table({"key": names, "vector": [list(v) for v in vectors]})
+    calls, solve = [], np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: calls.append(len(a)) or solve(a, b))
+    found = solving.block_step([(rank, reg)])(block, sent)
+    # One call for each number of ratings, and one for the keys with as many as the rank.
+    assert len(calls) <= rank and len(found) == len(set(own))
+    got = dict(zip(found["key"].to_pylist(), found["vector"].to_pylist()))
+    at = {name: i for i, name in enumerate(names)}
+    for key in list(sorted(set(own)))[::50]:
+        rows = [i for i, k in enumerate(own) if k == key]
+        seen = vectors[[at[f"{other[i]:05d}"] for i in rows]]
+        gram = seen.T @ (seen * weight[rows][:, None]) + reg * weight[rows].sum() * np.eye(rank)
+        np.testing.assert_allclose(got[f"{key:05d}"], solve(gram, total[rows] @ seen), rtol=1e-8, atol=1e-10)
