@@ -223,6 +223,28 @@ def test_spans_out_of_reach_are_not_searched(spark):
     assert spans >= 30 and made["copies"].count() < 0.25 * 3000 * spans
 
 
+def test_equal_vectors_are_one_item_of_a_span(spark):
+    """Copies are not searched one by one, ids of vectors that tie mix in the result, and little more than the best is scored."""
+    root = 0.5 ** 0.5
+    kinds = [([0], [1.0])] + [([0, t], [root, root]) for t in range(1, 40)]
+    rows = [(f"i{n:04d}", *kinds[n * 7 % 40]) for n in range(1200)]
+    vectors = stage(spark.createDataFrame(rows, content.VECTOR), "vectors")
+    made, kept = {}, content.stage
+    try:
+        content.stage = lambda df, name: made.setdefault(name, kept(df, name))
+        found = content.similar_items(vectors, 35).collect()
+        scored = content.neighbour_search(vectors, 2)[0].agg({"scored": "sum"}).first()[0]
+    finally:
+        content.stage = kept
+    assert made["items"].count() == 40 and scored <= 40 * 40
+    data = {i: dict(zip(t, w)) for i, t, w in rows}
+    for item in ("i0000", "i0001", "i0040", "i1199"):
+        near = sorted((-float(np.rint(sum(w * y[t] for t, w in data[item].items() if t in y) * 1e6) / 1e6), b)
+                      for b, y in data.items() if b != item)
+        got = sorted((r.rank, r.other_productId, r.similarity) for r in found if r.productId == item)
+        assert got == [(k + 1, b, -s) for k, (s, b) in enumerate(near[:35])]
+
+
 def test_similar_items_of_nothing(spark):
     none = spark.createDataFrame([], content.VECTOR)
     assert content.similar_items(none).count() == 0
