@@ -1,10 +1,13 @@
 """Reads from the feature tables."""
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratelake import schemas
 from ratelake.functions import scalar as S
 from ratelake.operators.quantiles import exact_quantiles
+from ratelake.session import stage
 
 TRAINING_COLUMNS = (
     "userId", "productId", "rating", "rating_normalized", "days_since_epoch", "user_item_rating_diff",
@@ -50,15 +53,33 @@ def training_set(interactions: DataFrame, users: DataFrame, items: DataFrame,
 def exact_sample(df: DataFrame, fraction: float, keys, seed: int = 42, cells: int = 1 << 18) -> DataFrame:
     """``round(fraction * n)`` rows in the order of a seeded MD5 of ``keys``, which SQL can repeat.
 
-    Hash cells that lie wholly below the cut are kept by a filter; only the one
-    cell holding the cut is ranked.  ``keys`` must identify a row.
+    The hashes of different keys lie evenly, so the cut is near its share of them: one scan hashes the rows and writes those up
+    to a little beyond, and only the few near the cut are ranked.  Where keys repeat so often that the counts tell
+    otherwise, hash cells are counted first.  ``keys`` must identify a row.
+    """
+    n = df.count()
+    # Half to even, as Python rounds the sample size.
+    want = round(float(fraction) * n)
+    marked = df.withColumn("_h", S.hash_place(keys, seed))
+    slack = 8 * math.sqrt(want * max(n - want, 0) / max(n, 1)) + 64
+    low, high = (int(min(max(end / max(n, 1), 0.0), 1.0) * 16 ** 15) for end in (want - slack, want + slack))
+    near = stage(marked.where(F.col("_h") < high), "near_sample")
+    below, upto = near.agg(F.count_if(F.col("_h") < low), F.count(F.lit(1))).first()
+    if not (below <= want <= upto and upto - below <= 4 * slack):
+        return _sample_by_cells(marked, want, keys, cells).select(*df.columns)
+    rank = F.row_number().over(Window.orderBy("_h", *keys))
+    part = near.where(F.col("_h") >= low).withColumn("_n", rank).where(F.col("_n") <= want - below).drop("_n")
+    return near.where(F.col("_h") < low).unionByName(part).select(*df.columns)
+
+
+def _sample_by_cells(marked: DataFrame, want: int, keys, cells: int) -> DataFrame:
+    """The ``want`` first rows by ``_h``, whatever lies how close.
+
+    Hash cells that lie wholly below the cut are kept by a filter; only the one cell holding the cut is ranked.
     """
-    marked = df.withColumn("_h", S.hash_place(keys, seed)) \
-        .withColumn("_cell", F.expr(f"_h div {16 ** 15 // cells}"))
+    marked = marked.withColumn("_cell", F.expr(f"_h div {16 ** 15 // cells}"))
     sizes = marked.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
-    # Half to even, as Python rounds the sample size.
-    want = F.rint(F.lit(float(fraction)) * df.select(F.count(F.lit(1)).cast("double")).scalar())
     cut = (sizes.select("_cell", upto.alias("upto"), "n").where(F.col("upto") > want)
            .agg(F.min("_cell").alias("cell"), F.min(F.col("upto") - F.col("n")).alias("before"))
            .select(F.struct("cell", "before").alias("v")).scalar())
@@ -66,7 +87,7 @@ def exact_sample(df: DataFrame, fraction: float, keys, seed: int = 42, cells: in
     rank = F.row_number().over(Window.orderBy("_h", *keys))
     part = (marked.where(F.col("_cell") == cut["cell"]).withColumn("_n", rank)
             .where(F.col("_n") <= want - cut["before"]).drop("_n"))
-    return whole.unionByName(part).select(*df.columns)
+    return whole.unionByName(part)
 
 
 def inference_features(users: DataFrame, items: DataFrame, user_id: str, candidates=None,

@@ -1,7 +1,9 @@
+import hashlib
 from collections import Counter
 from itertools import permutations
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratelake import schemas
 from ratelake.operators import explore, features, store
@@ -111,6 +113,34 @@ def test_exact_sample(spark, fraction):
     assert fraction in (0.0, 0.001) or sorted(first) != sorted(store.exact_sample(df, fraction, ["id"], 43).collect())
 
 
+def hash_order(rows, seed=42):
+    return sorted(rows, key=lambda r: (int(hashlib.md5(f"{r[0]}|{seed}".encode()).hexdigest()[:15], 16), r[0]))
+
+
+def test_exact_sample_hashes_each_row_once(spark):
+    """The hashes are worked out in one scan that keeps little more than the sample; later steps read them."""
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("k"))
+    found = store.exact_sample(df, 0.25, ["k"])
+    assert "md5" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert sorted(r[0] for r in found.collect()) == sorted(r[0] for r in hash_order(df.collect())[:5000])
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 0.9, 0.9999])
+def test_exact_sample_of_repeated_keys(spark, fraction):
+    """A key that holds most rows moves the cut far from its share, or is cut itself."""
+    rows = [("hot",)] * 6000 + [(str(i),) for i in range(3000)] + [("",), ("",)]
+    df = spark.createDataFrame(rows, "k string")
+    got = store.exact_sample(df, fraction, ["k"]).collect()
+    assert Counter(r[0] for r in got) == Counter(r[0] for r in hash_order(rows)[:round(fraction * len(rows))])
+
+
+def test_exact_sample_of_nothing(spark):
+    none = spark.createDataFrame([], "k string, v double")
+    assert store.exact_sample(none, 0.25, ["k"]).collect() == []
+    one = spark.createDataFrame([(None, 1.0)], "k string, v double")
+    assert store.exact_sample(one, 0.25, ["k"]).collect() == [] and store.exact_sample(one, 0.75, ["k"]).count() == 1
+
+
 def test_describe_rejects_unknown_table():
     with pytest.raises(ValueError):
         store.describe_table({}, "nope")
