@@ -1,5 +1,9 @@
 """Product texts move no more often than a step reads them."""
 
+import statistics
+
+from pyspark.sql import functions as F
+
 from ratelake.operators import prepare
 from ratelake.plans import tables as T
 from ratelake.sources import views
@@ -65,3 +69,26 @@ def test_rating_lines_are_written_compressed(spark, tmp_path):
     files = glob.glob(f"{path.removeprefix('file://')}/part-*")
     assert files and all(f.endswith(".txt.gz") for f in files)
     assert spark.read.text(path).count() == 3
+
+
+def test_prices_are_imputed_from_two_runs_of_the_source(spark):
+    """The counts behind the medians read two written columns, not whatever makes the products."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(c):
+        made.add(1)
+        return c
+
+    data = [(str(i), float(i * 37 % 1000) if i % 3 else None, f"c{i % 4}" if i % 7 else None) for i in range(2000)]
+    source = spark.createDataFrame(data, "productId string, price double, category string")
+    products = source.withColumn("category", F.udf(seen, "string")("category"))
+    got = {r["productId"]: r["price"] for r in prepare.impute_prices(products).collect()}
+    assert made.value <= 2 * len(data)
+    known = {}
+    for _, price, category in data:
+        if price is not None:
+            known.setdefault(category, []).append(price)
+    medians = {c: statistics.median(v) for c, v in known.items() if c is not None}
+    column = [p if p is not None else medians.get(c) for _, p, c in data]
+    overall = statistics.median(p for p in column if p is not None)
+    assert got == {k: p if p is not None else medians.get(c, overall) for k, p, c in data}
