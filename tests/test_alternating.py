@@ -226,3 +226,53 @@ def test_keys_with_few_ratings_are_solved_together(monkeypatch):
         seen = vectors[[at[f"{other[i]:05d}"] for i in rows]]
         gram = seen.T @ (seen * weight[rows][:, None]) + reg * weight[rows].sum() * np.eye(rank)
         np.testing.assert_allclose(got[f"{key:05d}"], solve(gram, total[rows] @ seen), rtol=1e-8, atol=1e-10)
+
+
+def test_vectors_travel_packed_by_block(spark, data, monkeypatch):
+    """A half round sends one row for each pair of blocks; vectors of spread keys come from blocks of their own."""
+    monkeypatch.setattr(alternating, "CUT_KEYS", 3)
+    fits = [(2, 0.1), (3, 0.5)]
+    pairs = stage(alternating.pair_sums(spark.createDataFrame(data, RESIDUAL)))
+    n = pairs.count()
+    users, items = alternating.Side(pairs, "user", "item", n, 60, fits), alternating.Side(pairs, "item", "user", n, 60, fits)
+    users.route(items)
+    items.route(users)
+    assert users.n_hot > 3 and items.n_hot > 3
+    start = stage(items.gathered(alternating.starts(pairs, fits, 42)))
+    for packed, side, other in ((start, items, users), (users.solve(start)[0], users, items)):
+        blocks = {r["block"] for r in packed.collect()}
+        assert max(blocks) > side.n_blocks  # more than one block of spread keys
+        sent = packed.mapInArrow(solving.messages(5), "target long, at binary, vectors binary").collect()
+        assert len(sent) <= len(blocks) * other.n_blocks < n
+        # Each block gets a vector for each of its keys, once.
+        places = {}
+        for r in sent:
+            places.setdefault(r["target"], []).extend(np.frombuffer(r["at"], np.int32).tolist())
+            assert len(r["vectors"]) == len(r["at"]) // 4 * 5 * 8
+        wanted = {r["block"]: r["n_other"] for r in other.packed.select("block", "n_other").collect()}
+        assert {b: sorted(at) for b, at in places.items()} == {b: list(range(k)) for b, k in wanted.items()}
+    found = alternating.alternate(spark.createDataFrame(data, RESIDUAL), fits, [3], block_rows=60)[3]
+    for (rank, reg), first in zip(fits, (0, 2)):
+        *_, plain = plain_solve(data, rank, reg, 3)
+        for got, want in zip(map(vectors, found), plain):
+            assert set(got) == set(want)
+            for key, vector in want.items():
+                assert got[key][first:first + rank] == pytest.approx(vector, abs=1e-8)
+
+
+def test_messages_are_cut_by_cells(monkeypatch):
+    monkeypatch.setattr(solving, "_SOLVE_CELLS", 12)
+    matrix, rng = np.arange(40.0).reshape(10, 4), np.random.default_rng(5)
+    takes = [rng.integers(0, 10, k).astype(np.int32) for k in (1, 2, 7, 1, 1, 1)]
+    packed = pa.table({"block": [0], "vectors": [matrix.tobytes()], "targets": [[10, 11, 12, 13, 14, 15]],
+                       "sizes": [[len(t) for t in takes]], "take": [np.concatenate(takes).tobytes()],
+                       "at": [np.arange(13, dtype=np.int32).tobytes()]}, schema=solving.PACKED)
+    sent = list(solving.messages(4)(packed.to_batches()))
+    assert len(sent) > 2
+    rows = [r for batch in sent for r in batch.to_pylist()]
+    assert [r["target"] for r in rows] == [10, 11, 12, 13, 14, 15]
+    first = 0
+    for r, take in zip(rows, takes):
+        assert np.frombuffer(r["at"], np.int32).tolist() == list(range(first, first + len(take)))
+        assert np.array_equal(np.frombuffer(r["vectors"]).reshape(-1, 4), matrix[take])
+        first += len(take)
