@@ -1,9 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from ratelake.functions import kernels
 from ratelake.operators import content, factors, ranking
 from ratelake.session import stage
 
@@ -223,6 +225,31 @@ def test_spans_out_of_reach_are_not_searched(spark):
     assert spans >= 30 and made["copies"].count() < 0.25 * 3000 * spans
 
 
+def test_a_row_in_reach_of_all_spans_is_given_once_and_in_batches():
+    n, spans, k = 4000, 60, 5
+    rng = np.random.default_rng(6)
+
+    def lists(values, length):
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(values) // length + 1, dtype=np.int32) * length), pa.array(values))
+
+    terms = np.sort(np.argsort(rng.random((n, 20)), axis=1)[:, :k], axis=1).astype(np.int32)
+    own, floors = rng.integers(0, spans, n), np.where(np.arange(n) % 100, 0.1, 9.0)
+    rows = pa.table({"is_zone": [False] * n, "span": own, "productId": [str(i) for i in range(n)], "terms": lists(terms.ravel(), k),
+                     "weights": lists(np.full(n * k, 0.4), k), "floor": floors})
+    zones = pa.table({"is_zone": [True] * spans, "span": np.arange(spans), "productId": pa.array([None] * spans, pa.string()),
+                      "terms": lists(np.tile(np.arange(20, dtype=np.int32), spans), 20),
+                      "weights": lists(np.ones(20 * spans), 20), "floor": np.zeros(spans)})
+    found = list(kernels.spans_in_reach()(iter(pa.concat_tables([rows, zones]).to_batches(max_chunksize=500))))
+    assert len(found) > 5 and max(batch.nbytes for batch in found) < pa.concat_tables([rows, zones]).nbytes
+    got = {r["productId"]: r for batch in found for r in batch.to_pylist()}
+    assert sum(batch.num_rows for batch in found) == len(got) == n - n // 100
+    for i in range(1, n, 37):
+        if i % 100:
+            r = got[str(i)]
+            assert sorted(r["spans"]) == [z for z in range(spans) if z != own[i]]
+            assert r["terms"] == terms[i].tolist() and r["floor"] == floors[i]
+
+
 def test_equal_vectors_are_one_item_of_a_span(spark):
     """Copies are not searched one by one, ids of vectors that tie mix in the result, and little more than the best is scored."""
     root = 0.5 ** 0.5
