@@ -268,6 +268,35 @@ def test_stream_with_repeats_late_files_and_restarts(spark, tmp_path, rows, monk
     assert sorted(r["line"] for r in spark.read.parquet(bad).collect()) == ["null", "{broken"]
 
 
+@pytest.mark.parametrize("before", [{}, {"spark.sql.streaming.stateStore.providerClass": incremental.STATE["spark.sql.streaming.stateStore.providerClass"]}])
+def test_digests_of_lines_are_state_on_disk(spark, tmp_path, rows, monkeypatch, before):
+    """In a session with Spark's default store too, which is left as it was; a stream begun with another goes on."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    was = spark.conf.get(name)
+    spark.conf.set(name, heap)
+    try:
+        def run(n, check, lines):
+            (tmp_path / "in").mkdir(exist_ok=True)
+            (tmp_path / "in" / f"{n}.json").write_text("\n".join(lines) + "\n")
+            incremental.ingest_new_ratings(spark, str(tmp_path / "in"), str(tmp_path / f"out {check}"), str(tmp_path / check),
+                                           repeats_within="7 days")
+            return rows(incremental.read_ingested(spark, str(tmp_path / f"out {check}")), "userId")
+
+        line = [_rating("u1", "p1", 1588687728923)]
+        state = incremental.STATE
+        monkeypatch.setattr(incremental, "STATE", before)
+        assert run(1, "old", line) == [("u1",)]
+        monkeypatch.setattr(incremental, "STATE", state)
+        assert run(2, "old", line + [_rating("u2", "p1", 1588687728923)]) == [("u1",), ("u2",)]
+        assert run(3, "new", line) == [("u1",), ("u2",)]
+        assert spark.conf.get(name) == heap
+        left = [f for _, _, files in os.walk(tmp_path / "new" / "ratings" / "state") for f in files]
+        assert any(f.endswith(".zip") for f in left) and not any(f.endswith(".delta") for f in left)
+    finally:
+        spark.conf.set(name, was)
+
+
 def test_stream_judges_the_unit_by_file(spark, tmp_path, rows):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "ms.json").write_text("\n".join([_rating("a", "p", 1588687728923), _rating("b", "p", 86400000)]))
