@@ -238,7 +238,7 @@ def test_vectors_travel_packed_by_block(spark, data, monkeypatch):
     users.route(items)
     items.route(users)
     assert users.n_hot > 3 and items.n_hot > 3
-    start = stage(items.gathered(alternating.starts(pairs, fits, 42)))
+    start = stage(items.starts(42))
     for packed, side, other in ((start, items, users), (users.solve(start)[0], users, items)):
         blocks = {r["block"] for r in packed.collect()}
         assert max(blocks) > side.n_blocks  # more than one block of spread keys
